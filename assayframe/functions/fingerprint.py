@@ -17,20 +17,30 @@ def text_hash(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def shingles(text: Column, *, kind: str = "word", size: int = 3) -> Column:
     """Runs of ``size`` words or characters; a shorter text is one run by itself."""
     if size < 1:
         raise ValueError("size must be positive")
+
+    def starts(length: Column) -> Column:
+        return F.sequence(F.lit(1), F.greatest(length - (size - 1), F.lit(1)))
+
     if kind == "word":
         words = F.filter(F.split(text, r"[ \t\n\r]+"), lambda w: w != "")
-        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (size - 1), F.lit(1)))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+        runs = _once(
+            words,
+            lambda ws: F.transform(starts(F.size(ws)), lambda i: F.array_join(F.slice(ws, i, size), " ")),
+        )
     elif kind == "char":
-        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (size - 1), F.lit(1)))
-        runs = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
+        runs = F.transform(starts(F.length(text)), lambda i: F.substring(text, i, F.lit(size)))
     else:
         raise ValueError(f"unknown kind {kind!r}: use 'word' or 'char'")
-    return F.filter(runs, lambda r: r != "")
+    return F.when(text.isNotNull(), F.filter(runs, lambda r: r != ""))
 
 
 def bit_positions(text: Column, *, kind: str, size: int, n_bits: int) -> Column:

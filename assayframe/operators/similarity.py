@@ -31,7 +31,7 @@ from assayframe.runtime import cut_lineage, one_row
 
 # Size of the token frequency table. It is an array of this fixed length: tokens
 # that share a slot share a frequency, which changes the order, not the result.
-SLOTS = 4096
+SLOTS = 1 << 16
 # Records that share a prefix token in one task; longer lists are cut into tiles.
 POSTING_ROWS = 1000
 
@@ -125,53 +125,62 @@ def _index_pairs(reps: DataFrame, cutoff: Fraction, posting_rows: int) -> DataFr
     reps = reps.filter(F.size("tokens") > 0)
     frequency = _slot_counts(reps.select(F.explode("tokens").alias("t")))
     # Rarest tokens first. Any order is exact; this one gives the shortest lists.
-    ranked = reps.withColumn("__f", frequency).withColumn(
-        "__ranked", F.array_sort(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t"))))
+    ranked = reps.select("rep", F.size("tokens").alias("n"), "tokens", frequency.alias("__f")).select(
+        "rep",
+        "n",
+        F.transform(
+            F.array_sort(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t")))),
+            lambda e: e["t"],
+        ).alias("ranked"),
     )
-    n = F.size("tokens")
     # Two sets that are similar enough share a token among their first
     # n - ceil(cutoff * n) + 1 tokens; ceil in whole numbers.
-    length = n - F.floor((n * p + (q - 1)) / q).cast("int") + 1
-    prefix = ranked.select(
-        "rep", "tokens", "copies", F.explode(F.slice("__ranked", F.lit(1), length)).alias("__e")
-    ).select("rep", "tokens", "copies", F.col("__e.t").alias("t"))
-    prefix = cut_lineage(prefix)
-    postings = _slot_counts(prefix.select("t"))
-    prefix = prefix.withColumn("__n", postings).withColumn(
-        "__parts", F.ceil(_slot(F.col("__n"), F.col("t")) / posting_rows).cast("int")
-    ).drop("__n")
-
-    short = prefix.filter("__parts <= 1").drop("__parts")
-    left = short.select(
-        "t", F.col("rep").alias("a"), F.col("copies").alias("n_a"), F.col("tokens").alias("x")
+    length = F.col("n") - F.floor((F.col("n") * p + (q - 1)) / q).cast("int") + 1
+    prefix = cut_lineage(
+        ranked.select("rep", "n", F.posexplode(F.slice("ranked", F.lit(1), length)).alias("pos", "t"))
     )
+    # Tokens with a long list are few: each has more than ``posting_rows`` rows.
+    crowded = cut_lineage(
+        prefix.groupBy("t").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > posting_rows)
+    )
+    any_crowded = not crowded.isEmpty()
+    short = attach(prefix, crowded, ["t"], "n_rows", ["rep"], "left_anti") if any_crowded else prefix
+
+    left = short.select("t", F.col("rep").alias("a"), F.col("n").alias("size_a"), F.col("pos").alias("pos_a"))
     right = short.select(
-        F.col("t").alias("u"), F.col("rep").alias("b"), F.col("copies").alias("n_b"), F.col("tokens").alias("y")
+        F.col("t").alias("u"), F.col("rep").alias("b"), F.col("n").alias("size_b"), F.col("pos").alias("pos_b")
     )
-    size_x, size_y = F.size("x"), F.size("y")
-    common = common_tokens(F.col("x"), F.col("y"))
-    close = (size_x * p <= size_y * q) & (size_y * p <= size_x * q)
-    pairs = (
-        left.join(
-            right,
-            (F.col("t") == F.col("u"))
-            & (F.col("a") < F.col("b"))
-            & close
-            & (common * (p + q) >= (size_x + size_y) * p),
-        )
-        .select(
-            "a",
-            "b",
-            "n_a",
-            "n_b",
-            common.cast("long").alias("common"),
-            (size_x + size_y - common).cast("long").alias("total"),
-        )
+    size_a, size_b = F.col("size_a"), F.col("size_b")
+    # Sizes must be near, and if this is the first shared token in the order, the
+    # tokens from here on must be enough.
+    near = (size_a * p <= size_b * q) & (size_b * p <= size_a * q)
+    reach = F.least(size_a - F.col("pos_a"), size_b - F.col("pos_b"))
+    enough = reach * (p + q) >= (size_a + size_b) * p
+    candidates = left.join(
+        right, (F.col("t") == F.col("u")) & (F.col("a") < F.col("b")) & near & enough
+    ).select("a", "b").distinct()
+
+    # Candidates meet the token arrays only now, once per pair.
+    side_a = reps.select(F.col("rep").alias("a"), F.col("tokens").alias("x"), F.col("copies").alias("n_a"))
+    side_b = reps.select(F.col("rep").alias("b"), F.col("tokens").alias("y"), F.col("copies").alias("n_b"))
+    counted = candidates.join(side_a, "a").join(side_b, "b").select(
+        "a",
+        "b",
+        "n_a",
+        "n_b",
+        common_tokens(F.col("x"), F.col("y")).cast("long").alias("common"),
+        (F.size("x") + F.size("y")).cast("long").alias("sizes"),
+    )
+    pairs = counted.filter(F.col("common") * (p + q) >= F.col("sizes") * p).select(
+        "a", "b", "n_a", "n_b", "common", (F.col("sizes") - F.col("common")).alias("total")
     )
+    if not any_crowded:
+        return pairs
     # A long list is cut into parts by a hash of the record; each pair of parts
     # is one task of bounded size that returns qualifying pairs only.
-    long = prefix.filter("__parts > 1")
-    tiles = to_tiles(long, F.pmod(F.xxhash64("rep"), F.col("__parts")).cast("int"), F.col("__parts"))
+    long = attach(prefix.select("t", "rep"), crowded, ["t"], "n_rows", ["rep"]).join(reps, "rep")
+    parts = F.ceil(F.col("n_rows") / posting_rows).cast("int")
+    tiles = to_tiles(long, F.pmod(F.xxhash64("rep"), parts).cast("int"), parts)
     tiled = tiles.groupBy("t", "__lo", "__hi").applyInPandas(_qualifying_pairs(cutoff), _pair_schema(reps))
     return pairs.unionByName(tiled).dropDuplicates(["a", "b"])
 
