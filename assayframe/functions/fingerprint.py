@@ -53,7 +53,7 @@ def bit_positions(text: Column, *, kind: str, size: int, n_bits: int) -> Column:
 
 def bit_tokens(text: Column, *, kind: str = "word", size: int = 3, n_bits: int = 1024) -> Column:
     """Bit fingerprint: the set bits in ascending order; null text gives null."""
-    return F.array_sort(F.array_distinct(bit_positions(text, kind=kind, size=size, n_bits=n_bits)))
+    return F.sort_array(F.array_distinct(bit_positions(text, kind=kind, size=size, n_bits=n_bits)))
 
 
 def count_tokens(counts: Column, n_bits: int) -> Column:
@@ -64,7 +64,7 @@ def count_tokens(counts: Column, n_bits: int) -> Column:
             F.sequence(F.lit(0), e["value"] - 1), lambda i: e["key"] + F.lit(n_bits) * i
         ),
     )
-    return F.array_sort(F.flatten(expanded))
+    return F.sort_array(F.flatten(expanded))
 
 
 def common_tokens(a: Column, b: Column) -> Column:

@@ -41,8 +41,9 @@ def knn_distances(
         vec.distance(metric)
     if k < 1:
         raise ValueError("k must be positive")
-    asked = cut_lineage(collapse_copies(queries, key=key, tokens=features))
-    known = cut_lineage(collapse_copies(train, key=key, tokens=features))
+    queries = cut_lineage(queries.select(key, features))
+    asked = collapse_copies(queries, key=key, tokens=features)
+    known = collapse_copies(train, key=key, tokens=features)
     counts = known.agg(F.count(F.lit(1)).alias("distinct"), F.sum("copies").alias("rows")).first()
     if (counts["rows"] or 0) < k:
         raise ValueError(f"{counts['rows'] or 0} training rows are fewer than k = {k}")
@@ -87,7 +88,7 @@ def knn_distances(
         .applyInPandas(nearest, f"rep {kind}, near array<double>")
     )
     merged = parts.groupBy("rep").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("distances")
+        F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("distances")
     )
     mean = F.aggregate("distances", F.lit(0.0), lambda s, x: s + x) / k
     per_rep = asked.select("rep", "copies").join(merged.withColumn("mean_distance", mean), "rep")

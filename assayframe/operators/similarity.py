@@ -37,8 +37,11 @@ POSTING_ROWS = 1000
 
 
 def collapse_copies(df: DataFrame, *, key: str, tokens: str) -> DataFrame:
-    """(rep, tokens, copies): one row per distinct fingerprint, named by its lowest key."""
-    return (
+    """(rep, tokens, copies): one row per distinct fingerprint, named by its lowest key.
+
+    Written once, as everything that follows reads it several times.
+    """
+    return cut_lineage(
         df.filter(F.col(tokens).isNotNull())
         .groupBy(F.col(tokens).alias("tokens"))
         .agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -62,14 +65,11 @@ def as_fraction(cutoff) -> Fraction:
 
 def _slot_counts(tokens: DataFrame) -> Column:
     """Rows per token slot, as an array of SLOTS counts."""
-    spark = tokens.sparkSession
-    counted = tokens.groupBy(F.pmod(F.col("t"), F.lit(SLOTS)).cast("long").alias("slot")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    every = spark.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).cast("long").alias("n"))
-    full = counted.unionByName(every).groupBy("slot").agg(F.sum("n").alias("n"))
-    ordered = full.agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("s"))
-    return one_row(cut_lineage(ordered.select(F.col("s.n").alias("counts"))))["counts"]
+    slots = tokens.select(F.pmod(F.col("t"), F.lit(SLOTS)).cast("long").alias("slot"), F.lit(1).alias("n"))
+    every = tokens.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
+    counted = slots.unionByName(every).groupBy("slot").agg(F.sum("n").alias("n"))
+    ordered = counted.agg(F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("s"))
+    return one_row(ordered.select(F.col("s.n").alias("counts")))["counts"]
 
 
 def _slot(counts: Column, token: Column) -> Column:
@@ -129,7 +129,7 @@ def _index_pairs(reps: DataFrame, cutoff: Fraction, posting_rows: int) -> DataFr
         "rep",
         "n",
         F.transform(
-            F.array_sort(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t")))),
+            F.sort_array(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t")))),
             lambda e: e["t"],
         ).alias("ranked"),
     )
@@ -204,7 +204,6 @@ def similarity_pairs(
     suits narrow, full fingerprints of moderate number; its cost is quadratic.
     """
     limit = as_fraction(cutoff)
-    reps = cut_lineage(reps)
     if strategy == "index":
         return _index_pairs(reps, limit, posting_rows)
     if strategy == "dense":
@@ -234,7 +233,8 @@ def pair_distances(
     One row per record: number of other records, and the sum, least and largest
     distance to them. The matrix itself is never written.
     """
-    reps = cut_lineage(collapse_copies(df, key=key, tokens=tokens))
+    df = cut_lineage(df.select(key, tokens))
+    reps = collapse_copies(df, key=key, tokens=tokens)
     kind = reps.schema["rep"].dataType.simpleString()
     schema = f"rep {kind}, n long, total double, nearest double, farthest double"
 

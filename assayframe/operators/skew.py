@@ -29,6 +29,7 @@ def attach(
     size_col: str,
     spread_by: Sequence[str],
     how: str = "inner",
+    salted: bool = True,
 ) -> DataFrame:
     """Join ``df`` with ``stats``, which has one row per key and its row count.
 
@@ -36,8 +37,15 @@ def attach(
     Heavy keys (the ``HEAVY_KEYS`` largest above ``ROWS_PER_TASK``) are salted:
     their rows go to several tasks by a hash of ``spread_by`` and only their
     rows of ``stats`` are repeated. Everything else joins on its plain key.
+    ``salted=False`` is for a caller that has seen that no key is that heavy.
     """
     keys = list(keys)
+    if not salted:
+        right = stats.select(
+            *[F.col(k).alias(f"__r_{k}") for k in keys], *[F.col(c) for c in stats.columns if c not in keys]
+        )
+        joined = df.join(right, _same(df, right, [(k, f"__r_{k}") for k in keys]), how)
+        return joined.drop(*[f"__r_{k}" for k in keys])
     heavy = (
         stats.filter(F.col(size_col) > ROWS_PER_TASK)
         .orderBy(F.col(size_col).desc(), *keys)

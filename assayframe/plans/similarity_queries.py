@@ -8,6 +8,7 @@ from assayframe.functions import fingerprint as fp
 from assayframe.operators import cluster, similarity
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
+from assayframe.runtime import cut_lineage
 
 
 def _neighbours(df, key, column):
@@ -107,7 +108,7 @@ pairs AS MATERIALIZED (
 
 @query("similarity_pairs", f"WITH {_reps_sql(3, 5)} SELECT a, b, n_a, n_b, common, total FROM pairs")
 def similarity_pairs(spark, sf_dir):
-    reps = similarity.collapse_copies(inp.fingerprints(spark, sf_dir), key="doc_id", tokens="tokens")
+    reps = similarity.collapse_copies(cut_lineage(inp.fingerprints(spark, sf_dir)), key="doc_id", tokens="tokens")
     return similarity.similarity_pairs(reps, cutoff=(3, 5))
 
 
