@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from assayframe.functions.fingerprint import text_hash
 
 ROWS_PER_BLOCK = 1024
-# Tokens looked at together when two blocks are intersected.
-TOKEN_CHUNK = 2048
+# Tokens multiplied together when two blocks are intersected.
+TOKEN_CHUNK = 512
+# Pairs of rows from which on a token is multiplied and not counted.
+DENSE_FROM = 2000
+# Pairs of rows counted together.
+PAIR_CHUNK = 4_000_000
 
 
 def block_count(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
@@ -69,27 +73,62 @@ def tile_sides(pdf: pd.DataFrame, key: str) -> tuple[pd.DataFrame, pd.DataFrame,
 def shared_tokens(a: Sequence[np.ndarray], b: Sequence[np.ndarray]) -> np.ndarray:
     """Number of shared tokens for every row of ``a`` with every row of ``b``.
 
-    Only tokens present on both sides matter; they are taken in chunks so that
-    the dense matrices stay small whatever the token space is.
+    Only tokens present on both sides matter. Frequent ones are multiplied as
+    dense matrices, in chunks; for rare ones the few pairs of rows are counted.
     """
     result = np.zeros((len(a), len(b)), dtype=np.float32)
     if not len(a) or not len(b):
         return result
     flat_a, flat_b = np.concatenate(a), np.concatenate(b)
-    row_a = np.repeat(np.arange(len(a)), [len(x) for x in a])
-    row_b = np.repeat(np.arange(len(b)), [len(x) for x in b])
     vocabulary = np.intersect1d(flat_a, flat_b)
-    for start in range(0, len(vocabulary), TOKEN_CHUNK):
-        chunk = vocabulary[start : start + TOKEN_CHUNK]
-        result += _dense(flat_a, row_a, len(a), chunk) @ _dense(flat_b, row_b, len(b), chunk).T
+    if not len(vocabulary):
+        return result
+    code_a, row_a = _coded(flat_a, a, vocabulary)
+    code_b, row_b = _coded(flat_b, b, vocabulary)
+    times_a = np.bincount(code_a, minlength=len(vocabulary))
+    times_b = np.bincount(code_b, minlength=len(vocabulary))
+    frequent = times_a * times_b > DENSE_FROM
+
+    place = np.cumsum(frequent) - 1
+    in_a, in_b = frequent[code_a], frequent[code_b]
+    cols_a, rows_a = place[code_a[in_a]], row_a[in_a]
+    cols_b, rows_b = place[code_b[in_b]], row_b[in_b]
+    for start in range(0, int(frequent.sum()), TOKEN_CHUNK):
+        result += _dense(cols_a, rows_a, len(a), start) @ _dense(cols_b, rows_b, len(b), start).T
+
+    # each rare token of a row of ``a`` meets the rows of ``b`` that have it
+    rare_code, rare_row = code_a[~in_a], row_a[~in_a]
+    first_b = np.cumsum(times_b) - times_b
+    meets = times_b[rare_code]
+    ends = np.cumsum(meets)
+    start = 0
+    while start < len(rare_code):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + PAIR_CHUNK, side="right")))
+        n = meets[start:stop]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        other = row_b[np.repeat(first_b[rare_code[start:stop]], n) + within]
+        cell = np.repeat(rare_row[start:stop], n) * len(b) + other
+        result += np.bincount(cell, minlength=result.size).reshape(result.shape)
+        start = stop
     return result
 
 
-def _dense(flat: np.ndarray, rows: np.ndarray, n_rows: int, chunk: np.ndarray) -> np.ndarray:
-    place = np.minimum(np.searchsorted(chunk, flat), len(chunk) - 1)
-    hit = chunk[place] == flat
-    matrix = np.zeros((n_rows, len(chunk)), dtype=np.float32)
-    matrix[rows[hit], place[hit]] = 1.0
+def _coded(flat: np.ndarray, rows: Sequence[np.ndarray], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary positions and row numbers of the known tokens, by position."""
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    code = np.minimum(np.searchsorted(vocabulary, flat), len(vocabulary) - 1)
+    known = vocabulary[code] == flat
+    code, row = code[known], row[known]
+    order = np.argsort(code, kind="stable")
+    return code[order], row[order]
+
+
+def _dense(cols: np.ndarray, rows: np.ndarray, n_rows: int, start: int) -> np.ndarray:
+    # ``cols`` ascend
+    lo, hi = np.searchsorted(cols, [start, start + TOKEN_CHUNK])
+    matrix = np.zeros((n_rows, TOKEN_CHUNK), dtype=np.float32)
+    matrix[rows[lo:hi], cols[lo:hi] - start] = 1.0
     return matrix
 
 

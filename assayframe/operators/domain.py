@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayframe.functions import vectors as vec
 from assayframe.operators.blocks import ROWS_PER_BLOCK, block_count, block_of, tanimoto_matrix, vector_matrix
 from assayframe.operators.quantiles import exact_quantiles
-from assayframe.operators.similarity import collapse_copies, copy_members
+from assayframe.operators.similarity import similarity_pairs
 from assayframe.operators.skew import attach
 from assayframe.runtime import cut_lineage, one_row
 
@@ -26,6 +26,8 @@ def knn_distances(
     features: str,
     metric: str = "jaccard",
     k: int = 5,
+    strategy: str = "dense",
+    cutoff=(1, 2),
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """(key, distances, mean_distance) to the k nearest training rows.
@@ -33,34 +35,96 @@ def knn_distances(
     ``features`` holds tokens for ``jaccard`` and vectors for the other metrics. A
     training row that is also a query counts itself, at distance 0.
 
-    Equal feature values are compared once: queries are collapsed, training rows
-    carry a count. Each task compares one block of queries with one block of
-    training rows and returns k distances per query, which are merged per query.
+    ``dense`` compares blocks of queries with blocks of training rows, which is
+    quadratic. ``index`` (jaccard only) first finds the neighbours from the
+    similarity cutoff on through rare shared tokens. A query with k of them is
+    done, as every other training row is farther away; only the queries that are
+    left go through the dense comparison. Both are exact.
     """
     if metric != "jaccard":
         vec.distance(metric)
     if k < 1:
         raise ValueError("k must be positive")
-    queries = cut_lineage(queries.select(key, features))
-    asked = collapse_copies(queries, key=key, tokens=features)
-    known = collapse_copies(train, key=key, tokens=features)
-    counts = known.agg(F.count(F.lit(1)).alias("distinct"), F.sum("copies").alias("rows")).first()
-    if (counts["rows"] or 0) < k:
-        raise ValueError(f"{counts['rows'] or 0} training rows are fewer than k = {k}")
-    q_blocks = block_count(asked.count(), rows_per_block)
-    t_blocks = block_count(counts["distinct"], rows_per_block)
+    if strategy not in ("dense", "index"):
+        raise ValueError(f"unknown strategy {strategy!r}: use 'index' or 'dense'")
+    if strategy == "index" and metric != "jaccard":
+        raise ValueError("the index needs tokens and the jaccard metric")
+    n_train = train.filter(F.col(features).isNotNull()).count()
+    if n_train < k:
+        raise ValueError(f"{n_train} training rows are fewer than k = {k}")
+
+    # Equal feature values are compared once: one row per value, with how many
+    # queries and training rows have it.
+    queries = cut_lineage(queries.select(key, F.col(features).alias("tokens")).filter("tokens IS NOT NULL"))
+    known = train.select(F.col(features).alias("tokens")).filter("tokens IS NOT NULL")
+    both = queries.select("tokens", F.lit(1).alias("asked"), F.lit(0).alias("known")).unionByName(
+        known.select("tokens", F.lit(0).alias("asked"), F.lit(1).alias("known"))
+    )
+    values = cut_lineage(
+        both.groupBy("tokens")
+        .agg(F.sum("asked").alias("asked"), F.sum("known").alias("known"))
+        .withColumn("rep", F.md5(F.concat_ws(",", F.col("tokens").cast("array<string>"))))
+    )
+    if strategy == "dense":
+        near = _dense_neighbours(values, values, metric, k, rows_per_block)
+    else:
+        near = _index_neighbours(values, k, cutoff, rows_per_block)
+    mean = F.aggregate("distances", F.lit(0.0), lambda s, x: s + x) / k
+    found = values.filter("asked > 0").select("rep", "tokens", "asked").join(
+        near.withColumn("mean_distance", mean), "rep"
+    )
+    return attach(queries, found, ["tokens"], "asked", [key]).select(key, "distances", "mean_distance")
+
+
+def _index_neighbours(values: DataFrame, k: int, cutoff, rows_per_block: int) -> DataFrame:
+    pairs = similarity_pairs(
+        values.select("rep", "tokens", F.col("known").alias("copies")), cutoff=cutoff, strategy="index"
+    )
+    distance = (1 - F.col("common") / F.col("total")).alias("distance")
+    pairs = pairs.select("a", "b", "n_a", "n_b", distance)
+    reached = (
+        pairs.select(F.col("a").alias("rep"), F.col("n_b").alias("n"), "distance")
+        .unionByName(pairs.select(F.col("b").alias("rep"), F.col("n_a").alias("n"), "distance"))
+        .unionByName(values.select("rep", F.col("known").alias("n"), F.lit(0.0).alias("distance")))
+        .filter("n > 0")
+    )
+    # Equal distances are counted together first, so a query with very many
+    # neighbours has few rows left when they are put in order.
+    counted = reached.groupBy("rep", "distance").agg(F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("rep").orderBy("distance")) - F.col("n")
+    taken = counted.withColumn("before", before).filter(F.col("before") < k)
+    taken = taken.withColumn("n", F.least(F.col("n"), k - F.col("before")).cast("int"))
+    lists = taken.groupBy("rep").agg(
+        F.sum("n").alias("found"),
+        F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("distance"), F.col("n"))))).alias("distances"),
+    )
+    done = cut_lineage(lists.filter(F.col("found") == k).select("rep", "distances"))
+    rest = cut_lineage(values.filter("asked > 0").join(done.select("rep"), "rep", "left_anti"))
+    if rest.isEmpty():
+        return done
+    return done.unionByName(_dense_neighbours(rest, values, "jaccard", k, rows_per_block))
 
+
+def _dense_neighbours(asked: DataFrame, values: DataFrame, metric: str, k: int, rows_per_block: int) -> DataFrame:
+    """(rep, distances): each task compares one block of queries with one of training rows."""
+    asked = asked.filter("asked > 0")
+    known = values.filter("known > 0")
+    q_blocks = block_count(asked.count(), rows_per_block)
+    t_blocks = block_count(known.count(), rows_per_block)
     every_t = F.explode(F.sequence(F.lit(0), F.lit(t_blocks - 1)))
     every_q = F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
-    q_side = asked.select(
-        "rep", "tokens", "copies", F.lit(True).alias("is_query"), block_of(F.col("rep"), q_blocks).alias("bq")
-    ).withColumn("bt", every_t)
+    columns = ["rep", "tokens", "known", "is_query", "bq", "bt"]
+    q_side = (
+        asked.withColumn("is_query", F.lit(True))
+        .withColumn("bq", block_of(F.col("rep"), q_blocks))
+        .withColumn("bt", every_t)
+        .select(*columns)
+    )
     t_side = (
-        known.select(
-            "rep", "tokens", "copies", F.lit(False).alias("is_query"), block_of(F.col("rep"), t_blocks).alias("bt")
-        )
+        known.withColumn("is_query", F.lit(False))
+        .withColumn("bt", block_of(F.col("rep"), t_blocks))
         .withColumn("bq", every_q)
-        .select("rep", "tokens", "copies", "is_query", "bq", "bt")
+        .select(*columns)
     )
 
     def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -77,23 +141,14 @@ def knn_distances(
         # k different values are enough even if each occurs once
         width = min(k, d.shape[1])
         best = np.argpartition(d, width - 1, axis=1)[:, :width]
-        times = np.minimum(t["copies"].to_numpy(), k)
+        times = np.minimum(t["known"].to_numpy(), k)
         near = [np.sort(np.repeat(row[cols], times[cols]))[:k] for row, cols in zip(d, best)]
         return pd.DataFrame({"rep": q["rep"].to_numpy(), "near": near})
 
-    kind = asked.schema["rep"].dataType.simpleString()
-    parts = (
-        q_side.unionByName(t_side)
-        .groupBy("bq", "bt")
-        .applyInPandas(nearest, f"rep {kind}, near array<double>")
-    )
-    merged = parts.groupBy("rep").agg(
+    parts = q_side.unionByName(t_side).groupBy("bq", "bt").applyInPandas(nearest, "rep string, near array<double>")
+    return parts.groupBy("rep").agg(
         F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k).alias("distances")
     )
-    mean = F.aggregate("distances", F.lit(0.0), lambda s, x: s + x) / k
-    per_rep = asked.select("rep", "copies").join(merged.withColumn("mean_distance", mean), "rep")
-    members = copy_members(queries, asked, key=key, tokens=features).drop("copies")
-    return attach(members, per_rep, ["rep"], "copies", [key]).select(key, "distances", "mean_distance")
 
 
 def domain_profile(train_distances: DataFrame, *, percentile: float = 75, distance: str = "mean_distance") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from assayframe.operators.quantiles import exact_quantiles
 from assayframe.operators.rows import drop_missing, nan_to_null
-from assayframe.runtime import one_row
+from assayframe.runtime import one_row, small
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
@@ -129,15 +129,15 @@ def scale_with_train_stats(
 ) -> DataFrame:
     """z-scores per fold, all roles scaled with the statistics of the training rows.
 
-    The statistics have one row per fold, so their join is left to the planner,
-    which broadcasts them by their measured size.
+    The statistics have one row per fold. They are broadcast after their rows have
+    been counted, since a shuffle by fold would put a whole fold into one task.
     """
     is_train = F.col(role) == train
     stats = df.groupBy(*by).agg(
         *[F.avg(F.when(is_train, F.col(c))).alias(f"__{c}_mean") for c in columns],
         *[F.stddev_pop(F.when(is_train, F.col(c))).alias(f"__{c}_std") for c in columns],
     )
-    joined = df.join(stats, list(by))
+    joined = df.join(small(stats), list(by))
     scaled = joined.withColumns({c: _z(F.col(c), F.col(f"__{c}_mean"), F.col(f"__{c}_std")) for c in columns})
     return scaled.select(*df.columns)
 

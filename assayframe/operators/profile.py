@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayframe.operators.impute import minmax_scale, sample_standardize
 from assayframe.operators.quantiles import exact_quantiles, long_form
 from assayframe.operators.rows import union_sets
-from assayframe.runtime import cut_lineage, one_row
+from assayframe.runtime import cut_lineage, one_row, small
 
 
 def class_counts(df: DataFrame, *, label: str) -> DataFrame:
@@ -61,12 +61,14 @@ def box_stats(
     source = df.select(label, *columns)
     if scale:
         source = minmax_scale(source, columns)
-    quartiles = exact_quantiles(source, columns, [0.25, 0.5, 0.75], by=[label]).select(
-        F.col(label).alias("__label"),
-        F.col("name").alias("__name"),
-        F.col("quantiles")[0].alias("q1"),
-        F.col("quantiles")[1].alias("median"),
-        F.col("quantiles")[2].alias("q3"),
+    quartiles = small(
+        exact_quantiles(source, columns, [0.25, 0.5, 0.75], by=[label]).select(
+            F.col(label).alias("__label"),
+            F.col("name").alias("__name"),
+            F.col("quantiles")[0].alias("q1"),
+            F.col("quantiles")[1].alias("median"),
+            F.col("quantiles")[2].alias("q3"),
+        )
     )
     values = long_form(source, columns, [label])
     reach = 1.5 * (F.col("q3") - F.col("q1"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.runtime import cut_lineage
+from assayframe.runtime import cut_lineage, small
 
 BINS = 4096
 # Rows a bracket may hold before its values are ranked.
@@ -48,8 +48,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles: one row (by..., name, n, quantiles) per group.
 
-    ``quantiles`` is an array in the order of ``probabilities``. ``by`` has to be
-    of low cardinality, such as a class label.
+    ``quantiles`` is an array in the order of ``probabilities``. ``by`` is meant to
+    be of low cardinality, such as a class label: then no row of the data is
+    shuffled before it is counted. With many groups the brackets are too many to
+    broadcast and the rows are shuffled by group.
     """
     keys = [*by, "name"]
     long = long_form(df, columns, by)
@@ -67,7 +69,7 @@ def exact_quantiles(
         .withColumn("before", F.lit(0).cast("long"))
         .withColumn("ranks", F.array_distinct(F.concat(lower, upper)))
     )
-    brackets = cut_lineage(brackets)
+    brackets = small(brackets)
     sizes = brackets.select(*keys, "n")
 
     while True:
@@ -88,7 +90,7 @@ def exact_quantiles(
         held = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
         narrowed = counted.withColumn("ranks", held).filter(F.size("ranks") > 0)
         narrowed = narrowed.select(*keys, "n", "lo", "hi", F.col("start").alias("before"), "ranks")
-        brackets = cut_lineage(narrowed)
+        brackets = small(narrowed)
         if (brackets.filter("lo < hi").agg(F.max("n")).first()[0] or 0) >= widest:
             break  # values this close cannot be told apart by equal-width bins
 

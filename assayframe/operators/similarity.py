@@ -27,7 +27,7 @@ from assayframe.operators.blocks import (
 )
 from assayframe.operators.quantiles import BINS
 from assayframe.operators.skew import attach
-from assayframe.runtime import cut_lineage, one_row
+from assayframe.runtime import cut_lineage, one_row, small
 
 # Size of the token frequency table. It is an array of this fixed length: tokens
 # that share a slot share a frequency, which changes the order, not the result.
@@ -390,8 +390,8 @@ def _average_manhattan(rows: DataFrame) -> DataFrame:
         .groupBy("dim", "x")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    extent = values.groupBy("dim").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("times").alias("n")
+    extent = small(
+        values.groupBy("dim").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("times").alias("n"))
     )
     binned = values.join(extent, "dim").withColumn(
         "bin",

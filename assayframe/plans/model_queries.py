@@ -88,6 +88,28 @@ def knn_distances_euclidean(spark, sf_dir):
     return near.select("vec_id", F.round("mean_distance", 6).alias("mean_distance"))
 
 
+@query(
+    "knn_distances_index",
+    f"""WITH {inp.fingerprints_sql()},
+side AS MATERIALIZED (SELECT doc_id, tokens, len(tokens) AS n,
+  CASE WHEN {inp.share_sql('doc_id')} < 0.2 THEN 'test' ELSE 'train' END AS role FROM fp),
+bits AS MATERIALIZED (SELECT doc_id, role, unnest(tokens) AS t FROM side),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM bits x JOIN bits y ON x.t = y.t AND y.role = 'train' GROUP BY 1, 2),
+d AS (SELECT x.doc_id, CASE WHEN x.n + y.n = 0 THEN 0 ELSE 1 - coalesce(c, 0)::DOUBLE / (x.n + y.n - coalesce(c, 0)) END AS distance
+  FROM side x JOIN side y ON y.role = 'train' LEFT JOIN shared s ON s.a = x.doc_id AND s.b = y.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance) AS rn FROM d)
+SELECT doc_id, round(avg(distance), 6) AS mean_distance, round(max(distance), 6) AS farthest FROM r WHERE rn <= 2 GROUP BY 1""",
+)
+def knn_distances_index(spark, sf_dir):
+    """Documents against the training documents: near copies by index, the others by blocks."""
+    df = cut_lineage(inp.fingerprints(spark, sf_dir))
+    train = df.filter(inp.share_hash(F.col("doc_id")) >= 0.2)
+    near = domain.knn_distances(df, train, key="doc_id", features="tokens", k=2, strategy="index", cutoff=(1, 2))
+    return near.select(
+        "doc_id", F.round("mean_distance", 6).alias("mean_distance"), F.round(F.col("distances")[1], 6).alias("farthest")
+    )
+
+
 @query("domain_profile", f"{KNN_SQL} SELECT * FROM profile")
 def domain_profile(spark, sf_dir):
     return domain.domain_profile(_sides(spark, sf_dir)[0])

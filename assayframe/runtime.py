@@ -20,6 +20,8 @@ def build_session(app: str = "assayframe", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # files of checkpoints nothing refers to any more are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -63,6 +65,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# A table of at most this many short rows is broadcast.
+SMALL_ROWS = 10_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Write a summary table once and mark it for broadcast if it is small.
+
+    The rows are counted, so the size is known and not estimated. A larger table
+    comes back without the mark and is joined by a shuffle.
+    """
+    written = cut_lineage(df)
+    return F.broadcast(written) if written.count() <= SMALL_ROWS else written
+
+
 def one_row(stats: DataFrame) -> Column:
     """The single row of ``stats`` as a struct-valued scalar subquery.
 
@@ -80,7 +96,4 @@ def widen(df: DataFrame) -> DataFrame:
     are returned as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    sources = df.inputFiles()
-    if len(sources) >= cores:
-        return df
-    return df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -152,12 +152,12 @@ def test_average_of_one_row_is_null(spark):
         similarity.average_dissimilarity(df, key="id", vector="v", metric="nope")
 
 
-@pytest.mark.parametrize("k", [1, 3])
-def test_knn_with_copies(spark, k):
+@pytest.mark.parametrize("k,strategy", [(1, "dense"), (3, "dense"), (3, "index")])
+def test_knn_with_copies(spark, k, strategy):
     sets = random_sets(60, 21)
     df = frame(spark, sets)
     train = df.filter("id < 40")
-    got = domain.knn_distances(df, train, key="id", features="tokens", k=k, rows_per_block=11).collect()
+    got = domain.knn_distances(df, train, key="id", features="tokens", k=k, strategy=strategy, rows_per_block=11).collect()
     assert len(got) == 60
     for r in got:
         want = sorted(float(1 - tanimoto(sets[r["id"]], s)) for s in sets[:40])[:k]
@@ -208,3 +208,16 @@ def test_shingles_of_short_and_missing_text(spark):
     assert [r[0] for r in df.select(fp.shingles(F.col("s"), kind="char", size=4)).collect()] == [["a b ", " b c"], ["a"], [], None]
     with pytest.raises(ValueError):
         fp.shingles(F.col("s"), kind="nope")
+
+
+@pytest.mark.parametrize("dense_from", [0, 6, 10**9])
+def test_shared_tokens(monkeypatch, dense_from):
+    from assayframe.operators import blocks
+
+    monkeypatch.setattr(blocks, "DENSE_FROM", dense_from)
+    monkeypatch.setattr(blocks, "TOKEN_CHUNK", 3)
+    monkeypatch.setattr(blocks, "PAIR_CHUNK", 5)
+    a = [np.array(s, dtype=np.int32) for s in random_sets(25, 1, 30) + [[]]]
+    b = [np.array(s, dtype=np.int32) for s in random_sets(31, 2, 40)]
+    got = blocks.shared_tokens(a, b)
+    assert got.tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
