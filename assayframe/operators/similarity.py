@@ -31,7 +31,7 @@ from assayframe.runtime import cut_lineage, one_row, small
 
 # Size of the token frequency table. It is an array of this fixed length: tokens
 # that share a slot share a frequency, which changes the order, not the result.
-SLOTS = 1 << 16
+SLOTS = 1 << 20
 # Records that share a prefix token in one task; longer lists are cut into tiles.
 POSTING_ROWS = 1000
 
@@ -63,17 +63,22 @@ def as_fraction(cutoff) -> Fraction:
     return value
 
 
-def _slot_counts(tokens: DataFrame) -> Column:
-    """Rows per token slot, as an array of SLOTS counts."""
-    slots = tokens.select(F.pmod(F.col("t"), F.lit(SLOTS)).cast("long").alias("slot"), F.lit(1).alias("n"))
-    every = tokens.sparkSession.range(SLOTS).select(F.col("id").alias("slot"), F.lit(0).alias("n"))
+def _slot_ranks(tokens: DataFrame) -> Column:
+    """How frequent the tokens of each slot are, as an array of SLOTS bytes.
+
+    Frequency on a scale of half powers of two: enough to put rare tokens first,
+    and one byte each, so that every task can hold the table.
+    """
+    slots = tokens.select(F.pmod(F.col("t"), F.lit(SLOTS)).cast("int").alias("slot"), F.lit(1).alias("n"))
+    every = tokens.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0).alias("n"))
     counted = slots.unionByName(every).groupBy("slot").agg(F.sum("n").alias("n"))
-    ordered = counted.agg(F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("s"))
-    return one_row(ordered.select(F.col("s.n").alias("counts")))["counts"]
+    rank = F.floor(2 * F.log2(F.greatest("n", F.lit(1)))).cast("byte")
+    ordered = counted.agg(F.sort_array(F.collect_list(F.struct("slot", rank.alias("rank")))).alias("s"))
+    return one_row(ordered.select(F.col("s.rank").alias("ranks")))["ranks"]
 
 
-def _slot(counts: Column, token: Column) -> Column:
-    return F.get(counts, F.pmod(token, F.lit(SLOTS)).cast("int"))
+def _slot(ranks: Column, token: Column) -> Column:
+    return F.get(ranks, F.pmod(token, F.lit(SLOTS)).cast("int"))
 
 
 def _qualifying_pairs(cutoff: Fraction):
@@ -123,7 +128,7 @@ def _dense_pairs(reps: DataFrame, cutoff: Fraction, n_rows: int, rows_per_block:
 def _index_pairs(reps: DataFrame, cutoff: Fraction, posting_rows: int) -> DataFrame:
     p, q = cutoff.numerator, cutoff.denominator
     reps = reps.filter(F.size("tokens") > 0)
-    frequency = _slot_counts(reps.select(F.explode("tokens").alias("t")))
+    frequency = _slot_ranks(reps.select(F.explode("tokens").alias("t")))
     # Rarest tokens first. Any order is exact; this one gives the shortest lists.
     ranked = reps.select("rep", F.size("tokens").alias("n"), "tokens", frequency.alias("__f")).select(
         "rep",

@@ -20,6 +20,8 @@ def build_session(app: str = "assayframe", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small shuffles may feed heavy work, such as set intersections: keep the cores busy
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64kb")
         # files of checkpoints nothing refers to any more are removed
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
