@@ -18,6 +18,7 @@ from assayframe.functions.fingerprint import common_tokens
 from assayframe.operators.blocks import (
     ROWS_PER_BLOCK,
     block_count,
+    block_of,
     over_block_pairs,
     shared_tokens,
     tanimoto_matrix,
@@ -118,8 +119,6 @@ def _pair_schema(reps: DataFrame) -> str:
 
 
 def _dense_pairs(reps: DataFrame, cutoff: Fraction, n_rows: int, rows_per_block: int) -> DataFrame:
-    from assayframe.operators.blocks import block_of
-
     n_blocks = block_count(n_rows, rows_per_block)
     tiles = to_tiles(reps, block_of(F.col("rep"), n_blocks), F.lit(n_blocks))
     return tiles.groupBy("__lo", "__hi").applyInPandas(_qualifying_pairs(cutoff), _pair_schema(reps))

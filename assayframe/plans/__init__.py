@@ -1,13 +1,12 @@
 """One query per operator on the given tables."""
 
-import importlib
-
+from assayframe.plans import (  # noqa: F401  each module registers its queries
+    feature_queries,
+    model_queries,
+    similarity_queries,
+    split_queries,
+    table_queries,
+)
 from assayframe.plans.registry import ORACLES, QUERIES
 
-for _name in ("table_queries", "feature_queries", "similarity_queries", "split_queries", "model_queries"):
-    try:
-        importlib.import_module(f"assayframe.plans.{_name}")
-    except ModuleNotFoundError as e:
-        if _name not in str(e): raise
-
 __all__ = ["ORACLES", "QUERIES"]

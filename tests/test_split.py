@@ -50,9 +50,10 @@ def shuffled(groups, seed):
 
 
 @pytest.mark.parametrize("train,val", [(0.7, 0.15), (0.8, 0.0), (0.1, 0.3), (1.0, 0.0)])
-@pytest.mark.parametrize("buckets", [1024, 3])
-def test_group_split(spark, monkeypatch, train, val, buckets):
-    monkeypatch.setattr(split, "ORDER_BUCKETS", buckets)
+@pytest.mark.parametrize("direct", [100_000, 0])
+def test_group_split(spark, monkeypatch, train, val, direct):
+    monkeypatch.setattr(split, "ORDER_BUCKETS", 3)
+    monkeypatch.setattr(split, "DIRECT_GROUPS", direct)
     df, data = records(spark, SIZES)
     groups, n = group_table(data), sum(SIZES)
     test = 1 - train - val
