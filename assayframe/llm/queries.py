@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontam
+from assayframe.llm import decontam, mixing, tokencount, topk
 from assayframe.llm.query_tools import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +59,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document under byte_bpe_50k.json, and whether they exceed 1024."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of each vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").filter(
+        F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+    )
+    whole = vectors.select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return topk.top_k(whole, whole.filter("vec_id % 50 = 0"), 5)
+
+
+ORACLES["op10_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+) WHERE rank <= 5
+"""
