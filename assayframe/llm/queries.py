@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontam, mixing, tokencount, topk
+from assayframe.llm import decontam, html, langid, mixing, neardup, tokencount, topk, toxicity
+from assayframe.llm.scratch import held_out, remainder
 from assayframe.llm.query_tools import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,56 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score::BIGINT AS score FROM (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
 ) WHERE rank <= 5
 """
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(remainder(F.col("doc_id")) != 2))
+    return langid.identify(docs.withColumn("held_out", held_out(F.col("doc_id"))), model, keep=["doc_id", "held_out"])
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of each document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id")) != 2))
+    scored = toxicity.score(docs.withColumn("held_out", held_out(F.col("doc_id"))), model, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+# Classes by comparing all pairs that share a shingle.
+ORACLES["op6_minhash"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce({_FOLDED}, []) AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0),
+bags AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS c FROM places GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(c) AS n FROM bags GROUP BY ALL),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c)) AS common
+  FROM bags a JOIN bags b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 5 * common >= 4 * (x.n + y.n - common)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT doc_id, min(b) AS class_id, coalesce(max(n), 0)::BIGINT AS n_shingles
+FROM d JOIN reach ON a = doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

@@ -24,6 +24,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 SLICE_BYTES = 4 << 20
+SLICE_ROWS = 1 << 16
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -82,7 +83,7 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[Slice]:
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
+        hi = min(max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1), lo + SLICE_ROWS)
         yield Slice(range(lo, hi), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
         lo = hi
 
@@ -142,7 +143,7 @@ def shingles(found: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(found.hashes)
     sliding = np.zeros(n, np.uint64)
     for k in range(size):
-        sliding[:n - k] += found.hashes[k:] * factors[k]
+        sliding[:max(n - k, 0)] += found.hashes[k:] * factors[k]
     first = np.repeat(found.offsets[:-1] - offsets[:-1], made) + np.arange(offsets[-1])
     result = sliding[first]
     short = np.flatnonzero((counts > 0) & (counts < size))
