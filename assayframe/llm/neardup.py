@@ -28,6 +28,8 @@ SIMILARITY = (4, 5)
 BANDS = 25
 ROWS = 5
 SEED = 0x5EED
+#: Hubs that the members of a bucket meet before the rest is paired by shingles.
+HUBS = 2
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ROW_BITS = np.uint64(44)
@@ -165,6 +167,66 @@ def similar(pairs: DataFrame, shingle: int, similarity: tuple[int, int]) -> Data
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _fits(similarity: tuple[int, int]) -> F.Column:
+    """Bags as different in size as n and hub_n may be similar enough."""
+    up, down = similarity
+    return (F.col("n") * down >= F.col("hub_n") * up) & (F.col("hub_n") * down >= F.col("n") * up)
+
+
+def _open(placed: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Members that were no hubs, of the buckets in which these are of several classes."""
+    rest = placed.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+    several = rest.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    return rest.join(stored(several.select("bucket"), "several"), "bucket", "left_semi")
+
+
+def prefix_pairs(texts: DataFrame, shingle: int, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (node, label, text) of different labels that may be similar: all that are, and few others.
+
+    A bag of n shingles shares at least t * n of them with one that is t-similar. So in
+    any common order the first n - ceil(t * n) + 1 shingles of two such bags meet, and the
+    order is from the rarest on. A shingle that only one text has needs no row; a shingle
+    all of whose texts have one label has no pairs. Of the others, texts of any but the
+    shingle's most frequent label meet the rest. What two bags share from their first
+    common shingle on is at most what either has from there on, which leaves out most
+    pairs. A shingle that stands k times in a text counts as k different ones.
+    """
+    up, down = similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(2), 1 << 20):
+                hashes, offsets = shingles(words(part), shingle)
+                row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                order = np.lexsort((hashes, row))
+                hashes, row = hashes[order], row[order]
+                first = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])])[:len(hashes)]
+                begin = np.maximum.accumulate(np.where(first, np.arange(len(hashes)), 0))
+                tokens = mix(hashes + (np.arange(len(hashes)) - begin).astype(np.uint64) * _STEP)
+                at = pa.array(row + part.rows.start)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.diff(offsets)[row]), pa.array(tokens.view(np.int64))],
+                    names=["node", "label", "n", "token"],
+                )
+
+    tokens = stored(texts.select("node", "label", "text").mapInArrow(run, "node bigint, label bigint, n bigint, token bigint"), "tokens")
+    shared = stored(tokens.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1"), "shared")
+    common = tokens.join(shared, "token")
+    # tokens of one text alone come first of all and only take up places
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("texts", "token"))
+    reach = F.col("n") - F.expr(f"(n * {up} + {down - 1}) div {down}") + 1
+    prefix = common.withColumn("place", place + alone).filter(F.col("place") <= reach).select("node", "label", "n", "token", (F.col("n") - F.col("place")).alias("rest"))
+    prefix = stored(prefix, "prefix")
+    by_label = prefix.groupBy("token", "label").agg(F.count("*").alias("k"))
+    most = by_label.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.count("*").alias("labels")).filter("labels > 1")
+    mixed = stored(prefix.join(stored(most.select("token", F.col("m")["label"].alias("main")), "mixed"), "token"), "prefix")
+    few = mixed.filter("label <> main").select("token", F.col("node").alias("hub"), F.col("label").alias("hub_label"), F.col("n").alias("hub_n"), F.col("rest").alias("hub_rest"))
+    enough = (F.least("rest", "hub_rest") + 1) * (up + down) >= (F.col("n") + F.col("hub_n")) * up
+    met = mixed.join(few, "token").filter((F.col("label") != F.col("hub_label")) & _fits(similarity) & enough)
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -187,63 +249,52 @@ def near_duplicates(
 
     Copies are joined first, so only different texts are compared. Candidates share one of
     ``bands`` keys of ``rows`` components each: at a similarity of 0.8, 25 bands of 5 miss
-    1 pair in 20,000. Within a bucket, members meet a growing number of hubs and never each
-    other; a bucket is done when all its members are in one class, or each two of different
-    classes have been compared. No bucket is cut off.
+    1 pair in 20,000. A bucket's members first meet its hubs, one at a time, and never each
+    other. Texts of buckets that are still of several classes are then paired exactly by
+    their rarest shingles (see ``prefix_pairs``), where only texts of different classes
+    meet. No bucket is cut off.
     """
     key = F.coalesce(F.col(doc_id).cast("long"), -F.abs(F.xxhash64(text)))
     keyed = docs.select(key.alias("_key"), F.col(doc_id).isNotNull().alias("_own"), F.col(text).alias("_text"))
     sketches = stored(sketch(keyed, "_key", "_text", shingle, bands, rows), "sketches")
     texts = stored(sketches.filter("n > 0").groupBy("d1", "d2").agg(F.min("key").alias("node")), "texts")
     keys = sketches.filter("n > 0").join(texts.select("node").distinct(), F.col("key") == F.col("node"), "left_semi")
-    posted = keys.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket"))
-    posted = stored(posted.groupBy("bucket", "node").agg(F.max("n").alias("n")), "posted")
-    buckets = stored(posted.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("hub")).filter("members > 1").drop("members"), "buckets")
+    posted = stored(keys.select(F.col("key").alias("node"), "n", F.explode("bands").alias("bucket")).groupBy("bucket", "node").agg(F.max("n").alias("n")), "posted")
+    buckets = stored(posted.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
     members = stored(posted.join(buckets, "bucket"), "members")
-    up, down = similarity
-    fits = (F.col("n") * down >= F.col("hub_n") * up) & (F.col("hub_n") * down >= F.col("n") * up)
-
-    in_play = members.select("node").distinct()
-    held = keyed.join(in_play, F.col("_key") == F.col("node"), "left_semi").select(F.col("_key").alias("node"), F.col("_text").alias("text"))
-    held = stored(held, "held-texts")
-    sizes = stored(members.groupBy("node").agg(F.max("n").alias("n")), "sizes")
+    # the text that others vary shares more buckets with them than they do with each other
+    scores = stored(members.groupBy("node").agg(F.sum("members").alias("score")), "scores")
+    members = stored(members.join(scores, "node").select("bucket", "node", "n", "score"), "members")
+    in_play = keyed.join(scores, F.col("_key") == F.col("node"), "left_semi").select(F.col("_key").alias("node"), F.col("_text").alias("text"))
+    held = stored(in_play, "held-texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
         first = pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return stored(similar(first.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"), shingle, similarity), "links")
 
-    # every member meets the smallest of its bucket, which near copies share in most buckets
-    hub_sizes = sizes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"))
-    tried = stored(members.filter("node <> hub").groupBy("node", "hub").agg(F.max("n").alias("n")).join(hub_sizes, "hub").filter(fits).select(F.col("node").alias("a"), F.col("hub").alias("b")), "tried")
-    links = linked(tried)
-    hubs = members.select("bucket", "hub").distinct()
     # rows of one id with different words are one document
     double = sketches.filter("n > 0").join(texts, ["d1", "d2"]).filter("key <> node").select(F.col("key").alias("a"), F.col("node").alias("b"))
-    known = stored(double.join(texts.select(F.col("node").alias("a")).distinct(), "a", "left_semi").distinct(), "double")
-    links = links.union(known)
-    turn, labels = 1, components(links)
-    while True:
-        placed = members.select("bucket", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_ = placed.groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("bucket")
-        open_ = stored(open_, "open")
-        waiting = stored(placed.join(open_, "bucket").join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti"), "waiting")
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
-        chosen = stored(waiting.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 4**turn).select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label")), "hubs")
-        if chosen.isEmpty():
-            break
-        fresh = (
-            placed.join(open_, "bucket", "left_semi").join(chosen, "bucket").filter(F.col("label") != F.col("hub_label")).filter(fits)
-            .select(F.least("node", "hub").alias("b"), F.greatest("node", "hub").alias("a")).distinct()
-            .join(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-        )
-        fresh = stored(fresh, "tried")
-        tried = tried.union(fresh.select("a", "b"))
-        more = linked(fresh)
+    links = stored(double.join(texts.select(F.col("node").alias("a")).distinct(), "a", "left_semi").distinct(), "double")
+    nothing = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    labels, hubs = nothing if links.isEmpty() else components(links), None
+    for _ in range(HUBS):
+        placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        if hubs is not None:
+            placed = stored(_open(placed, hubs), "open")
+        chosen = placed.groupBy("bucket").agg(F.max(F.struct("score", -F.col("node"), "n", "label")).alias("h"))
+        chosen = stored(chosen.select("bucket", (-F.col("h")["col2"]).alias("hub"), F.col("h")["n"].alias("hub_n"), F.col("h")["label"].alias("hub_label")), "hubs")
+        met = placed.join(chosen, "bucket").filter((F.col("label") != F.col("hub_label")) & _fits(similarity))
+        more = linked(stored(met.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "tried"))
+        hubs = chosen if hubs is None else hubs.union(chosen)
         if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
-        hubs = hubs.union(chosen.select("bucket", "hub"))
-        turn += 1
+    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    left = stored(_open(placed, hubs).select("node", "label").distinct(), "left")
+    if not left.isEmpty():
+        more = linked(stored(prefix_pairs(held.join(left, "node"), shingle, similarity), "tried"))
+        if not more.isEmpty():
+            labels = components(links.union(more))
 
     classes = stored(texts.join(labels, "node", "left").select("d1", "d2", F.coalesce("label", "node").alias("class_id")), "classes")
     found = sketches.join(classes, ["d1", "d2"], "left").select("key", "own", "n", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("key")).alias("class_id"))
