@@ -1,14 +1,14 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are cut into blocks. A block starts from nothing and carries a checksum, so any block
+Ids are cut into blocks. A block starts from nothing and carries checksums, so any block
 can be read alone. Within a block, three predictions are mixed:
 
-* order 2: the id that followed the last two ids the last time they were met,
+* order 2: the id that followed the last two ids when they were met before,
 * order 1: the id that followed the last id,
 * order 0: the ids met so far by their counts, and an escape to ids not met yet.
 
-The weights of the mix are counts of which prediction came true, kept for each state of
-confidence of the two contexts. What comes true is coded by a range coder.
+The weights of the mix are the chances of each prediction to come true, learnt for each
+state of confidence of the two contexts. What comes true is coded by a range coder.
 
 Blocks are coded in step: each numpy operation works on one id of many blocks.
 """
@@ -21,12 +21,18 @@ import zlib
 import numpy as np
 
 BLOCK = 1 << 12
-WAYS = 64  # order-0 ids stand in WAYS groups of WAYS, as many as a block can hold
-CONTEXTS = 1 << 11
-SURE = 3  # highest confidence
+CONTEXTS = 1 << 10
+WAYS = 16  # order-0 ids are leaves of a tree of counts, three levels of so many branches
+LEAVES = WAYS**3
+STATES = 32
+RATE = 5
+BITS = 12  # the weights of the mix add up to 2**12
 
 _MASK = np.int64((1 << 48) - 1)
+_ONE = np.int64(1)
 _HEADER = struct.Struct("<IIII")  # ids, bytes of code, crc32 of the ids, crc32 of the code
+# for each branch: 1 at the bounds above it
+_ABOVE = np.triu(np.ones((WAYS, WAYS), np.int16), 1)
 
 
 class RangeEncoder:
@@ -35,143 +41,201 @@ class RangeEncoder:
     def __init__(self, rows: int, room: int):
         self.low = np.zeros(rows, np.int64)
         self.range = np.full(rows, 1 << 48, np.int64)
-        self.words = np.zeros((rows, room), np.int32)
-        self.size = np.zeros(rows, np.int64)
+        self.room = room
+        self.words = np.zeros(rows * room, np.int32)
+        self.end = np.arange(rows, dtype=np.int64) * room
 
-    def code(self, at: np.ndarray, start: np.ndarray, width: np.ndarray, total: np.ndarray) -> None:
-        """Code an interval of ``total`` for the rows ``at``."""
-        step = self.range[at] // total
-        low = self.low[at] + step * start
-        rng = step * width
+    def _move(self, low: np.ndarray, rng: np.ndarray, at: np.ndarray | None) -> None:
         carry = np.flatnonzero(low > _MASK)
         if len(carry):
-            self.words[at[carry], self.size[at[carry]] - 1] += 1
-            low &= _MASK
+            self.words[self.end[carry if at is None else at[carry]] - 1] += 1
+            low[carry] &= _MASK
         short = np.flatnonzero(rng < 1 << 32)
         if len(short):
-            some = at[short]
-            self.words[some, self.size[some]] = low[short] >> 32
-            self.size[some] += 1
-            low[short] = (low[short] << 16) & _MASK
+            some = short if at is None else at[short]
+            l, end = low[short], self.end[some]
+            self.words[end] = l >> 32
+            self.end[some] = end + 1
+            low[short] = (l << 16) & _MASK
             rng[short] <<= 16
+
+    def mixed(self, n: int, start: np.ndarray, width: np.ndarray) -> None:
+        """Code an interval of 2**BITS for each of the first ``n`` rows."""
+        low, rng = self.low[:n], self.range[:n]
+        rng >>= BITS
+        low += rng * start
+        rng *= width
+        self._move(low, rng, None)
+
+    def code(self, at: np.ndarray, start: np.ndarray, width: np.ndarray, total: np.ndarray) -> None:
+        """Code an interval of ``total`` for the rows ``at``."""
+        step = quotient(self.range[at], total)
+        low, rng = self.low[at] + step * start, step * width
+        self._move(low, rng, at)
         self.low[at], self.range[at] = low, rng
 
     def finish(self) -> list[bytes]:
         """The code of each row. What a decoder reads beyond its end is zero."""
-        rows = np.arange(len(self.low))
         # the interval is at least 2**32 wide, so one word tells a number in it
-        self.words[rows, self.size] = (self.low + (1 << 32) - 1) >> 32
-        self.size += 1
-        words = self.words[:, :int(self.size.max(initial=0))]
+        self.words[self.end] = (self.low + (1 << 32) - 1) >> 32
+        self.end += 1
+        sizes = self.end - np.arange(len(self.low)) * self.room
+        words = self.words.reshape(len(self.low), self.room)[:, :int(sizes.max(initial=0))].copy()
         while len(over := np.flatnonzero(words > 0xFFFF)):
             row, column = np.unravel_index(over, words.shape)
             words[row, column] -= 1 << 16
             np.add.at(words, (row, column - 1), 1)
         out = words.astype("<u2")
-        return [out[i, :n].tobytes() for i, n in enumerate(self.size)]
+        return [out[i, :n].tobytes() for i, n in enumerate(sizes)]
+
+
+def quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a // b for a below 2**48 and b up to 2**16, or a multiple of b less than 2**16 times it."""
+    q = (a / b).astype(np.int64)
+    q -= q * b > a
+    return q
 
 
 class RangeDecoder:
     def __init__(self, codes: list[bytes]):
-        room = max(map(len, codes), default=0) // 2 + 4
-        self.words = np.zeros((len(codes), room), np.int64)
+        # a decoder reads two words beyond the code, which are zero
+        self.room = max(map(len, codes), default=0) // 2 + 4
+        words = np.zeros((len(codes), self.room), np.int64)
         for i, c in enumerate(codes):
-            self.words[i, :len(c) // 2] = np.frombuffer(c, "<u2")
-        self.value = (self.words[:, 0] << 32) | (self.words[:, 1] << 16) | self.words[:, 2]
+            words[i, :len(c) // 2] = np.frombuffer(c, "<u2")
+        self.value = (words[:, 0] << 32) | (words[:, 1] << 16) | words[:, 2]
         self.range = np.full(len(codes), 1 << 48, np.int64)
-        self.size = np.full(len(codes), 3, np.int64)
-
-    def place(self, at: np.ndarray, total: np.ndarray) -> np.ndarray:
-        """Where the next symbols lie, of ``total``."""
-        self.range[at] = step = self.range[at] // total
-        return np.minimum(self.value[at] // step, total - 1)
+        self.words = words.ravel()
+        self.next = np.arange(len(codes), dtype=np.int64) * self.room + 3
 
-    def take(self, at: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        """Go on after the interval found; ``place`` comes first."""
-        step = self.range[at]
-        value, rng = self.value[at] - step * start, step * width
+    def _move(self, value: np.ndarray, rng: np.ndarray, at: np.ndarray | None) -> None:
         short = np.flatnonzero(rng < 1 << 32)
         if len(short):
-            some = at[short]
-            value[short] = (value[short] << 16) | self.words[some, np.minimum(self.size[some], self.words.shape[1] - 1)]
-            self.size[some] += 1
+            some = short if at is None else at[short]
+            place = self.next[some]
+            value[short] = (value[short] << 16) | self.words[place]
+            self.next[some] = place + 1
             rng[short] <<= 16
+
+    def mixed(self, n: int) -> np.ndarray:
+        """Where the next symbols of the first ``n`` rows lie, of 2**BITS; ``take_mixed`` comes next."""
+        rng = self.range[:n]
+        rng >>= BITS
+        return quotient(self.value[:n], rng)
+
+    def take_mixed(self, n: int, start: np.ndarray, width: np.ndarray) -> None:
+        value, rng = self.value[:n], self.range[:n]
+        value -= rng * start
+        rng *= width
+        self._move(value, rng, None)
+
+    def place(self, at: np.ndarray, total) -> np.ndarray:
+        """Where the next symbols of the rows ``at`` lie, of ``total``; ``take`` comes next."""
+        self.step = quotient(self.range[at], total)
+        self.here = self.value[at]
+        return np.minimum(quotient(self.here, self.step), total - 1)
+
+    def take(self, at: np.ndarray, start: np.ndarray, width) -> None:
+        value, rng = self.here - self.step * start, self.step * width
+        self._move(value, rng, at)
         self.value[at], self.range[at] = value, rng
 
 
 class Mixer:
     """The predictions of many blocks and what they have learnt."""
 
-    def __init__(self, rows: int, ids: int, length: int):
-        self.ids = ids
-        self.ways = min(WAYS, max(2, int(np.ceil(np.sqrt(length)))))
-        w = self.ways
+    def __init__(self, rows: int):
         self.base = np.arange(rows, dtype=np.int64)
-        self.next2 = np.full((rows, CONTEXTS), -1, np.int32)
-        self.next1 = np.full((rows, CONTEXTS), -1, np.int32)
-        self.sure2 = np.zeros((rows, CONTEXTS), np.int8)
-        self.sure1 = np.zeros((rows, CONTEXTS), np.int8)
-        self.weights = np.tile(np.array([24, 16, 40], np.int32), (rows, 2 * (SURE + 1) ** 2, 1))
-        self.last = np.zeros(rows, np.int64)
-        self.before = np.zeros(rows, np.int64)
-        # order 0: cumulative counts over groups, and within each group
-        self.groups = np.zeros((rows, w + 1), np.int16)
-        self.inner = np.zeros((rows * w, w + 1), np.int16)
-        self.members = np.zeros((rows, w * w), np.int32)
+        # an entry is 0, or four times the id plus one, and the confidence from 1 to 3
+        self.next1 = np.zeros(rows * CONTEXTS, np.int32)
+        self.next2 = np.zeros(rows * CONTEXTS, np.int32)
+        self.contexts = self.base * CONTEXTS
+        self.states = self.base * STATES
+        self.chance2 = np.full(rows * STATES, 1 << 14, np.int32)
+        self.chance1 = np.full(rows * STATES, 1 << 14, np.int32)
+        self.hash1 = np.zeros(rows, np.int64)
+        self.hash2 = np.zeros(rows, np.int64)
+        # cumulative counts of the branches before each, for each node of the tree
+        self.top = np.zeros((rows, WAYS), np.int16)
+        self.middle = np.zeros((rows * WAYS, WAYS), np.int16)
+        self.lowest = np.zeros((rows * WAYS**2, WAYS), np.int16)
+        self.counts = np.zeros(rows * LEAVES, np.int16)
+        self.members = np.zeros(rows * LEAVES, np.int32)
+        self.seen = np.zeros(rows, np.int64)
         self.met = np.zeros(rows, np.int64)
-        self.above = np.triu(np.ones((w, w + 1), np.int16), 1)
 
     def look(self, n: int) -> None:
-        """Predictions for the next id of the first ``n`` blocks."""
-        last, before = self.last[:n], self.before[:n]
-        self.slot1 = (last * 0x9E3779B1 >> 7) & (CONTEXTS - 1)
-        self.slot2 = ((last * 0x9E3779B1 + before * 0x85EBCA6B) >> 9) & (CONTEXTS - 1)
-        base = self.base[:n]
-        flat1, flat2 = base * CONTEXTS + self.slot1, base * CONTEXTS + self.slot2
-        self.flat1, self.flat2 = flat1, flat2
-        self.guess1, self.guess2 = self.next1.ravel()[flat1], self.next2.ravel()[flat2]
-        self.c1, self.c2 = self.sure1.ravel()[flat1], self.sure2.ravel()[flat2]
-        self.same = self.guess1 == self.guess2
-        self.state = base * (2 * (SURE + 1) ** 2) + (self.same * (SURE + 1) + self.c2) * (SURE + 1) + self.c1
-        w = self.weights.reshape(-1, 3)[self.state]
-        # a prediction that does not exist or says nothing new has no weight
-        self.w2 = np.where(self.guess2 >= 0, w[:, 0], 0).astype(np.int64)
-        self.w1 = np.where((self.guess1 >= 0) & ~self.same, w[:, 1], 0).astype(np.int64)
-        self.total = self.w2 + self.w1 + w[:, 2]
-
-    def learn(self, n: int, ids: np.ndarray, which: np.ndarray) -> None:
-        """``which`` prediction came true: 0 order 2, 1 order 1, 2 neither."""
-        weights = self.weights.reshape(-1, 3)
-        weights[self.state, which] += 24
-        full = self.state[weights[self.state].sum(axis=1) > 4000]
-        if len(full):
-            weights[full] = (weights[full] >> 1) | 1
-        for nexts, sures, flat, guess, sure in ((self.next1, self.sure1, self.flat1, self.guess1, self.c1), (self.next2, self.sure2, self.flat2, self.guess2, self.c2)):
-            hit = guess == ids
-            keep = ~hit & (sure > 1)
-            nexts.ravel()[flat] = np.where(keep, guess, ids)
-            sures.ravel()[flat] = np.where(hit, np.minimum(sure + 1, SURE), np.where(keep, sure - 2, 0))
-        self.before[:n] = self.last[:n]
-        self.last[:n] = ids
+        """Predictions for the next id of the first ``n`` blocks, and the bounds of the mix."""
+        self.at1, self.at2 = self.contexts[:n] + self.hash1[:n], self.contexts[:n] + self.hash2[:n]
+        e1, e2 = self.next1.take(self.at1), self.next2.take(self.at2)
+        self.e1, self.e2 = e1, e2
+        self.guess1, self.guess2 = (e1 >> 2) - 1, (e2 >> 2) - 1
+        self.sure1, self.sure2 = e1 & 3, e2 & 3
+        self.state = self.states[:n] + ((self.sure2 << 3) | (self.sure1 << 1) | (self.guess1 == self.guess2))
+        self.p2, self.p1 = self.chance2.take(self.state), self.chance1.take(self.state)
+        self.bound2 = ((self.p2 * ((1 << BITS) - 3)) >> 16) + 1
+        self.bound1 = self.bound2 + (((((1 << BITS) - 2) - self.bound2) * self.p1) >> 16) + 1
+
+    def bounds(self, second: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The interval of what came true: order 2, order 1, or else order 0."""
+        start = np.where(second, 0, np.where(first, self.bound2, self.bound1))
+        stop = np.where(second, self.bound2, np.where(first, self.bound1, 1 << BITS))
+        return start, stop - start
+
+    def learn(self, n: int, ids: np.ndarray, second: np.ndarray, first: np.ndarray) -> None:
+        self.chance2[self.state] = self.p2 + (((second << 16) - self.p2) >> RATE)
+        self.chance1[self.state] = np.where(second, self.p1, self.p1 + (((first << 16) - self.p1) >> RATE))
+        fresh = (ids << 2) + 5
+        self.next2[self.at2] = np.where(second, self.e2 + (self.sure2 < 3), np.where(self.sure2 > 1, self.e2 - 1, fresh))
+        self.next1[self.at1] = np.where(self.guess1 == ids, self.e1 + (self.sure1 < 3), np.where(self.sure1 > 1, self.e1 - 1, fresh))
+        h = ids * np.int64(0x9E3779B1)
+        self.hash2[:n] = ((self.hash1[:n] * 0x85EBCA6B + h) >> 11) & (CONTEXTS - 1)
+        self.hash1[:n] = (h >> 15) & (CONTEXTS - 1)
 
     def escape(self, at: np.ndarray) -> np.ndarray:
-        """Weight of an id not met yet: it falls as fewer of the ids met are new."""
-        return self.met[at] // 2 + 1
-
-    def count(self, at: np.ndarray, slot: np.ndarray) -> None:
-        """One more of the ids at these places."""
-        w = self.ways
-        group, within = slot // w, slot % w
-        self.groups[at] += self.above[group]
-        self.inner[at * w + group] += self.above[within]
+        """Weight of an id not met yet."""
+        return (self.met[at] >> 1) + 1
+
+    def nodes(self, at: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indices of a leaf's nodes on the middle and the lowest level."""
+        return at * WAYS + (leaf >> 8), at * WAYS**2 + (leaf >> 4)
+
+    def below(self, at: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Counts of all leaves before these."""
+        middle, lowest = self.nodes(at, leaf)
+        return (
+            self.top.ravel().take(at * WAYS + (leaf >> 8)).astype(np.int64)
+            + self.middle.ravel().take(middle * WAYS + ((leaf >> 4) & 15))
+            + self.lowest.ravel().take(lowest * WAYS + (leaf & 15))
+        )
+
+    def find(self, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The leaf at a place among the counts, and the counts before it."""
+        rest = place.astype(np.int16)
+        leaf, index = np.zeros(len(at), np.int64), at
+        for level in (self.top, self.middle, self.lowest):
+            row = level.take(index, axis=0)
+            branch = (row <= rest[:, None]).sum(axis=1) - 1
+            rest = rest - row.ravel().take(np.arange(len(at)) * WAYS + branch)
+            leaf = leaf * WAYS + branch
+            index = index * WAYS + branch
+        return leaf, place - rest
+
+    def count(self, at: np.ndarray, leaf: np.ndarray) -> None:
+        """One more of the ids at these leaves."""
+        middle, lowest = self.nodes(at, leaf)
+        self.top[at] += _ABOVE.take(leaf >> 8, axis=0)
+        self.middle[middle] += _ABOVE.take((leaf >> 4) & 15, axis=0)
+        self.lowest[lowest] += _ABOVE.take(leaf & 15, axis=0)
+        self.counts[at * LEAVES + leaf] += 1
+        self.seen[at] += 1
 
     def add(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Ids met for the first time; their places."""
-        slot = self.met[at]
-        self.members[at, slot] = ids
-        self.met[at] += 1
-        self.count(at, slot)
-        return slot
+        """Ids met for the first time; their leaves."""
+        leaf = self.met[at]
+        self.members[at * LEAVES + leaf] = ids
+        self.met[at] = leaf + 1
+        return leaf
 
 
 def _ordered(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,11 +245,11 @@ def _ordered(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
-    """Frames of blocks of ids below ``ids``; a block holds at most WAYS * WAYS ids."""
+    """Frames of blocks of ids below ``ids``; a block holds at most LEAVES ids."""
     if not blocks:
         return []
     lengths = np.array([len(b) for b in blocks])
-    if lengths.max() > WAYS * WAYS:
+    if lengths.max() > LEAVES:
         raise ValueError("block too long")
     if any(len(b) and int(b.max()) >= ids for b in blocks):
         raise ValueError("id out of range")
@@ -194,33 +258,32 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
     table = np.zeros((length, rows), np.int32)
     for column, k in enumerate(order):
         table[:lengths[k], column] = blocks[k]
-    places = np.full((rows, ids), -1, np.int16)  # of each id among those that order 0 has met
-    mixer, coder = Mixer(rows, ids, max(length, 1)), RangeEncoder(rows, length * 3 + 8)
-    w = mixer.ways
+    leaves = np.full(rows * ids, -1, np.int16)  # of each id that order 0 has met
+    mixer, coder = Mixer(rows), RangeEncoder(rows, length * 3 + 8)
     for t in range(length):
         n = int(active[t])
         now = table[t, :n]
         mixer.look(n)
-        which = np.where(now == mixer.guess2, 0, np.where(now == mixer.guess1, 1, 2))
-        start = np.where(which == 0, 0, np.where(which == 1, mixer.w2, mixer.w2 + mixer.w1))
-        width = np.where(which == 0, mixer.w2, np.where(which == 1, mixer.w1, mixer.total - mixer.w2 - mixer.w1))
-        coder.code(mixer.base[:n], start, width, mixer.total)
-        rest = np.flatnonzero(which == 2)
-        if len(rest):
-            seen, out = mixer.groups[rest, w].astype(np.int64), mixer.escape(rest)
-            slot = places[rest, now[rest]].astype(np.int64)
-            new = slot < 0
-            group, within = slot // w, slot % w
-            below = mixer.inner[rest * w + group, within].astype(np.int64)
-            one = mixer.inner[rest * w + group, within + 1] - below
-            below += mixer.groups[rest, group]
-            coder.code(rest, np.where(new, seen, below), np.where(new, out, one), seen + out)
-            novel, known = rest[new], ~new
-            mixer.count(rest[known], slot[known])
-            if len(novel):
-                coder.code(novel, now[novel].astype(np.int64), np.ones(len(novel), np.int64), np.full(len(novel), ids))
-                places[novel, now[novel]] = mixer.add(novel, now[novel])
-        mixer.learn(n, now, which)
+        second = now == mixer.guess2
+        first = (now == mixer.guess1) & ~second
+        coder.mixed(n, *mixer.bounds(second, first))
+        at = np.flatnonzero(~(second | first))
+        if len(at):
+            seen, out = mixer.seen[at], mixer.escape(at)
+            places = at * ids + now[at]
+            leaf = leaves.take(places).astype(np.int64)
+            new = leaf < 0
+            leaf[new] = 0
+            start = np.where(new, seen, mixer.below(at, leaf))
+            coder.code(at, start, np.where(new, out, mixer.counts.take(at * LEAVES + leaf)), seen + out)
+            fresh = np.flatnonzero(new)
+            if len(fresh):
+                novel = at[fresh]
+                coder.code(novel, now[novel].astype(np.int64), _ONE, ids)
+                leaf[fresh] = mixer.add(novel, now[novel])
+                leaves[places[fresh]] = leaf[fresh]
+            mixer.count(at, leaf)
+        mixer.learn(n, now, second, first)
     frames: list[bytes] = [b""] * rows
     for k, code in zip(order, coder.finish()):
         raw = blocks[k].astype("<u4").tobytes()
@@ -232,51 +295,39 @@ def decode_blocks(frames: list[tuple[int, int, int, bytes]], ids: int) -> list[n
     """The ids of frames as ``split_frames`` gives them. A checksum that does not fit is an error."""
     if not frames:
         return []
-    for n, _, code_crc, code in frames:
+    for _, _, code_crc, code in frames:
         if zlib.crc32(code) != code_crc:
             raise ValueError("a block's code is damaged")
     lengths = np.array([f[0] for f in frames])
     order, active = _ordered(lengths)
     rows, length = len(frames), int(lengths.max())
     table = np.zeros((length, rows), np.int32)
-    mixer, coder = Mixer(rows, ids, max(length, 1)), RangeDecoder([frames[k][3] for k in order])
-    w = mixer.ways
+    mixer, coder = Mixer(rows), RangeDecoder([frames[k][3] for k in order])
     for t in range(length):
         n = int(active[t])
         mixer.look(n)
-        everyone = mixer.base[:n]
-        place = coder.place(everyone, mixer.total)
-        both = mixer.w2 + mixer.w1
-        which = (place >= mixer.w2).astype(np.int64) + (place >= both)
-        start = np.where(which == 0, 0, np.where(which == 1, mixer.w2, both))
-        width = np.where(which == 0, mixer.w2, np.where(which == 1, mixer.w1, mixer.total - both))
-        coder.take(everyone, start, width)
-        now = np.where(which == 0, mixer.guess2, mixer.guess1)
-        rest = np.flatnonzero(which == 2)
-        if len(rest):
-            seen, out = mixer.groups[rest, w].astype(np.int64), mixer.escape(rest)
-            place = coder.place(rest, seen + out)
+        place = coder.mixed(n)
+        second = place < mixer.bound2
+        first = (place < mixer.bound1) & ~second
+        coder.take_mixed(n, *mixer.bounds(second, first))
+        now = np.where(second, mixer.guess2, mixer.guess1)
+        at = np.flatnonzero(~(second | first))
+        if len(at):
+            seen, out = mixer.seen[at], mixer.escape(at)
+            place = coder.place(at, seen + out)
             new = place >= seen
-            group = np.minimum((mixer.groups[rest] <= place[:, None]).sum(axis=1) - 1, w - 1)
-            inside = place - mixer.groups[rest, group]
-            row = mixer.inner[rest * w + group]
-            within = np.minimum((row <= inside[:, None]).sum(axis=1) - 1, w - 1)
-            each = np.arange(len(rest))
-            below = row[each, within].astype(np.int64)
-            one = row[each, within + 1] - below
-            below += mixer.groups[rest, group]
-            coder.take(rest, np.where(new, seen, below), np.where(new, out, one))
-            known = ~new
-            slot = group[known] * w + within[known]
-            now[rest[known]] = mixer.members[rest[known], slot]
-            mixer.count(rest[known], slot)
-            novel = rest[new]
-            if len(novel):
-                found = coder.place(novel, np.full(len(novel), ids))
-                coder.take(novel, found, np.ones(len(novel), np.int64))
+            leaf, start = mixer.find(at, np.where(new, 0, place))
+            coder.take(at, np.where(new, seen, start), np.where(new, out, mixer.counts.take(at * LEAVES + leaf)))
+            now[at] = mixer.members.take(at * LEAVES + leaf)
+            fresh = np.flatnonzero(new)
+            if len(fresh):
+                novel = at[fresh]
+                found = coder.place(novel, ids)
+                coder.take(novel, found, _ONE)
                 now[novel] = found
-                mixer.add(novel, found)
-        mixer.learn(n, now, which)
+                leaf[fresh] = mixer.add(novel, found)
+            mixer.count(at, leaf)
+        mixer.learn(n, now, second, first)
         table[t, :n] = now
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * rows
     for column, k in enumerate(order):

@@ -238,6 +238,7 @@ def contaminated_spans(
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
+    keep: list[str] | None = None,
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
@@ -248,14 +249,14 @@ def contaminated_spans(
     shuffle. Each automaton is a broadcast of bounded size.
 
     Null texts and texts without words have no spans; null or empty items hit nothing;
-    an empty benchmark hits nothing. Items with the same text or id all count. Columns
-    of ``docs`` are kept; those three names must be free.
+    an empty benchmark hits nothing. Items with the same text or id all count. ``keep``
+    names the columns to keep, all if None; those with the three names give way.
     """
     spark = docs.sparkSession
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, n_words bigint, hit_spans array<struct<lo:bigint,hi:bigint>>, hit_items array<string>"
-    clash = {"n_words", "hit_spans", "hit_items"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"docs has columns {sorted(clash)}")
+    made = ["n_words", "hit_spans", "hit_items"]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "n_words bigint, hit_spans array<struct<lo:bigint,hi:bigint>>, hit_items array<string>"])
     held = [
         spark.sparkContext.broadcast(pickle.dumps(ItemAutomaton(group, window), protocol=5))
         for group in shards(benchmark, item, item_text, shard_words)
@@ -278,15 +279,15 @@ def contaminated_spans(
                     sizes[part.rows.start:part.rows.stop] = np.diff(words(part).offsets).tolist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns,
+                    *(batch.column(batch.schema.get_field_index(c)) for c in kept),
                     pa.array(sizes, pa.int64()),
                     pa.array([[{"lo": a, "hi": b} for a, b in joined(s)] for s in spans], out),
                     pa.array([sorted(s) for s in items], pa.list_(pa.string())),
                 ],
-                names=[*batch.schema.names, "n_words", "hit_spans", "hit_items"],
+                names=[*kept, *made],
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -317,10 +318,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, coverage: int = 20,
     stands between them. Documents under the limit are left as they are. Columns as in
     ``docs``.
     """
-    found = contaminated_spans(docs, benchmark, text=text, **options)
+    names = docs.columns
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    body = f"_c{names.index(text)}"
+    found = contaminated_spans(plain, benchmark, text=body, **options)
     if not cut:
-        return found.filter(~over_limit(coverage)).select(*docs.columns)
-    return found.withColumn(text, F.when(over_limit(coverage), _cut(F.col(text), F.col("hit_spans"))).otherwise(F.col(text))).select(*docs.columns)
+        return found.filter(~over_limit(coverage)).select(*plain.columns).toDF(*names)
+    less = F.when(over_limit(coverage), _cut(F.col(body), F.col("hit_spans"))).otherwise(F.col(body))
+    return found.withColumn(body, less).select(*plain.columns).toDF(*names)
 
 
 @F.pandas_udf(StringType())

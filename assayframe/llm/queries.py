@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontam, html, langid, mixing, neardup, tokencount, topk, toxicity
+from assayframe.llm import decontam, html, langid, licences, mixing, neardup, tokencount, tokenio, topk, toxicity
 from assayframe.llm.scratch import held_out, remainder
 from assayframe.llm.query_tools import table
+from assayframe.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +26,7 @@ def query(fn):
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of each document, and whether it is contaminated."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontam.contaminated_spans(docs, table(spark, sf_dir, "benchmark"))
+    found = decontam.contaminated_spans(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "doc_id",
         "n_words",
@@ -151,3 +152,48 @@ reach AS (
 SELECT doc_id, min(b) AS class_id, coalesce(max(n), 0)::BIGINT AS n_shingles
 FROM d JOIN reach ON a = doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+
+@query
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's token ids, read back from the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenio.through_files(docs, scratch_path(spark, "token-ids"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence that each document is, and the licence notices on its lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.known_licences(spark), keep=["doc_id"])
+    return found.select("doc_id", "license_id", F.array_join("notices", ",").alias("notices"), "n_notices")
+
+
+_KNOWN_SQL = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in licences.KNOWN)
+
+
+def _lines_sql(text: str) -> str:
+    return f"list_transform(regexp_split_to_array({text}, '\\r\\n|\\n|\\r'), lambda x: {licences.normal_sql('x')})"
+
+
+def _whole_sql(lines: str) -> str:
+    return f"array_to_string(list_filter({lines}, lambda x: x <> ''), ' ')"
+
+
+ORACLES["op5_license_scan"] = f"""
+WITH known AS (
+  SELECT sha256({_whole_sql(_lines_sql("text"))}) AS digest, min(id) AS id
+  FROM (VALUES {_KNOWN_SQL}) AS t(id, text) GROUP BY ALL
+),
+d AS (SELECT doc_id, {_lines_sql("coalesce(text, '')")} AS lines FROM documents),
+units AS (
+  SELECT doc_id, 0 AS place, {_whole_sql("lines")} AS u FROM d
+  UNION ALL
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS place, unnest(lines) AS u FROM d
+),
+found AS (SELECT doc_id, place, id FROM units JOIN known ON sha256(u) = digest WHERE u <> '')
+SELECT doc_id, max(CASE WHEN place = 0 THEN id END) AS license_id,
+  coalesce(string_agg(DISTINCT id, ',' ORDER BY id) FILTER (place > 0), '') AS notices,
+  count(*) FILTER (place > 0)::BIGINT AS n_notices
+FROM d LEFT JOIN found USING (doc_id) GROUP BY doc_id
+"""

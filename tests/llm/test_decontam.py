@@ -60,5 +60,7 @@ def test_table(spark):
     assert cut == {1: None, 4: "so  here"}
     assert decontam.contaminated_spans(docs, bench.limit(0)).filter("size(hit_items) > 0").count() == 0
     assert decontam.contaminated_spans(docs.limit(0), bench).count() == 0
-    with pytest.raises(ValueError):
-        decontam.contaminated_spans(docs.withColumn("n_words", docs["doc_id"]), bench)
+    clash = docs.withColumn("n_words", docs["doc_id"])
+    assert decontam.contaminated_spans(clash, bench).columns == [*docs.columns, "n_words", "hit_spans", "hit_items"]
+    assert decontam.decontaminate(clash, bench).columns == clash.columns
+    assert decontam.contaminated_spans(docs, bench, keep=["doc_id"]).columns == ["doc_id", "n_words", "hit_spans", "hit_items"]
