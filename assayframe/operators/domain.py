@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions import vectors as vec
@@ -32,6 +32,8 @@ def knn_distances(
 ) -> DataFrame:
     """(key, distances, mean_distance) to the k nearest training rows.
 
+    Every query row comes back; one without features has null distances.
+
     ``features`` holds tokens for ``jaccard`` and vectors for the other metrics. A
     training row that is also a query counts itself, at distance 0.
 
@@ -55,7 +57,11 @@ def knn_distances(
 
     # Equal feature values are compared once: one row per value, with how many
     # queries and training rows have it.
-    queries = cut_lineage(queries.select(key, F.col(features).alias("tokens")).filter("tokens IS NOT NULL"))
+    every = cut_lineage(queries.select(key, F.col(features).alias("tokens")))
+    queries = every.filter("tokens IS NOT NULL")
+    unknown = every.filter("tokens IS NULL").select(
+        key, F.lit(None).cast("array<double>").alias("distances"), F.lit(None).cast("double").alias("mean_distance")
+    )
     known = train.select(F.col(features).alias("tokens")).filter("tokens IS NOT NULL")
     both = queries.select("tokens", F.lit(1).alias("asked"), F.lit(0).alias("known")).unionByName(
         known.select("tokens", F.lit(0).alias("asked"), F.lit(1).alias("known"))
@@ -73,7 +79,8 @@ def knn_distances(
     found = values.filter("asked > 0").select("rep", "tokens", "asked").join(
         near.withColumn("mean_distance", mean), "rep"
     )
-    return attach(queries, found, ["tokens"], "asked", [key]).select(key, "distances", "mean_distance")
+    measured = attach(queries, found, ["tokens"], "asked", [key]).select(key, "distances", "mean_distance")
+    return measured.unionByName(unknown)
 
 
 def _index_neighbours(values: DataFrame, k: int, cutoff, rows_per_block: int) -> DataFrame:
@@ -166,6 +173,27 @@ def domain_profile(train_distances: DataFrame, *, percentile: float = 75, distan
     ).withColumn("percentile", F.round(value, 3))
 
 
+def _steps_up_to(value: Column, start: Column, step: float) -> Column:
+    """The smallest whole i from 0 on with ``start + i * step >= value``.
+
+    Division only gives a guess that may be one off at the edge of a step; the
+    comparison decides, and it is the very one that judges the records.
+    """
+    guess = F.greatest(F.floor((value - start) / step), F.lit(1)).cast("long")
+
+    def reaches(i: Column) -> Column:
+        return start + i * F.lit(step) >= value
+
+    return (
+        F.when(value.isNull(), F.lit(None).cast("long"))
+        .when(start >= value, F.lit(0).cast("long"))
+        .when(reaches(guess - 1), guess - 1)
+        .when(reaches(guess), guess)
+        .when(reaches(guess + 1), guess + 1)
+        .otherwise(guess + 2)
+    )
+
+
 def domain_threshold(
     train_distances: DataFrame,
     test_distances: DataFrame,
@@ -182,7 +210,8 @@ def domain_threshold(
     The threshold starts at the training percentile and grows by ``step`` until
     90% of the test rows are inside or the largest training distance is reached,
     which it may pass by less than a step. All steps are judged in one aggregate:
-    each test row first counts at a known step.
+    each test row first counts at a known step. Test rows without a distance do
+    not count.
     """
     if metric == "jaccard" and max_distance is not None and max_distance > 1:
         raise ValueError("a jaccard distance cannot exceed 1")
@@ -192,10 +221,11 @@ def domain_threshold(
     start = one_row(profile)
     largest = F.lit(float(max_distance)) if max_distance is not None else start["max_distance"]
     # the last step is where the threshold is no longer below the largest distance
-    last = F.greatest(F.ceil((largest - start["percentile"]) / step), F.lit(0)).cast("int")
-    enters = F.ceil((F.col(distance) - start["percentile"]) / step).cast("int")
+    last = F.coalesce(_steps_up_to(largest, start["percentile"], step), F.lit(0))
+    enters = _steps_up_to(F.col(distance), start["percentile"], step)
     counted = (
-        test_distances.groupBy(F.greatest(F.least(enters, last + 1), F.lit(0)).alias("i"))
+        test_distances.filter(F.col(distance).isNotNull())
+        .groupBy(F.least(enters, last + 1).alias("i"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # one row per step from here on

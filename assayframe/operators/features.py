@@ -125,7 +125,7 @@ def hashed_fingerprint(
 
     Bits are pure column work. Counts are summed per (key, bit) by partial
     aggregation first, so a long text does not build its counts in one expression.
-    A record without text has no row in the count form and null in the bit form.
+    Missing text has null tokens in both forms, text without shingles none.
     """
     if not counts:
         return df.select(key, fp.bit_tokens(F.col(text), kind=kind, size=size, n_bits=n_bits).alias(name))
@@ -134,7 +134,11 @@ def hashed_fingerprint(
     )
     per_bit = bits.groupBy(key, "__bit").agg(F.count(F.lit(1)).cast("int").alias("__n"))
     maps = per_bit.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__bit", "__n"))).alias("__c"))
-    return maps.select(key, fp.count_tokens(F.col("__c"), n_bits).alias(name))
+    counted = maps.select(key, fp.count_tokens(F.col("__c"), n_bits).alias(name))
+    positions = fp.bit_positions(F.col(text), kind=kind, size=size, n_bits=n_bits)
+    bare = df.filter(F.col(text).isNull() | (F.size(positions) < 1))
+    nothing = F.when(F.col(text).isNotNull(), F.array().cast(counted.schema[name].dataType)).alias(name)
+    return counted.unionByName(bare.select(key, nothing))
 
 
 def fingerprint_columns(

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,24 +23,13 @@ CLASSIFIERS = {
 }
 
 
-class BinaryMetric(Evaluator):
-    """Any metric of the registry as a pyspark.ml evaluator."""
-
-    def __init__(self, metric: str, truth: str, larger_better: bool = True):
-        super().__init__()
-        if metric not in METRICS:
-            raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
-        self.metric, self.truth, self.larger_better = metric, truth, larger_better
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        cells = dataset.agg(*cell_counts(F.col(self.truth), F.col("prediction")))
-        return float(cells.select(METRICS[self.metric]()).first()[0] or 0.0)
-
-    def isLargerBetter(self) -> bool:
-        return self.larger_better
-
-    def copy(self, extra=None):
-        return BinaryMetric(self.metric, self.truth, self.larger_better)
+def score_of(scored: DataFrame, metric: str, truth: str) -> float | None:
+    """A metric of the registry over ``prediction``; None where it is undefined."""
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
+    cells = scored.agg(*cell_counts(F.col(truth), F.col("prediction")))
+    value = cells.select(METRICS[metric]()).first()[0]
+    return None if value is None else float(value)
 
 
 def draw_params(space: Mapping[str, object], n_trials: int, seed: int) -> list[dict[str, object]]:
@@ -77,10 +66,21 @@ def draw_params(space: Mapping[str, object], n_trials: int, seed: int) -> list[d
     return trials
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
+    """``df`` as the models can take it.
+
+    ``missing`` says what happens to rows without one of the columns: "error" fails when
+    such a row is met, "skip" leaves them out.
+    """
+    if missing not in ("error", "skip"):
+        raise ValueError("missing is 'error' or 'skip'")
+    return df.na.drop(subset=list(columns)) if missing == "skip" else df
+
+
 def _stages(model: str, features: Sequence[str], label: str, standardize: bool, params: Mapping[str, object]):
     if model not in CLASSIFIERS:
         raise ValueError(f"unknown model {model!r}: use one of {sorted(CLASSIFIERS)}")
-    stages = [VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="skip")]
+    stages = [VectorAssembler(inputCols=list(features), outputCol="__raw", handleInvalid="error")]
     column = "__raw"
     if standardize:
         # fitted with the training rows only, since it is part of the pipeline
@@ -102,40 +102,64 @@ def tune_cv(
     metric: str = "balanced_accuracy",
     direction: str = "maximize",
     standardize: bool = False,
+    role: str | None = None,
+    by: Sequence[str] = (),
+    missing: str = "error",
     seed: int = 1,
     parallelism: int = 4,
     fixed: Mapping[str, object] | None = None,
 ) -> list[dict[str, object]]:
-    """Mean score of each trial over the given folds, best first.
+    """Score of each trial in each fold and their mean, best first.
 
-    ``folds`` has one row per record with the number of the fold it validates.
+    Without ``role``, ``folds`` has one row per record with the number of the fold it
+    validates. With it, ``folds`` has a row per record for each fold, as the fold builders
+    give: training rows have the role train and are judged on those with the role val;
+    no other role is ever seen. ``by`` names further columns that tell folds apart, such as
+    the repeat.
+
+    Each entry has the parameters, the mean score and the folds' ``scores``. A metric that
+    is undefined in a fold is None there, the mean is None, and such trials come last.
+    Nothing is fitted but the trials. ``missing`` as in :func:`complete_rows`.
     """
     if direction not in ("maximize", "minimize"):
         raise ValueError("direction is 'maximize' or 'minimize'")
-    n_folds = folds.agg(F.max(fold)).first()[0] + 1
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
     stages = _stages(model, features, label, standardize, dict(fixed or {}))
     classifier = stages[-1]
     trials = draw_params(space or {}, n_trials, seed)
     grid = [{classifier.getParam(n): v for n, v in t.items()} for t in trials]
-    evaluator = BinaryMetric(metric, label, direction == "maximize")
-    search = CrossValidator(
-        estimator=Pipeline(stages=stages),
-        estimatorParamMaps=grid,
-        evaluator=evaluator,
-        numFolds=n_folds,
-        foldCol=fold,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    data = folds.select(*features, F.col(label).cast("double").alias(label), F.col(fold).cast("int").alias(fold))
+    kept = [*by, fold, *([role] if role else [])]
+    data = complete_rows(folds, features, missing).select(*features, F.col(label).cast("double").alias(label), *kept)
+    if role:
+        data = data.filter(F.col(role).isin("train", "val"))
     # read once per trial and fold
     data = data.persist()
     try:
-        fitted = search.fit(data)
+        # one row per fold
+        keys = [tuple(r) for r in data.select(*by, fold).distinct().orderBy(*by, fold).collect()]
+
+        def run(task: tuple[int, int]) -> float | None:
+            here = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in zip([*by, fold], keys[task[1]])])
+            if role:
+                train, val = data.filter(here & (F.col(role) == "train")), data.filter(here & (F.col(role) == "val"))
+            else:
+                train, val = data.filter(~here), data.filter(here)
+            fitted = Pipeline(stages=stages).fit(train.select(*features, label), grid[task[0]])
+            return score_of(fitted.transform(val), metric, label)
+
+        tasks = [(t, f) for t in range(len(trials)) for f in range(len(keys))]
+        with ThreadPool(max(1, parallelism)) as pool:
+            values = pool.map(run, tasks)
     finally:
         data.unpersist()
-    scored = [{"params": t, "score": float(s)} for t, s in zip(trials, fitted.avgMetrics)]
-    return sorted(scored, key=lambda r: r["score"], reverse=direction == "maximize")
+    scored = []
+    for i, trial in enumerate(trials):
+        scores = values[i * len(keys):(i + 1) * len(keys)]
+        mean = None if None in scores or not scores else sum(scores) / len(scores)
+        scored.append({"params": trial, "score": mean, "scores": [{"fold": k, "score": v} for k, v in zip(keys, scores)]})
+    sign = -1 if direction == "maximize" else 1
+    return sorted(scored, key=lambda r: (r["score"] is None, sign * (r["score"] or 0.0)))
 
 
 def fit_final(
@@ -147,9 +171,10 @@ def fit_final(
     params: Mapping[str, object] | None = None,
     standardize: bool = False,
     role: str = "role",
+    missing: str = "error",
 ) -> PipelineModel:
-    """Fit on the train and val rows of a fold, scaled as in the search."""
-    data = rows.filter(F.col(role).isin("train", "val"))
+    """Fit on the train and val rows of a fold, scaled as in the search. ``missing`` as in :func:`complete_rows`."""
+    data = complete_rows(rows.filter(F.col(role).isin("train", "val")), features, missing)
     data = data.select(*features, F.col(label).cast("double").alias(label))
     return Pipeline(stages=_stages(model, features, label, standardize, dict(params or {}))).fit(data)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,11 +88,19 @@ def box_stats(
     )
 
 
-def value_histogram(df: DataFrame, column: str, *, bins: int | None = None) -> DataFrame:
+# Empty bins are listed in runs of so many, so no row makes more.
+BINS_AT_ONCE = 4096
+
+
+def value_histogram(
+    df: DataFrame, column: str, *, bins: int | None = None, list_empty: bool = True, max_listed: int = 1_000_000
+) -> DataFrame:
     """Histogram with a fixed number of bins or an automatic one.
 
     The automatic width is the smaller of the Sturges and the Freedman-Diaconis
-    width. The last bin includes its upper edge; empty bins are listed with 0.
+    width. The last bin includes its upper edge. Empty bins are listed with 0,
+    unless ``list_empty`` is off; an outlier may ask for more than ``max_listed``
+    bins, which is then an error, while occupied bins alone are never too many.
     """
     values = long_form(df, [column]).select("value")
     if bins is None:
@@ -108,12 +117,12 @@ def value_histogram(df: DataFrame, column: str, *, bins: int | None = None) -> D
         width = F.when(F.col("iqr") > 0, F.least(sturges, robust)).otherwise(sturges)
         extent = extent.withColumn("iqr", spread).withColumn("width", width)
         number = F.when(F.col("width") > 0, F.ceil((F.col("hi") - F.col("lo")) / F.col("width"))).otherwise(1)
-        extent = extent.withColumn("bins", number.cast("int")).select("lo", "hi", "bins")
+        extent = extent.withColumn("bins", number.cast("long")).select("lo", "hi", "bins")
     else:
         if bins < 1:
             raise ValueError("bins must be positive")
         extent = values.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).withColumn(
-            "bins", F.lit(bins)
+            "bins", F.lit(bins).cast("long")
         )
     extent = cut_lineage(extent)
     shape = one_row(extent)
@@ -121,15 +130,24 @@ def value_histogram(df: DataFrame, column: str, *, bins: int | None = None) -> D
     position = F.when(
         width > 0, F.least(F.floor((F.col("value") - shape["lo"]) / width), shape["bins"] - 1)
     ).otherwise(0)
-    counted = values.groupBy(position.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    every = extent.filter("lo IS NOT NULL").select(
-        F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"), "lo", "hi", "bins"
-    )
-    step = (F.col("hi") - F.col("lo")) / F.col("bins")
-    return every.join(counted, "bin", "left").select(
-        "bin",
-        (F.col("lo") + F.col("bin") * step).alias("bin_low"),
-        (F.col("lo") + (F.col("bin") + 1) * step).alias("bin_high"),
+    counted = values.groupBy(position.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    if list_empty:
+        bounded = F.when(
+            F.col("bins") > max_listed,
+            F.raise_error(F.concat(F.lit("too many bins to list empty ones: "), F.col("bins"))).cast("long"),
+        ).otherwise(F.col("bins"))
+        runs = extent.filter("lo IS NOT NULL").withColumn("bins", bounded).select(
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1, F.lit(BINS_AT_ONCE).cast("long"))).alias("first"), "bins"
+        )
+        last = F.least(F.col("first") + BINS_AT_ONCE, F.col("bins")) - 1
+        every = runs.select(F.explode(F.sequence(F.col("first"), last)).alias("bin"))
+        counted = every.join(counted, "bin", "left")
+    step = (shape["hi"] - shape["lo"]) / shape["bins"]
+    lo = shape["lo"]
+    return counted.select(
+        F.col("bin").cast("int").alias("bin") if bins is not None or list_empty else "bin",
+        (lo + F.col("bin") * step).alias("bin_low"),
+        (lo + (F.col("bin") + 1) * step).alias("bin_high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -170,17 +188,24 @@ def rule_of_five_profile(
 
 
 def confusion_matrix(df: DataFrame, *, truth: str, predicted: str) -> DataFrame:
-    """Counts for every pair of classes, and the share within the true class."""
+    """Counts for every pair of classes, and the share within the true class.
+
+    A missing value is a class of its own.
+    """
     cells = df.groupBy(F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    classes = cells.select(F.explode(F.array("truth", "predicted")).alias("c")).agg(
+    # a struct is collected even if the value in it is null; one per class
+    classes = cells.select(F.explode(F.array(F.struct(F.col("truth").alias("c")), F.struct(F.col("predicted").alias("c")))).alias("c")).agg(
         F.collect_set("c").alias("classes")
     )
-    every = classes.select("classes", F.explode("classes").alias("truth")).select(
-        "truth", F.explode("classes").alias("predicted")
-    )
-    full = every.join(cells, ["truth", "predicted"], "left").na.fill(0, ["n"])
+    every = classes.select("classes", F.explode("classes").alias("t")).select(
+        F.col("t")["c"].alias("truth"), F.explode("classes").alias("p")
+    ).select("truth", F.col("p")["c"].alias("predicted"))
+    known = cells.select(F.col("truth").alias("__t"), F.col("predicted").alias("__p"), "n")
+    full = every.join(
+        known, F.col("truth").eqNullSafe(F.col("__t")) & F.col("predicted").eqNullSafe(F.col("__p")), "left"
+    ).drop("__t", "__p").na.fill(0, ["n"])
     return full.withColumn(
         "share", F.try_divide(F.col("n"), F.sum("n").over(Window.partitionBy("truth")))
     )
@@ -210,12 +235,25 @@ def largest_group_members(df: DataFrame, *, group: str, key: str, k: int = 15) -
 
 
 def project_2d(sets: dict[str, DataFrame], *, key: str, columns: Sequence[str]) -> DataFrame:
-    """Two principal components of the rows of several labelled sets together."""
+    """Two principal components of the rows of several labelled sets together.
+
+    Axes are found from the rows with all features; the others come back with
+    null coordinates.
+    """
     from pyspark.ml.feature import PCA, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     rows = union_sets({n: df.select(key, *columns) for n, df in sets.items()})
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="__x", handleInvalid="skip").transform(rows)
+    complete = rows.na.drop(subset=list(columns))
+    assembled = VectorAssembler(inputCols=list(columns), outputCol="__x").transform(complete)
     model = PCA(k=2, inputCol="__x", outputCol="__pc").fit(assembled)
     axes = vector_to_array(F.col("__pc"))
-    return model.transform(assembled).select("origin", key, axes[0].alias("pc1"), axes[1].alias("pc2"))
+    placed = model.transform(assembled).select("origin", key, axes[0].alias("pc1"), axes[1].alias("pc2"))
+    nowhere = F.lit(None).cast("double")
+    gaps = rows.filter(~_complete(columns)).select("origin", key, nowhere.alias("pc1"), nowhere.alias("pc2"))
+    return placed.unionByName(gaps)
+
+
+def _complete(columns: Sequence[str]) -> Column:
+    """Every column has a value, as ``na.drop`` sees it."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assayframe.operators.model import complete_rows
+
 
 def safe_corr(a: Column, b: Column) -> Column:
     """Pearson r over the rows where both are known; null when one is constant."""
@@ -42,12 +44,14 @@ def importance_selection(
     model: str = "random_forest",
     threshold: float | None = None,
     seed: int = 1,
+    missing: str = "error",
     **params,
 ) -> DataFrame:
     """Importance of each feature in a tree ensemble and whether it is kept.
 
     A feature is kept from the threshold on, by default the median importance.
-    The forest is trained by Spark; only one number per feature comes back.
+    The forest is trained by Spark; only one number per feature comes back. A row
+    without one of the columns is an error, or left out with ``missing="skip"``.
     """
     from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
@@ -56,8 +60,9 @@ def importance_selection(
     if model not in makers:
         raise ValueError(f"unknown model {model!r}: use one of {sorted(makers)}")
     columns = [c for c in columns if c != target]
-    assembler = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="skip")
-    training = assembler.transform(df.select(*columns, F.col(target).cast("double").alias("__y")))
+    assembler = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="error")
+    known = complete_rows(df.select(*columns, F.col(target).cast("double").alias("__y")), [*columns, "__y"], missing)
+    training = assembler.transform(known)
     fitted = makers[model](featuresCol="__x", labelCol="__y", seed=seed, **params).fit(
         training.select("__x", "__y")
     )

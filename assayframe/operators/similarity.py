@@ -37,23 +37,29 @@ SLOTS = 1 << 20
 POSTING_ROWS = 1000
 
 
+def token_digest(tokens: str) -> Column:
+    """128 bits that stand for a token array wherever it is grouped or joined."""
+    return F.md5(F.to_json(F.col(tokens)))
+
+
 def collapse_copies(df: DataFrame, *, key: str, tokens: str) -> DataFrame:
     """(rep, tokens, copies): one row per distinct fingerprint, named by its lowest key.
 
-    Written once, as everything that follows reads it several times.
+    Copies are grouped by a digest; token arrays are only fetched for the
+    representatives. Written once, as everything that follows reads it several times.
     """
-    return cut_lineage(
-        df.filter(F.col(tokens).isNotNull())
-        .groupBy(F.col(tokens).alias("tokens"))
-        .agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies"))
-        .select("rep", "tokens", "copies")
-    )
+    known = df.filter(F.col(tokens).isNotNull())
+    counted = known.groupBy(token_digest(tokens).alias("digest")).agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies"))
+    named = cut_lineage(counted.select("rep", "copies"))
+    own = known.select(F.col(key).alias("rep"), F.col(tokens).alias("tokens"))
+    return cut_lineage(own.join(named, "rep").select("rep", "tokens", "copies"))
 
 
 def copy_members(df: DataFrame, reps: DataFrame, *, key: str, tokens: str) -> DataFrame:
     """(key, rep, copies): which representative stands for each record."""
-    records = df.select(key, F.col(tokens).alias("tokens")).filter(F.col("tokens").isNotNull())
-    return attach(records, reps, ["tokens"], "copies", [key]).select(key, "rep", "copies")
+    records = df.filter(F.col(tokens).isNotNull()).select(key, token_digest(tokens).alias("digest"))
+    named = reps.select("rep", "copies", token_digest("tokens").alias("digest"))
+    return attach(records, named, ["digest"], "copies", [key]).select(key, "rep", "copies")
 
 
 def as_fraction(cutoff) -> Fraction:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from assayframe.runtime import cut_lineage
 
-# At most this many keys are treated as heavy, so the broadcast list of heavy
-# keys has a fixed size. A key that is not on the list holds less than
-# 1/HEAVY_KEYS of all rows.
+# At most this many keys are on the broadcast list of heavy keys, so its size is
+# fixed. A key that is not on the list holds less than 1/HEAVY_KEYS of all rows;
+# both sides of the join are plain shuffles, so adaptive execution splits what is
+# still skewed.
 HEAVY_KEYS = 1024
 # Rows of one key that a single task is trusted with.
 ROWS_PER_TASK = 200_000
@@ -46,6 +47,8 @@ def attach(
         )
         joined = df.join(right, _same(df, right, [(k, f"__r_{k}") for k in keys]), how)
         return joined.drop(*[f"__r_{k}" for k in keys])
+    # read for the heavy keys and for both sides of the join, but worked out once
+    stats = cut_lineage(stats)
     heavy = (
         stats.filter(F.col(size_col) > ROWS_PER_TASK)
         .orderBy(F.col(size_col).desc(), *keys)

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from assayframe.functions.structure import halogen_count, heavy_atom_count
-from assayframe.operators import domain, evaluate, model, profile, split
+from assayframe.operators import domain, evaluate, impute, model, profile, rows, split
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
 from assayframe.plans.table_queries import elements_sql
@@ -32,11 +32,11 @@ profile AS MATERIALIZED (
          round(avg(mean_distance), 3) AS avg_distance, count(*) AS n_train,
          round(quantile_cont(mean_distance, 0.75), 3) AS percentile
   FROM near WHERE role = 'train'),
-grid AS (SELECT unnest(range(0, greatest(ceil((max_distance - percentile) / 0.05), 0)::BIGINT + 1)) AS i, percentile, max_distance
+grid AS (SELECT unnest(range(0, greatest(ceil((max_distance - percentile) / 0.05), 0)::BIGINT + 2)) AS i, percentile, max_distance
          FROM profile),
 shares AS (
   SELECT i, percentile + i * 0.05::DOUBLE AS threshold, max_distance,
-         (SELECT count(*) FILTER (mean_distance <= percentile + i * 0.05::DOUBLE + 1e-12)::DOUBLE / count(*)
+         (SELECT count(*) FILTER (mean_distance <= percentile + i * 0.05::DOUBLE)::DOUBLE / count(*)
           FROM near WHERE role = 'test') AS share FROM grid),
 threshold AS MATERIALIZED (
   SELECT threshold FROM shares WHERE share >= 0.9 OR threshold >= max_distance ORDER BY i LIMIT 1)"""
@@ -242,33 +242,75 @@ def _wide(spark, sf_dir):
     )
 
 
+SPACE = {"regParam": [0.001, 0.5], "fitIntercept": [True, False], "maxIter": [5, 20]}
+SEARCH = {"features": VECTOR_COLUMNS, "label": "y", "fold": "fold", "model": "logistic_regression", "space": SPACE, "n_trials": 3}
+MODEL_FOLDS, MODEL_TEST = 3, 0.2
+
+
+def _model_folds(spark, sf_dir):
+    """Folds of whole groups with a common test set, joined with the vectors and scaled by their training rows."""
+    wide = _wide(spark, sf_dir)
+    groups = wide.select("vec_id", F.floor(F.col("vec_id") / 4).alias("grp"))
+    folds = split.cluster_kfold(groups, cluster="grp", key="vec_id", n_folds=MODEL_FOLDS, test_ratio=MODEL_TEST)
+    joined = rows.folds_with_features(folds, wide, key="vec_id")
+    return impute.scale_with_train_stats(joined, VECTOR_COLUMNS, by=["repeat", "fold"])
+
+
 @query("tune_cv")
 def tune_cv(spark, sf_dir):
-    wide = _wide(spark, sf_dir)
-    folds = split.contiguous_kfold(wide, key="vec_id", n_folds=3)
-    trials = model.tune_cv(
-        wide.join(folds, "vec_id"),
-        features=VECTOR_COLUMNS,
-        label="y",
-        fold="fold",
-        model="logistic_regression",
-        space={"regParam": [0.001, 0.5], "fitIntercept": [True, False], "maxIter": [5, 20]},
-        n_trials=3,
-        standardize=True,
-    )
+    """Trials of a classifier over group folds, best first. Test rows are never seen."""
+    trials = model.tune_cv(_model_folds(spark, sf_dir), role="role", by=["repeat"], **SEARCH)
     table = [(i + 1, json.dumps(t["params"], sort_keys=True), t["score"]) for i, t in enumerate(trials)]
     return spark.createDataFrame(table, "place int, params string, score double")
 
 
+# Places, folds and test sizes can be told without the models.
+@query(
+    "tune_cv_shape",
+    f"""SELECT p.place::INTEGER AS place, f.fold::INTEGER AS fold, true AS in_order, true AS is_share
+FROM range(1, 4) AS p(place), range(0, {MODEL_FOLDS}) AS f(fold)""",
+)
+def tune_cv_shape(spark, sf_dir):
+    """Every trial has a score from 0 to 1 in every fold, its mean is its score, and places follow the scores."""
+    trials = model.tune_cv(_model_folds(spark, sf_dir), role="role", by=["repeat"], **SEARCH)
+    table = []
+    for place, t in enumerate(trials, 1):
+        values = [x["score"] for x in t["scores"]]
+        ordered = abs(t["score"] - sum(values) / len(values)) < 1e-12 and (place == 1 or t["score"] <= trials[place - 2]["score"])
+        table += [(place, x["fold"][-1], ordered, 0 <= x["score"] <= 1) for x in t["scores"]]
+    return spark.createDataFrame(table, "place int, fold int, in_order boolean, is_share boolean")
+
+
+def _fitted(spark, sf_dir):
+    """The best trial, fitted on the train and val rows of the first fold."""
+    folds = cut_lineage(_model_folds(spark, sf_dir))
+    best = model.tune_cv(folds, role="role", by=["repeat"], **SEARCH)[0]
+    first = folds.filter("repeat = 0 AND fold = 0")
+    return first, model.fit_final(first, features=VECTOR_COLUMNS, label="y", model="logistic_regression", params=best["params"])
+
+
 @query("fit_final")
 def fit_final(spark, sf_dir):
-    """Fit on the train and val rows, then score every row with the fitted model."""
-    wide = _wide(spark, sf_dir)
-    role = F.when(inp.share_hash(F.col("vec_id")) < 0.2, "test").otherwise("train")
-    fitted = model.fit_final(
-        wide.withColumn("role", role), features=VECTOR_COLUMNS, label="y", params={"numTrees": 10, "maxDepth": 4, "seed": 1}
+    """Tune over the folds, fit the best trial on the train and val rows and score every row."""
+    scaled, fitted = _fitted(spark, sf_dir)
+    return model.score_batch(scaled, fitted, key="vec_id").select("vec_id", "role", "y", "probability", "flag")
+
+
+@query(
+    "score_trained",
+    """SELECT vec_id, CASE WHEN vec_id % 9 <> 0 THEN true END AS is_probability, CASE WHEN vec_id % 9 <> 0 THEN true END AS flag_fits
+FROM embeddings""",
+)
+def score_trained(spark, sf_dir):
+    """The trained model over all rows, one in nine without a feature: those come back with nulls."""
+    scaled, fitted = _fitted(spark, sf_dir)
+    gaps = scaled.withColumn("v0", F.when(F.col("vec_id") % 9 != 0, F.col("v0")))
+    scored = model.score_batch(gaps, fitted, key="vec_id")
+    return scored.select(
+        "vec_id",
+        F.col("probability").between(0, 1).alias("is_probability"),
+        (F.col("flag") == (F.col("probability") > 0.5)).alias("flag_fits"),
     )
-    return model.score_batch(wide, fitted, key="vec_id").select("vec_id", "y", "probability", "flag")
 
 
 def _fixed_score(df):

@@ -173,9 +173,51 @@ def fold_class_ratios(spark, sf_dir):
     return profile.fold_class_ratios(joined, by=["repeat", "fold"], label="label")
 
 
-@query("maxmin_split")
+SPREAD = ("0.45", "0.38", "0.3")
+
+
+def _walk_sql(name: str, left: str) -> str:
+    """One record at a time, level by level: picked if no neighbour on that level is."""
+    return f"""{name}_steps AS (
+  SELECT row_number() OVER (ORDER BY level, ord) AS s, vec_id, nb
+  FROM (SELECT o.vec_id, o.ord, l.level, coalesce(n.nb, []) AS nb
+        FROM o CROSS JOIN (SELECT unnest(range(0, {len(SPREAD)})) AS level) l
+        LEFT JOIN nb n ON n.a = o.vec_id AND n.level = l.level WHERE {left})),
+{name}_walk AS (
+  SELECT 0::BIGINT AS s, []::BIGINT[] AS picked
+  UNION ALL
+  SELECT w.s + 1, CASE WHEN list_contains(w.picked, t.vec_id) OR list_has_any(w.picked, t.nb) THEN w.picked
+                       ELSE list_append(w.picked, t.vec_id) END
+  FROM {name}_walk w JOIN {name}_steps t ON t.s = w.s + 1),
+{name}_picked AS MATERIALIZED (SELECT picked FROM {name}_walk ORDER BY s DESC LIMIT 1),
+{name}_list AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER (ORDER BY p, ord) - 1 AS pick
+  FROM (SELECT o.vec_id, o.ord, coalesce(nullif(list_position(picked, o.vec_id), 0), 1000000000) AS p
+        FROM o, {name}_picked WHERE {left}))"""
+
+
+MAXMIN_SQL = f"""WITH RECURSIVE {inp.VECTORS_SQL},
+o AS MATERIALIZED (SELECT vec_id, bits, md5('{SEED}|' || vec_id) || '|' || vec_id AS ord FROM vectors WHERE vec_id % 23 <> 0),
+d AS (SELECT a.vec_id AS a, b.vec_id AS b, 2 * len(list_intersect(a.bits, b.bits)) AS c2, len(a.bits) + len(b.bits) AS n
+      FROM o a JOIN o b ON a.vec_id <> b.vec_id),
+nb AS MATERIALIZED (
+  {' UNION ALL '.join(f"SELECT a, {i} AS level, list(b) AS nb FROM d WHERE 100 * c2 > {100 - round(float(x) * 100)} * n GROUP BY a" for i, x in enumerate(SPREAD))}),
+sizes AS (SELECT round_even(count(*) * 0.7::DOUBLE, 0) AS n_train, round_even(count(*) * 0.15::DOUBLE, 0) AS n_val FROM o),
+{_walk_sql('t', 'true')},
+train AS MATERIALIZED (SELECT vec_id, pick FROM t_list, sizes WHERE pick < n_train),
+{_walk_sql('v', 'o.vec_id NOT IN (SELECT vec_id FROM train)')}
+SELECT vec_id, 'train' AS role, pick FROM train
+UNION ALL
+SELECT vec_id, CASE WHEN pick < n_val THEN 'val' ELSE 'test' END, CASE WHEN pick < n_val THEN pick ELSE -1 END FROM v_list, sizes
+UNION ALL
+SELECT vec_id, 'test', -1 FROM vectors WHERE vec_id % 23 = 0"""
+
+
+@query("maxmin_split", MAXMIN_SQL)
 def maxmin_split(spark, sf_dir):
-    return split.maxmin_split(inp.vectors(spark, sf_dir), key="vec_id", tokens="bits", seed=SEED)
+    """One vector in 23 has no bits: it stays, as a test row."""
+    df = inp.vectors(spark, sf_dir).withColumn("bits", F.when(F.col("vec_id") % 23 != 0, F.col("bits")))
+    return split.maxmin_split(df, key="vec_id", tokens="bits", seed=SEED, levels=SPREAD, strategy="dense")
 
 
 KEY_SPLIT_SQL = f"""WITH {inp.ASSAY_SQL},

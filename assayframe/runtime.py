@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +33,31 @@ def build_session(app: str = "assayframe", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship(session)
+    return session
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session.
+
+    Their Python workers then find it wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_assayframe_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="assayframe-")
+    archive = os.path.join(folder, "assayframe.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for place, folders, files in os.walk(root):
+            folders[:] = sorted(f for f in folders if f != "__pycache__")
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(place, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._assayframe_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:

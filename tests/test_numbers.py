@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayframe.operators import impute, profile, ranking
+from assayframe.operators import features, impute, profile, ranking
 from assayframe.operators.quantiles import exact_quantiles
 
 
@@ -93,3 +93,34 @@ def test_confusion_matrix_has_every_cell(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "t int, p int")
     got = {(r["truth"], r["predicted"]): (r["n"], r["share"]) for r in profile.confusion_matrix(df, truth="t", predicted="p").collect()}
     assert got == {(1, 1): (2, 2 / 3), (1, 2): (1, 1 / 3), (2, 1): (0, None), (2, 2): (0, None)}
+
+
+def test_histogram_with_an_outlier(spark):
+    values = [(float(i % 11),) for i in range(100)] + [(1e12,)]
+    df = spark.createDataFrame(values, "x double")
+    rows = profile.value_histogram(df, "x", list_empty=False).collect()
+    assert sum(r["n"] for r in rows) == 101 and len(rows) <= 12
+    with pytest.raises(Exception, match="too many bins"):
+        profile.value_histogram(df, "x").collect()
+    few = profile.value_histogram(df, "x", bins=10_000).collect()
+    assert len(few) == 10_000 and sum(r["n"] for r in few) == 101
+
+
+def test_confusion_matrix_keeps_missing_classes(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (None, 0), (0, 0)], "t int, p int")
+    rows = {(r["truth"], r["predicted"]): (r["n"], r["share"]) for r in profile.confusion_matrix(df, truth="t", predicted="p").collect()}
+    assert len(rows) == 9
+    assert rows[(1, None)] == (1, 0.5) and rows[(None, 0)] == (1, 1.0) and rows[(0, 1)] == (0, 0.0)
+
+
+def test_projection_keeps_rows_with_gaps(spark):
+    df = spark.createDataFrame([(1, 0.0, 1.0), (2, 1.0, None), (3, 2.0, 5.0), (4, float("nan"), 1.0), (5, 4.0, 2.0)], "id int, a double, b double")
+    rows = {r["id"]: r["pc1"] for r in profile.project_2d({"s": df}, key="id", columns=["a", "b"]).collect()}
+    assert {k for k, v in rows.items() if v is None} == {2, 4} and set(rows) == {1, 2, 3, 4, 5}
+
+
+def test_fingerprints_keep_records_without_text(spark):
+    df = spark.createDataFrame([(1, "one two three four"), (2, None), (3, "")], "id int, t string")
+    for counts in (False, True):
+        rows = {r["id"]: r["tokens"] for r in features.hashed_fingerprint(df, key="id", text="t", counts=counts).collect()}
+        assert set(rows) == {1, 2, 3} and rows[2] is None and rows[1]

@@ -221,3 +221,29 @@ def test_shared_tokens(monkeypatch, dense_from):
     b = [np.array(s, dtype=np.int32) for s in random_sets(31, 2, 40)]
     got = blocks.shared_tokens(a, b)
     assert got.tolist() == [[len(set(x) & set(y)) for y in b] for x in a]
+
+
+@pytest.mark.parametrize("start", [0.6, 0.35, 0.1, 0.215, 0.333])
+def test_threshold_at_the_edge_of_a_step(spark, start):
+    step = 0.05
+    for edge in (1, 2, 3):
+        reached = start + edge * step
+        train = [start] * 9 + [0.95]
+        test = [reached] * 9 + [0.99]
+        frames = [spark.createDataFrame([(v,) for v in values], "mean_distance double") for values in (train, test)]
+        got = domain.domain_threshold(*frames).first()["threshold"]
+        # the first step that reaches, judged by the comparison itself
+        i = next(i for i in range(100) if start + i * step >= reached)
+        assert got == start + i * step
+        inside = domain.within_domain(frames[1], domain.domain_threshold(*frames))
+        assert inside.filter("within").count() == 9
+
+
+def test_rows_without_features_stay(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3]), (2, None), (3, [1, 2, 4]), (4, [7])], "id int, tokens array<int>")
+    known = df.filter("tokens IS NOT NULL")
+    for strategy in ("dense", "index"):
+        rows = {r["id"]: r["mean_distance"] for r in domain.knn_distances(df, known, key="id", features="tokens", k=1, strategy=strategy).collect()}
+        assert rows == {1: 0.0, 2: None, 3: 0.0, 4: 0.0}
+    rows = {r["id"]: r["cluster"] for r in cluster.leader_clusters(df, key="id", tokens="tokens", cutoff=(1, 2)).collect()}
+    assert rows == {1: 1, 2: None, 3: 1, 4: 4}

@@ -50,10 +50,8 @@ def shuffled(groups, seed):
 
 
 @pytest.mark.parametrize("train,val", [(0.7, 0.15), (0.8, 0.0), (0.1, 0.3), (1.0, 0.0)])
-@pytest.mark.parametrize("direct", [100_000, 0])
-def test_group_split(spark, monkeypatch, train, val, direct):
+def test_group_split(spark, monkeypatch, train, val):
     monkeypatch.setattr(split, "ORDER_BUCKETS", 3)
-    monkeypatch.setattr(split, "DIRECT_GROUPS", direct)
     df, data = records(spark, SIZES)
     groups, n = group_table(data), sum(SIZES)
     test = 1 - train - val
@@ -112,34 +110,57 @@ def dice(a, b):
     return 1 - 2 * len(set(a) & set(b)) / (len(a) + len(b))
 
 
-def test_maxmin_split_in_one_bucket(spark):
+def walk(ids, sets, seed, levels):
+    """Level by level, each record in order that is far enough from all picked before; then the others."""
+    order = sorted(ids, key=lambda i: hashlib.md5(f"{seed}|{i}".encode()).hexdigest())
+    picked = []
+    for level in levels:
+        for i in order:
+            if i not in picked and all(round(dice(sets[i], sets[j]), 12) >= level for j in picked):
+                picked.append(i)
+    return picked + [i for i in order if i not in picked]
+
+
+@pytest.mark.parametrize("strategy", ["index", "dense"])
+def test_maxmin_split_is_the_sequential_one(spark, strategy):
     rng = random.Random(9)
-    sets = [sorted(rng.sample(range(25), rng.randint(2, 9))) for _ in range(30)]
+    sets = [sorted(rng.sample(range(25), rng.randint(2, 9))) for _ in range(120)]
+    sets += sets[:10] + [None, None]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, tokens array<int>")
+    levels = [0.7, 0.5, 0.25]
+    results = []
+    for rows in (df, df.repartition(5)):
+        found = split.maxmin_split(rows, key="id", tokens="tokens", seed=4, levels=["0.7", "0.5", "0.25"], strategy=strategy).collect()
+        results.append(sorted(tuple(r) for r in found))
+    assert results[0] == results[1]
+    ids = list(range(130))
+    train = walk(ids, sets, 4, levels)[:91]
+    left = walk([i for i in ids if i not in train], sets, 4, levels)
+    want = [(i, "train", n) for n, i in enumerate(train)] + [(i, "val", n) for n, i in enumerate(left[:20])]
+    want += [(i, "test", -1) for i in [*left[20:], 130, 131]]
+    assert results[0] == sorted(want)
+
+
+def test_maxmin_split_of_many_records(spark):
+    rng = random.Random(3)
+    sets = [sorted(rng.sample(range(400), 6)) for _ in range(3000)]
     df = spark.createDataFrame(list(enumerate(sets)), "id long, tokens array<int>")
-    rows = split.maxmin_split(df, key="id", tokens="tokens", seed=4).collect()
-
-    def pick(left, wanted):
-        picked = [min(left, key=lambda i: hashlib.md5(f"4|{i}".encode()).hexdigest())]
-        while len(picked) < wanted:
-            rest = [i for i in left if i not in picked]
-            picked.append(max(rest, key=lambda i: (min(round(dice(sets[i], sets[j]), 12) for j in picked), -i)))
-        return picked
-
-    train = pick(list(range(30)), 21)
-    val = pick([i for i in range(30) if i not in train], 4)
-    assert [r["id"] for r in sorted((r for r in rows if r["role"] == "train"), key=lambda r: r["pick"])] == train
-    assert [r["id"] for r in sorted((r for r in rows if r["role"] == "val"), key=lambda r: r["pick"])] == val
-    assert sum(r["role"] == "test" for r in rows) == 5
-
-
-def test_maxmin_split_over_buckets_covers_all(spark):
-    df = spark.createDataFrame([(i, [i % 7, 10 + i % 5]) for i in range(200)], "id long, tokens array<int>")
-    rows = split.maxmin_split(df, key="id", tokens="tokens", rows_per_bucket=50).collect()
-    assert sorted(r["id"] for r in rows) == list(range(200))
-    assert len({r["bucket"] for r in rows}) == 4
-    for b in range(4):
-        inside = [r for r in rows if r["bucket"] == b]
-        assert sum(r["role"] == "train" for r in inside) == round(0.7 * len(inside))
+    rows = split.maxmin_split(df, key="id", tokens="tokens", train=0.2, val=0.0, seed=2, levels=["0.5", "0.2"]).collect()
+    near = {}
+    for i, s in enumerate(sets):
+        for t in s:
+            near.setdefault(t, []).append(i)
+    order = sorted(range(3000), key=lambda i: hashlib.md5(f"2|{i}".encode()).hexdigest())
+    picked = []
+    for level in (0.5, 0.2):
+        taken = set(picked)
+        for i in order:
+            around = {j for t in sets[i] for j in near[t] if j in taken}
+            if i not in taken and all(round(dice(sets[i], sets[j]), 12) >= level for j in around):
+                picked.append(i)
+                taken.add(i)
+    assert [r["id"] for r in sorted((r for r in rows if r["role"] == "train"), key=lambda r: r["pick"])] == picked[:600]
+    assert len(rows) == 3000 and {r["role"] for r in rows} == {"train", "test"}
 
 
 def test_no_compound_straddles(spark):
