@@ -187,13 +187,14 @@ def flag_probability(df: DataFrame, probability: Column, *, cutoff: float = 0.5)
 def score_batch(df: DataFrame, model: PipelineModel, *, key: str) -> DataFrame:
     """All input columns, the probability of class 1 and the strict 0.5 flag.
 
-    Rows with a missing feature are skipped by the model and come back with null.
+    Rows with a missing feature are skipped by the model and come back with null. A
+    model that never saw class 1 gives it 0.
     """
     stages = model.stages
     features = stages[0].getInputCols()
     complete = df.na.drop(subset=list(features))
     scored = model.transform(complete).select(
-        *df.columns, vector_to_array(F.col("probability"))[1].alias("__p")
+        *df.columns, F.coalesce(F.get(vector_to_array(F.col("probability")), 1), F.lit(0.0)).alias("__p")
     )
     incomplete = df.filter(" OR ".join(f"`{c}` IS NULL OR isnan(`{c}`)" for c in features))
     both = scored.unionByName(incomplete.withColumn("__p", F.lit(None).cast("double")))

@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from assayframe.functions.structure import halogen_count, heavy_atom_count
-from assayframe.operators import domain, evaluate, impute, model, profile, rows, split
+from assayframe.functions.structure import halogen_count, heavy_atom_count, largest_fragment
+from assayframe.operators import domain, evaluate, features, impute, model, profile, rows, split
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
 from assayframe.plans.table_queries import elements_sql
@@ -349,3 +349,73 @@ def score_stream_query(spark, sf_dir):
     source = tables.csv_stream_source(spark, arrived, given.schema)
     score_stream(source, _fixed_score, path=out, checkpoint=scratch_path(spark, "scored-ck"))
     return spark.read.schema(_fixed_score(given).schema).parquet(out)
+
+
+# --- from a structure to a flagged score, with a trained model ------------------------------
+
+PATH_FEATURES = ["heavy_atoms", "num_halogens", "halogen_mass", "fragments"]
+PATH_COLUMNS = [*PATH_FEATURES, "hba", "logp"]
+
+
+def _described(df):
+    """Largest fragment and its property block, as a column step that batch and stream share."""
+    known = df.withColumn("fragment", largest_fragment(F.col("smiles")))
+    registry = features.property_registry(structure="fragment")
+    return known.withColumns({n: registry[n].try_cast("double") for n in PATH_FEATURES}).withColumn("hba", F.col("hba").cast("double"))
+
+
+def _path_rows(spark, sf_dir):
+    df = inp.structures(spark, sf_dir)
+    return df.select("id", F.when(F.col("id") % 10 != 0, F.col("smiles")).alias("smiles"), "hba", "logp")
+
+
+def _path_model(spark, sf_dir):
+    """Trained on the records with a structure whose id is not divisible by 5."""
+    known = _described(_path_rows(spark, sf_dir)).filter("smiles IS NOT NULL AND id % 5 <> 0")
+    labelled = known.withColumn("y", (F.col("hba") + F.col("logp") > 25).cast("int")).withColumn("role", F.lit("train"))
+    return model.fit_final(labelled, features=PATH_COLUMNS, label="y", params={"numTrees": 8, "maxDepth": 4, "seed": 1})
+
+
+def _path_scored(df, fitted):
+    return model.score_batch(_described(df), fitted, key="id").select("id", "smiles", "fragment", "probability", "flag")
+
+
+@query(
+    "score_path",
+    f"""WITH {inp.STRUCTURES_SQL}
+SELECT id, id % 10 <> 0 AS scored, id % 10 <> 0 AS judged, CASE WHEN id % 10 <> 0 THEN true END AS flag_fits FROM structures""",
+)
+def score_path(spark, sf_dir):
+    """Fragment, properties, trained model, domain flag and sink: every record comes out, unknown ones with nulls."""
+    scored = _path_scored(_path_rows(spark, sf_dir), _path_model(spark, sf_dir))
+    prints = cut_lineage(features.hashed_fingerprint(scored, key="id", text="fragment", kind="char", n_bits=inp.FP_BITS))
+    train = prints.filter("id % 5 <> 0 AND tokens IS NOT NULL")
+    near = cut_lineage(domain.knn_distances(prints, train, key="id", features="tokens", k=3, strategy="index"))
+    limits = domain.domain_threshold(near.filter("id % 5 <> 0 AND mean_distance IS NOT NULL"), near.filter("id % 5 = 0"), k=3)
+    judged = domain.within_domain(near, limits).select("id", "within")
+    out = scratch_path(spark, "scored-path")
+    tables.table_sink(scored.join(judged, "id"), out)
+    stored = spark.read.parquet(out)
+    return stored.select(
+        "id",
+        F.col("probability").between(0, 1).isNotNull().alias("scored"),
+        F.col("within").isNotNull().alias("judged"),
+        (F.col("flag") == (F.col("probability") > 0.5)).alias("flag_fits"),
+    )
+
+
+@query(
+    "score_path_stream",
+    f"""WITH {inp.STRUCTURES_SQL} SELECT id, true AS like_batch FROM structures""",
+)
+def score_path_stream(spark, sf_dir):
+    """The same model over a stream of files gives what it gives in batch."""
+    fitted, given = _path_model(spark, sf_dir), _path_rows(spark, sf_dir)
+    batch = _path_scored(given, fitted)
+    arrived, out = scratch_path(spark, "arrived"), scratch_path(spark, "scored")
+    tables.table_sink(given, arrived, format="csv")
+    source = tables.csv_stream_source(spark, arrived, given.schema)
+    score_stream(source, lambda df: _path_scored(df, fitted), path=out, checkpoint=scratch_path(spark, "scored-ck"))
+    streamed = spark.read.schema(batch.schema).parquet(out).select("id", F.struct("smiles", "fragment", "probability", "flag").alias("s"))
+    expected = batch.select("id", F.struct("smiles", "fragment", "probability", "flag").alias("b"))
+    return expected.join(streamed, "id", "full").select("id", F.coalesce(F.col("s").eqNullSafe(F.col("b")), F.lit(False)).alias("like_batch"))
