@@ -18,9 +18,12 @@ HALOGEN_MASS = {"F": 18.998, "Cl": 35.453, "Br": 79.904, "I": 126.904}
 GROUP_PATTERNS = {
     "aldehyde": r"C=O$|^O=C[^(]",
     "ketone": r"CC\(=O\)C",
+    "carboxylic_ester": r"C\(=O\)O[Cc]",
     "carboxylic_acid": r"C\(=O\)O(?:$|\.)|OC\(=O\)",
     "ether": r"[Cc]O[Cc]",
     "thioether": r"[Cc]S[Cc]",
+    "lactone": r"O=C[0-9][^.]*O[0-9]",
+    "lactam": r"O=C[0-9][^.]*N[0-9]",
     "alcohol": r"CO$|CO\.|^OC[^(]",
     "phenol": r"Oc1|c\(O\)",
     "amine": r"[Cc]N|NC|Nc",

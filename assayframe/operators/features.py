@@ -46,6 +46,27 @@ def pattern_features(
     return df.withColumns(st.pattern_columns(F.col(structure), patterns, counts=counts, prefix=prefix))
 
 
+# A pattern table becomes expressions of one scan; so many are still a plan.
+MAX_PATTERNS = 1000
+
+
+def pattern_counts(df: DataFrame, patterns: DataFrame, *, key: str, structure: str) -> DataFrame:
+    """(key, name, n): matches of each pattern of a table (name, pattern), in long form.
+
+    Null text gives null counts. The table is read by the driver and has at most
+    ``MAX_PATTERNS`` rows; of equal names the first pattern in order counts.
+    """
+    rows = patterns.select("name", "pattern").orderBy("name", "pattern").limit(MAX_PATTERNS + 1).collect()
+    if len(rows) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} patterns")
+    known: dict[str, str] = {}
+    for name, pattern in rows:
+        known.setdefault(name, pattern)
+    counted = st.pattern_columns(F.col(structure), known, prefix="")
+    entries = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.alias("n")) for n, c in counted.items()]))
+    return df.select(key, entries.alias("e")).select(key, "e.name", "e.n")
+
+
 def property_registry(*, structure: str, supplied: Sequence[str] = ()) -> dict[str, Column]:
     """The named features that can be requested from :func:`property_block`."""
     text = F.col(structure)

@@ -222,16 +222,19 @@ def similarity_pairs(
 
 
 def unordered_pairs(df: DataFrame, *, key: str, n_blocks: int) -> DataFrame:
-    """How the unordered pairs of a set are laid out: pairs per pair of blocks."""
+    """Number of unordered pairs of a set for each pair of hash blocks.
 
-    def count(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        n = len(left) * (len(left) - 1) // 2 if same else len(left) * len(right)
-        return pd.DataFrame(
-            {"block_a": [left["__lo"].iat[0]], "block_b": [left["__hi"].iat[0]], "n_pairs": [n]}
-        )
-
-    return over_block_pairs(df.select(key), key, n_blocks, count, "block_a int, block_b int, n_pairs long").filter(
-        "n_pairs > 0"
+    Only the block sizes are counted; a row holds at most ``n_blocks`` of them.
+    """
+    sizes = df.groupBy(block_of(F.col(key), n_blocks).alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    every = sizes.agg(F.collect_list(F.struct("block", "n")).alias("sizes"))
+    pairs = every.select("sizes", F.explode("sizes").alias("a")).select("a", F.explode("sizes").alias("b"))
+    a, b = F.col("a"), F.col("b")
+    n = F.when(a["block"] == b["block"], F.expr("a.n * (a.n - 1) div 2")).otherwise(a["n"] * b["n"])
+    return (
+        pairs.filter(a["block"] <= b["block"])
+        .select(a["block"].alias("block_a"), b["block"].alias("block_b"), n.alias("n_pairs"))
+        .filter("n_pairs > 0")
     )
 
 

@@ -167,6 +167,18 @@ def _pattern_sql(name: str) -> str:
     return f"len(regexp_extract_all(smiles, '{GROUP_PATTERNS[name]}'))"
 
 
+@query(
+    "pattern_counts",
+    f"""WITH {inp.STRUCTURES_SQL}, patterns AS (SELECT * FROM (VALUES {', '.join(f"('{n}', '{x}')" for n, x in GROUP_PATTERNS.items())}) AS t(name, pattern))
+SELECT id, name, CASE name {' '.join(f"WHEN '{n}' THEN {_pattern_sql(n)}" for n in GROUP_PATTERNS)} END::INT AS n
+FROM structures, patterns""",
+)
+def pattern_counts(spark, sf_dir):
+    """Patterns given as a table, counts in long form."""
+    patterns = spark.createDataFrame(list(GROUP_PATTERNS.items()), "name string, pattern string")
+    return feat.pattern_counts(inp.structures(spark, sf_dir), patterns, key="id", structure="smiles")
+
+
 @query(
     "pattern_features",
     f"""WITH {inp.STRUCTURES_SQL}
