@@ -5,7 +5,8 @@ can be read alone. Within a block, three predictions are mixed:
 
 * order 2: the id that followed the last two ids when they were met before,
 * order 1: the id that followed the last id,
-* order 0: the ids met so far by their counts, and an escape to ids not met yet.
+* order 0: the ids met so far in a list in which each use moves an id halfway to the front;
+  the list's ranks, by powers of two, and ids not met yet have adaptive frequencies.
 
 The weights of the mix are the chances of each prediction to come true, learnt for each
 state of confidence of the two contexts. What comes true is coded by a range coder.
@@ -21,18 +22,21 @@ import zlib
 import numpy as np
 
 BLOCK = 1 << 12
-CONTEXTS = 1 << 10
-WAYS = 16  # order-0 ids are leaves of a tree of counts, three levels of so many branches
-LEAVES = WAYS**3
+CONTEXTS = 1 << 9
+LONGEST = 1 << 12
+CLASSES = 16  # of ranks: 0, 1, 2-3, 4-7, ...; the last class is ids not met yet
+NEW = CLASSES - 1
 STATES = 32
 RATE = 5
 BITS = 12  # the weights of the mix add up to 2**12
 
 _MASK = np.int64((1 << 48) - 1)
 _ONE = np.int64(1)
+_CLASS = np.array([int(r + 1).bit_length() - 1 for r in range(LONGEST)], np.int64)
+_GAIN = 24
 _HEADER = struct.Struct("<IIII")  # ids, bytes of code, crc32 of the ids, crc32 of the code
-# for each branch: 1 at the bounds above it
-_ABOVE = np.triu(np.ones((WAYS, WAYS), np.int16), 1)
+# for each class: the gain at the bounds above it
+_ABOVE = (_GAIN * np.triu(np.ones((CLASSES, CLASSES + 1)), 1)).astype(np.int16)
 
 
 class RangeEncoder:
@@ -74,6 +78,13 @@ class RangeEncoder:
         self._move(low, rng, at)
         self.low[at], self.range[at] = low, rng
 
+    def bits(self, at: np.ndarray, value: np.ndarray, count: np.ndarray) -> None:
+        """Code numbers of ``count`` bits, all as likely."""
+        rng = self.range[at] >> count
+        low = self.low[at] + rng * value
+        self._move(low, rng, at)
+        self.low[at], self.range[at] = low, rng
+
     def finish(self) -> list[bytes]:
         """The code of each row. What a decoder reads beyond its end is zero."""
         # the interval is at least 2**32 wide, so one word tells a number in it
@@ -141,6 +152,16 @@ class RangeDecoder:
         self.value[at], self.range[at] = value, rng
 
 
+    def take_bits(self, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Numbers of ``count`` bits."""
+        rng, value = self.range[at] >> count, self.value[at]
+        found = quotient(value, rng)
+        value -= rng * found
+        self._move(value, rng, at)
+        self.value[at], self.range[at] = value, rng
+        return found
+
+
 class Mixer:
     """The predictions of many blocks and what they have learnt."""
 
@@ -155,13 +176,9 @@ class Mixer:
         self.chance1 = np.full(rows * STATES, 1 << 14, np.int32)
         self.hash1 = np.zeros(rows, np.int64)
         self.hash2 = np.zeros(rows, np.int64)
-        # cumulative counts of the branches before each, for each node of the tree
-        self.top = np.zeros((rows, WAYS), np.int16)
-        self.middle = np.zeros((rows * WAYS, WAYS), np.int16)
-        self.lowest = np.zeros((rows * WAYS**2, WAYS), np.int16)
-        self.counts = np.zeros(rows * LEAVES, np.int16)
-        self.members = np.zeros(rows * LEAVES, np.int32)
-        self.seen = np.zeros(rows, np.int64)
+        # bounds of the classes, by their frequencies
+        self.classes = np.tile(2 * np.arange(CLASSES + 1, dtype=np.int16), (rows, 1))
+        self.ranked = np.zeros(rows * LONGEST, np.int32)
         self.met = np.zeros(rows, np.int64)
 
     def look(self, n: int) -> None:
@@ -192,50 +209,41 @@ class Mixer:
         self.hash2[:n] = ((self.hash1[:n] * 0x85EBCA6B + h) >> 11) & (CONTEXTS - 1)
         self.hash1[:n] = (h >> 15) & (CONTEXTS - 1)
 
-    def escape(self, at: np.ndarray) -> np.ndarray:
-        """Weight of an id not met yet."""
-        return (self.met[at] >> 1) + 1
-
-    def nodes(self, at: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indices of a leaf's nodes on the middle and the lowest level."""
-        return at * WAYS + (leaf >> 8), at * WAYS**2 + (leaf >> 4)
-
-    def below(self, at: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        """Counts of all leaves before these."""
-        middle, lowest = self.nodes(at, leaf)
-        return (
-            self.top.ravel().take(at * WAYS + (leaf >> 8)).astype(np.int64)
-            + self.middle.ravel().take(middle * WAYS + ((leaf >> 4) & 15))
-            + self.lowest.ravel().take(lowest * WAYS + (leaf & 15))
-        )
-
-    def find(self, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The leaf at a place among the counts, and the counts before it."""
-        rest = place.astype(np.int16)
-        leaf, index = np.zeros(len(at), np.int64), at
-        for level in (self.top, self.middle, self.lowest):
-            row = level.take(index, axis=0)
-            branch = (row <= rest[:, None]).sum(axis=1) - 1
-            rest = rest - row.ravel().take(np.arange(len(at)) * WAYS + branch)
-            leaf = leaf * WAYS + branch
-            index = index * WAYS + branch
-        return leaf, place - rest
-
-    def count(self, at: np.ndarray, leaf: np.ndarray) -> None:
-        """One more of the ids at these leaves."""
-        middle, lowest = self.nodes(at, leaf)
-        self.top[at] += _ABOVE.take(leaf >> 8, axis=0)
-        self.middle[middle] += _ABOVE.take((leaf >> 4) & 15, axis=0)
-        self.lowest[lowest] += _ABOVE.take(leaf & 15, axis=0)
-        self.counts[at * LEAVES + leaf] += 1
-        self.seen[at] += 1
+    def class_bounds(self, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, width and total of a class, for the rows ``at``."""
+        flat = at * (CLASSES + 1)
+        bounds = self.classes.ravel()
+        start = bounds.take(flat + kind).astype(np.int64)
+        return start, bounds.take(flat + kind + 1) - start, bounds.take(flat + CLASSES)
+
+    def find_class(self, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The class at a place among the frequencies."""
+        return (self.classes.take(at, axis=0) <= place.astype(np.int16)[:, None]).sum(axis=1) - 1
+
+    def learn_class(self, at: np.ndarray, kind: np.ndarray) -> None:
+        self.classes[at] = self.classes.take(at, axis=0) + _ABOVE.take(kind, axis=0)
+
+    def forget(self, t: int) -> None:
+        """At every 64th id, older uses of the classes count half where there are many."""
+        if t % 64 == 63:
+            full = np.flatnonzero(self.classes[:, CLASSES] > 2000)
+            sizes = np.diff(self.classes[full], axis=1)
+            self.classes[full, 1:] = np.cumsum((sizes + 1) >> 1, axis=1)
+
+    def forward(self, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Swap the ids at these ranks with those halfway to the front: the two places, and the id moved back."""
+        here, there = at * LONGEST + rank, at * LONGEST + (rank >> 1)
+        moved, back = self.ranked.take(here), self.ranked.take(there)
+        self.ranked[here] = back
+        self.ranked[there] = moved
+        return here, there, back
 
     def add(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Ids met for the first time; their leaves."""
-        leaf = self.met[at]
-        self.members[at * LEAVES + leaf] = ids
-        self.met[at] = leaf + 1
-        return leaf
+        """Ids met for the first time stand at the end of the list; their ranks."""
+        rank = self.met[at]
+        self.ranked[at * LONGEST + rank] = ids
+        self.met[at] = rank + 1
+        return rank
 
 
 def _ordered(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,20 +253,24 @@ def _ordered(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
-    """Frames of blocks of ids below ``ids``; a block holds at most LEAVES ids."""
+    """Frames of blocks of ids below ``ids``; a block holds at most LONGEST ids."""
     if not blocks:
         return []
     lengths = np.array([len(b) for b in blocks])
-    if lengths.max() > LEAVES:
+    if lengths.max() > LONGEST:
         raise ValueError("block too long")
     if any(len(b) and int(b.max()) >= ids for b in blocks):
         raise ValueError("id out of range")
     order, active = _ordered(lengths)
     rows, length = len(blocks), int(lengths.max())
-    table = np.zeros((length, rows), np.int32)
+    # a block's different ids are numbered, so that the rank of each fits a small table
+    table, local = np.zeros((length, rows), np.int32), np.zeros((length, rows), np.int32)
     for column, k in enumerate(order):
         table[:lengths[k], column] = blocks[k]
-    leaves = np.full(rows * ids, -1, np.int16)  # of each id that order 0 has met
+        local[:lengths[k], column] = np.unique(blocks[k], return_inverse=True)[1]
+    ranks = np.full(rows * LONGEST, -1, np.int16)
+    # the number of the id at each rank
+    numbers = np.zeros(rows * LONGEST, np.int16)
     mixer, coder = Mixer(rows), RangeEncoder(rows, length * 3 + 8)
     for t in range(length):
         n = int(active[t])
@@ -269,21 +281,32 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
         coder.mixed(n, *mixer.bounds(second, first))
         at = np.flatnonzero(~(second | first))
         if len(at):
-            seen, out = mixer.seen[at], mixer.escape(at)
-            places = at * ids + now[at]
-            leaf = leaves.take(places).astype(np.int64)
-            new = leaf < 0
-            leaf[new] = 0
-            start = np.where(new, seen, mixer.below(at, leaf))
-            coder.code(at, start, np.where(new, out, mixer.counts.take(at * LEAVES + leaf)), seen + out)
-            fresh = np.flatnonzero(new)
+            number = local[t].take(at)
+            places = at * LONGEST + number
+            rank = ranks.take(places).astype(np.int64)
+            kind = _CLASS.take(rank)
+            kind[rank < 0] = NEW
+            start, width, total = mixer.class_bounds(at, kind)
+            coder.code(at, start, width, total)
+            mixer.learn_class(at, kind)
+            fresh = np.flatnonzero(kind == NEW)
             if len(fresh):
                 novel = at[fresh]
                 coder.code(novel, now[novel].astype(np.int64), _ONE, ids)
-                leaf[fresh] = mixer.add(novel, now[novel])
-                leaves[places[fresh]] = leaf[fresh]
-            mixer.count(at, leaf)
+                end = mixer.add(novel, now[novel])
+                ranks[places[fresh]] = end
+                numbers[novel * LONGEST + end] = number[fresh]
+            deep = np.flatnonzero((kind > 0) & (kind < NEW))
+            if len(deep):
+                known, rank, kind = at[deep], rank[deep], kind[deep]
+                coder.bits(known, rank + 1 - (_ONE << kind), kind)
+                here, there, _ = mixer.forward(known, rank)
+                back = numbers.take(there)
+                numbers[here], numbers[there] = back, number[deep]
+                ranks[known * LONGEST + back] = rank
+                ranks[places[deep]] = rank >> 1
         mixer.learn(n, now, second, first)
+        mixer.forget(t)
     frames: list[bytes] = [b""] * rows
     for k, code in zip(order, coder.finish()):
         raw = blocks[k].astype("<u4").tobytes()
@@ -313,21 +336,26 @@ def decode_blocks(frames: list[tuple[int, int, int, bytes]], ids: int) -> list[n
         now = np.where(second, mixer.guess2, mixer.guess1)
         at = np.flatnonzero(~(second | first))
         if len(at):
-            seen, out = mixer.seen[at], mixer.escape(at)
-            place = coder.place(at, seen + out)
-            new = place >= seen
-            leaf, start = mixer.find(at, np.where(new, 0, place))
-            coder.take(at, np.where(new, seen, start), np.where(new, out, mixer.counts.take(at * LEAVES + leaf)))
-            now[at] = mixer.members.take(at * LEAVES + leaf)
-            fresh = np.flatnonzero(new)
+            kind = mixer.find_class(at, coder.place(at, mixer.classes.ravel().take(at * (CLASSES + 1) + CLASSES)))
+            start, width, total = mixer.class_bounds(at, kind)
+            coder.take(at, start, width)
+            mixer.learn_class(at, kind)
+            now[at] = mixer.ranked.take(at * LONGEST)
+            fresh = np.flatnonzero(kind == NEW)
             if len(fresh):
                 novel = at[fresh]
                 found = coder.place(novel, ids)
                 coder.take(novel, found, _ONE)
                 now[novel] = found
-                leaf[fresh] = mixer.add(novel, found)
-            mixer.count(at, leaf)
+                mixer.add(novel, found)
+            deep = np.flatnonzero((kind > 0) & (kind < NEW))
+            if len(deep):
+                known, kind = at[deep], kind[deep]
+                rank = coder.take_bits(known, kind) + (_ONE << kind) - 1
+                _, there, _ = mixer.forward(known, rank)
+                now[known] = mixer.ranked.take(there)
         mixer.learn(n, now, second, first)
+        mixer.forget(t)
         table[t, :n] = now
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * rows
     for column, k in enumerate(order):

@@ -27,7 +27,7 @@ from assayframe.llm.text import slices
 
 SEGMENT = 1 << 16
 #: Ids that are coded together: more keep numpy busy, fewer need less memory.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 23
 MEMO_SIZE = 500_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
@@ -181,7 +181,7 @@ def _segments(names: list, ids: list[bytes], size: int, block: int, segment: int
 
 def coded(run, blocks: list, size: int) -> list:
     """Blocks through the coder, as many at once as its tables should hold."""
-    step = max(16, (1 << 26) // size)
+    step = TOGETHER // codec.BLOCK
     return [x for i in range(0, len(blocks), step) for x in run(blocks[i:i + step], size)]
 
 
@@ -209,8 +209,8 @@ def _read(spark: SparkSession, path: str, size: int, schema: str, names: list[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 64):
-                some = batch.slice(lo, 64)
+            for lo in range(0, len(batch), 128):
+                some = batch.slice(lo, 128)
                 rows = []
                 for i, keys, docs in _decoded(some, size):
                     first, part = some.column(some.schema.get_field_index("first"))[i].as_py(), some.column(some.schema.get_field_index("part"))[i].as_py()
