@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from assayframe.llm.scratch import stored
 from assayframe.llm.text import slices, words, words_of
 
 WINDOW = 13
-SHARD_WORDS = 500_000
+#: Words of the items that one automaton holds; it has at most twice as many states.
+SHARD_WORDS = 200_000
 
 
 class ItemAutomaton:
@@ -244,50 +246,66 @@ def contaminated_spans(
 ) -> DataFrame:
     """Add ``n_words``, ``hit_spans`` (word positions, [from, to)) and ``hit_items`` to ``docs``.
 
-    The benchmark may be of any size: its items are cut into groups of bounded size, and
-    the documents pass the automaton of each group in turn within one stage, without a
-    shuffle. Each automaton is a broadcast of bounded size.
+    The benchmark may be of any size: its items are cut into groups of bounded size. Each
+    group's automaton is a broadcast of bounded size, which the documents pass in one
+    stage without a shuffle. If there are more groups, the table is written between them,
+    so no task holds more than one automaton.
 
     Null texts and texts without words have no spans; null or empty items hit nothing;
     an empty benchmark hits nothing. Items with the same text or id all count. ``keep``
     names the columns to keep, all if None; those with the three names give way.
     """
-    spark = docs.sparkSession
-    made = ["n_words", "hit_spans", "hit_items"]
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in _MADE]
+    rest = list(dict.fromkeys([*kept, text]))
+    found = docs.select(*rest)
+    groups = shards(benchmark, item, item_text, shard_words)
+    automaton = next((ItemAutomaton(g, window) for g in groups), None)
+    found = _passed(found, automaton, text, rest)
+    for group in groups:
+        found = _passed(stored(found, "spans"), ItemAutomaton(group, window), text, rest)
+    return found.select(*kept, *_MADE)
+
+
+_MADE = ("n_words", "hit_spans", "hit_items")
+
+
+def _passed(docs: DataFrame, automaton: ItemAutomaton | None, text: str, rest: list[str]) -> DataFrame:
+    """``rest`` of ``docs`` and the three columns, with what they held before if they were there."""
+    held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(automaton, protocol=5))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "n_words bigint, hit_spans array<struct<lo:bigint,hi:bigint>>, hit_items array<string>"])
-    held = [
-        spark.sparkContext.broadcast(pickle.dumps(ItemAutomaton(group, window), protocol=5))
-        for group in shards(benchmark, item, item_text, shard_words)
-    ]
+    before = set(_MADE) <= set(docs.columns)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "n_words bigint, hit_spans array<struct<lo:bigint,hi:bigint>>, hit_items array<string>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automata = [pickle.loads(b.value) for b in held]
+        automaton = pickle.loads(held.value)
         out = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            spans, items = [[] for _ in range(len(batch))], [set() for _ in range(len(batch))]
+            if before:
+                spans = [[(x["lo"], x["hi"]) for x in s] for s in batch.column(batch.schema.get_field_index("hit_spans")).to_pylist()]
+                items = [set(x) for x in batch.column(batch.schema.get_field_index("hit_items")).to_pylist()]
+            else:
+                spans, items = [[] for _ in range(len(batch))], [set() for _ in range(len(batch))]
             sizes = [0] * len(batch)
-            for automaton in automata:
+            if automaton is None:
+                for part in slices(column):
+                    sizes[part.rows.start:part.rows.stop] = np.diff(words(part).offsets).tolist()
+            else:
                 for i, (n, more, hit) in enumerate(scan_column(automaton, column)):
                     sizes[i] = n
                     spans[i] += more
                     items[i] |= {str(automaton.names[k]) for k in hit}
-            if not automata:
-                for part in slices(column):
-                    sizes[part.rows.start:part.rows.stop] = np.diff(words(part).offsets).tolist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(batch.schema.get_field_index(c)) for c in kept),
+                    *(batch.column(batch.schema.get_field_index(c)) for c in rest),
                     pa.array(sizes, pa.int64()),
                     pa.array([[{"lo": a, "hi": b} for a, b in joined(s)] for s in spans], out),
                     pa.array([sorted(s) for s in items], pa.list_(pa.string())),
                 ],
-                names=[*kept, *made],
+                names=[*rest, *_MADE],
             )
 
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
