@@ -23,7 +23,7 @@ _FOLD_BYTES = bytes(int(b) or 32 for b in _FOLD)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1 << 16
 
 

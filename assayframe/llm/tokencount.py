@@ -22,7 +22,7 @@ from assayframe.llm.text import slices
 # Fixed value: the split of byte-level BPE as the library documents it.
 PRE_TOKENS = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-MEMO_SIZE = 400_000
+MEMO_SIZE = 300_000
 
 
 def byte_symbols() -> dict[str, int]:

@@ -27,8 +27,8 @@ from assayframe.llm.text import slices
 
 SEGMENT = 1 << 16
 #: Ids that are coded together: more keep numpy busy, fewer need less memory.
-TOGETHER = 1 << 23
-MEMO_SIZE = 500_000
+TOGETHER = 3 << 21
+MEMO_SIZE = 300_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
