@@ -38,15 +38,13 @@ class ChunkEncoder:
 
     The library lower-cases, normalises and splits a text so that nothing reaches across a
     space or line end; so a text's ids are those of its chunks in a row. New chunks are
-    given to the library together, parted by a special token.
+    given to the library together, parted by a digit that is one id and that none of them has.
     """
 
     def __init__(self, content: str):
         self.tokenizer = Tokenizer.from_str(content)
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
-        plain = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
-        self.marks = [c for c, _ in special]
-        self.mark = plain[0] if plain else None
+        alone = {d: self.tokenizer.encode(d, add_special_tokens=False).ids for d in "0123456789"}
+        self.mark = next(((d, ids[0]) for d, ids in alone.items() if len(ids) == 1), None)
         self.memo: dict[str, bytes] = {"": b""}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
@@ -54,20 +52,23 @@ class ChunkEncoder:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.memo]
         together = []
-        for c in new:
-            if self.mark is None or any(m in c for m in self.marks):
-                self.memo[c] = self._alone(c)
-            else:
-                together.append(c)
+        for c in chunks:
+            if c not in self.memo:
+                if self.mark is None or self.mark[0] in c:
+                    self.memo[c] = self._alone(c)
+                else:
+                    together.append(c)
         if together:
-            ids = np.array(self.tokenizer.encode(self.mark[0].join(together), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode(f" {self.mark[0]} ".join(together), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark[1])
             if len(cuts) != len(together) - 1:  # a chunk that meets its neighbours
                 self.memo.update((c, self._alone(c)) for c in together)
-            else:
-                self.memo.update(zip(together, (x.tobytes() for x in np.split(np.delete(ids, cuts), cuts - np.arange(len(cuts))))))
+                return
+            whole, begin = ids.tobytes(), 0
+            for c, cut in zip(together, [*cuts.tolist(), len(ids)]):
+                self.memo[c] = whole[4 * begin:4 * cut]
+                begin = cut + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_SIZE:
