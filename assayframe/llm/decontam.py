@@ -164,9 +164,6 @@ class _HashSet:
                 at = (at + np.uint64(1)) & self.mask
             self.table[at] = h
 
-    def __contains__(self, hashes):
-        raise TypeError("use has()")
-
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & self.mask
         there = self.table[at]

@@ -19,6 +19,8 @@ SEED = 20
 BINS = 4096
 #: Words that the program spends at least; it may hold twice the shortest document.
 PROGRAM = 1 << 15
+#: So many rows of sources are broadcast; more are joined by a shuffle.
+BROADCAST_SOURCES = 10_000
 
 _MADE = ("size", "source_size", "target", "taken")
 
@@ -166,7 +168,8 @@ def mix(
     kept = docs.select(*[c for c in docs.columns if c not in _MADE])
     own = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
     rows = kept.withColumn("_mix_size", word_count(F.col(text))).withColumn("_mix_hash", own)
-    keys = stored(rows.select(F.col(source).cast("string").alias("source"), F.col("_mix_size").alias("size"), F.pmod("_mix_hash", F.lit(BINS)).alias("bin")).groupBy("source", "size", "bin").agg(F.count("*").alias("n")), "mix-bins")
+    placed = rows.select(F.col(source).cast("string").alias("source"), F.col("_mix_size").alias("size"), F.pmod("_mix_hash", F.lit(BINS)).alias("bin"))
+    keys = stored(placed.groupBy("source", "size", "bin").agg(F.count("*").alias("n")), "mix-bins")
     counts = keys.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     wanted = targets(sizes, share, most, weights)
@@ -175,6 +178,10 @@ def mix(
     sources = stored(wanted.withColumn("passes", passes).withColumn("budget", words - F.col("passes") * F.col("source_size")), "mix-sources")
     extra = stored(plan(counts, sources, program), "mix-plan")
 
+    per_source = sources.select(F.col("source").alias("s"), "source_size", "target", "passes")
+    if sources.count() <= BROADCAST_SOURCES:
+        per_source = F.broadcast(per_source)
+
     # how many documents of each bin are taken once more
     before = Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
@@ -182,7 +189,7 @@ def mix(
         .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .withColumn("more", F.greatest(F.lit(0), F.least("n", F.coalesce("extra", F.lit(0)) - F.col("before"))))
         .select("source", "size", "bin", "n", "more")
-        .join(F.broadcast(sources.select(F.col("source").alias("s"), "source_size", "target", "passes")) if sources.count() <= 10_000 else sources.select(F.col("source").alias("s"), "source_size", "target", "passes"), F.col("source").eqNullSafe(F.col("s")))
+        .join(per_source, F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
         .toDF("_mix_source", "_mix_l", "_mix_bin", "_mix_n", "_mix_more", "_mix_source_size", "_mix_target", "_mix_passes")
     )
@@ -207,6 +214,9 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     Documents without words cost nothing and are kept once.
     """
     names = docs.columns
-    mixed = mix(docs.toDF(*[f"_c{i}_{c}" for i, c in enumerate(names)]), **{k: f"_c{names.index(v)}_{v}" if k in ("doc_id", "source", "text") else v for k, v in (dict(doc_id="doc_id", source="source", text="text") | options).items()})
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    for role in ("doc_id", "source", "text"):
+        options[role] = f"_c{names.index(options.get(role, role))}"
+    mixed = mix(plain, **options)
     times = F.when(F.col("size") == 0, 1).otherwise((F.col("taken") / F.col("size")).cast("int"))
-    return mixed.withColumn("times", times).filter("times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*mixed.columns[:len(names)]).toDF(*names)
+    return mixed.withColumn("times", times).filter("times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*plain.columns).toDF(*names)
