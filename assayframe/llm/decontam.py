@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from assayframe.llm.scratch import stored
+from assayframe.llm.scratch import small_batches, stored
 from assayframe.llm.text import slices, words, words_of
 
 WINDOW = 13
@@ -302,7 +302,7 @@ def _passed(docs: DataFrame, automaton: ItemAutomaton | None, text: str, rest: l
                 names=[*rest, *_MADE],
             )
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -17,6 +17,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from assayframe.llm.scratch import small_batches
+
 # Element names of HTML by their part in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -295,4 +297,4 @@ def extract_text(pages: DataFrame, *, html: str = "html", keep: list[str] | None
                 names=[*kept, "text", "n_chars"],
             )
 
-    return pages.select(*dict.fromkeys([*kept, html])).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "text string", "n_chars bigint"]))
+    return small_batches(pages).select(*dict.fromkeys([*kept, html])).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "text string", "n_chars bigint"]))

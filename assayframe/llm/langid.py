@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.llm.scratch import sample_share, unit
+from assayframe.llm.scratch import sample_share, small_batches, unit
 from assayframe.llm.text import Slice, slices
 
 BUCKETS = 1 << 15
@@ -135,7 +135,7 @@ def document_frequencies(docs: DataFrame, text: str, buckets: int = BUCKETS) ->
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], n))], names=["bucket", "n"])
 
-    rows = docs.select(text).mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(docs).select(text).mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     found, n = np.zeros(buckets, np.int64), 0
     for bucket, count in rows:
         if bucket < 0:
@@ -282,4 +282,4 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", keep:
             )
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "lang_pred string", "score double"])
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+    return small_batches(docs).select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)

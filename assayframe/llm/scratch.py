@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.runtime import scratch_path
 
 
+#: Rows and bytes that Spark hands to Python at once: texts are long.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session was told to hand smaller Arrow batches to Python.
+
+    Batches live outside the heap, for each running task. Lower settings are kept.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        number, unit_ = re.fullmatch(r"(-?\d+)\s*([kmg]?)i?b?", conf.get(key).lower()).groups()
+        if not 0 < int(number) << 10 * " kmg".index(unit_ or " ") <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 

@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from assayframe.llm.scratch import small_batches
 from assayframe.llm.text import slices
 
 # Fixed value: the split of byte-level BPE as the library documents it.
@@ -154,4 +155,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: l
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), *made], names=[*kept, "n_bytes", "n_tokens"]
             )
 
-    return docs.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+    return small_batches(docs).select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
