@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from assayframe.llm.scratch import small_batches, stored
-from assayframe.llm.text import slices, words, words_of
+from assayframe.llm.text import slices, trimmed, words, words_of
 
 WINDOW = 13
 #: Words of the items that one automaton holds; it has at most twice as many states.
@@ -302,7 +302,7 @@ def _passed(docs: DataFrame, automaton: ItemAutomaton | None, text: str, rest: l
                 names=[*rest, *_MADE],
             )
 
-    return small_batches(docs).mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(trimmed(run), schema)
 
 
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

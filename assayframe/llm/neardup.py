@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from assayframe.llm.components import components
 from assayframe.llm.scratch import small_batches, stored
-from assayframe.llm.text import Slice, mix, shingles, slices, words
+from assayframe.llm.text import Slice, mix, shingles, slices, trimmed, words
 
 SHINGLE = 5
 SIMILARITY = (4, 5)
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame, key: str, text: str, shingle: int, bands: int, rows:
                     names=["key", "own", "n", "d1", "d2", "bands"],
                 )
 
-    return small_batches(docs).select(F.col(key).alias("key"), text, "_own").mapInArrow(run, "key bigint, own boolean, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return small_batches(docs).select(F.col(key).alias("key"), text, "_own").mapInArrow(trimmed(run), "key bigint, own boolean, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def overlap(a: Slice, b: Slice, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def similar(pairs: DataFrame, shingle: int, similarity: tuple[int, int]) -> Data
                 shared, n_a, n_b = overlap(part, other, shingle)
                 yield rows.select([0, 1]).filter(pa.array(shared * down >= (n_a + n_b - shared) * up))
 
-    return small_batches(pairs).select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return small_batches(pairs).select("a", "b", "text_a", "text_b").mapInArrow(trimmed(run), "a bigint, b bigint")
 
 
 def _fits(similarity: tuple[int, int]) -> F.Column:
@@ -209,7 +209,7 @@ def prefix_pairs(texts: DataFrame, shingle: int, similarity: tuple[int, int]) ->
                     names=["node", "label", "n", "token"],
                 )
 
-    tokens = stored(small_batches(texts).select("node", "label", "text").mapInArrow(run, "node bigint, label bigint, n bigint, token bigint"), "tokens")
+    tokens = stored(small_batches(texts).select("node", "label", "text").mapInArrow(trimmed(run), "node bigint, label bigint, n bigint, token bigint"), "tokens")
     shared = stored(tokens.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1"), "shared")
     common = tokens.join(shared, "token")
     # tokens of one text alone come first of all and only take up places

@@ -24,12 +24,12 @@ from tokenizers import Tokenizer
 
 from assayframe.llm import codec
 from assayframe.llm.scratch import small_batches
-from assayframe.llm.text import slices
+from assayframe.llm.text import slices, trimmed
 
 SEGMENT = 1 << 16
 #: Ids that are coded together: more keep numpy busy, fewer need less memory.
-TOGETHER = 3 << 21
-MEMO_SIZE = 300_000
+TOGETHER = 1 << 21
+MEMO_SIZE = 150_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
@@ -150,7 +150,7 @@ def write_ids(
     rows = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
     keys = [F.col("key"), F.xxhash64("text"), F.monotonically_increasing_id()]
     dealt = rows.withColumns({"h": keys[1], "m": keys[2]}).repartitionByRange("key", "h", "m").sortWithinPartitions("key", "h", "m")
-    small_batches(dealt).select("key", "text").mapInArrow(run, _SCHEMA).write.parquet(path)
+    small_batches(dealt).select("key", "text").mapInArrow(trimmed(run), _SCHEMA).write.parquet(path)
 
 
 def _segments(names: list, ids: list[bytes], size: int, block: int, segment: int, part: int, number: int, before: int) -> pa.RecordBatch:
@@ -222,7 +222,7 @@ def _read(spark: SparkSession, path: str, size: int, schema: str, names: list[st
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *_KINDS[schema]]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=["part", "start", "doc_id", "n_tokens", *names])
 
-    read = small_batches(files).mapInArrow(run, f"part int, start bigint, doc_id bigint, n_tokens bigint, {schema}")
+    read = small_batches(files).mapInArrow(trimmed(run), f"part int, start bigint, doc_id bigint, n_tokens bigint, {schema}")
     joined = read.join(F.broadcast(before), F.col("part") == F.col("of"))
     return joined.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", *names)
 

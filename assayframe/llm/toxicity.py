@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayframe.llm.scratch import sample_share, small_batches, unit
-from assayframe.llm.text import Slice, mix, slices, words
+from assayframe.llm.text import Slice, mix, slices, trimmed, words
 
 BITS = 16
 STEMS = (3, 4, 5, 6)
@@ -293,7 +293,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, text: str = "text", keep: li
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(np.concatenate(scores))], names=[*kept, out]
             )
 
-    return small_batches(docs).select(*dict.fromkeys([*kept, text])).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), f"`{out}` double"]))
+    return small_batches(docs).select(*dict.fromkeys([*kept, text])).mapInArrow(trimmed(run), ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), f"`{out}` double"]))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, *, text: str = "text") -> DataFrame:
