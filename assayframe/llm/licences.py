@@ -8,6 +8,9 @@ stand on a line of their own are found too. Nothing is matched in part.
 
 from __future__ import annotations
 
+import json
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +76,15 @@ KNOWN = [
     ("CC0-1.0", "Licensed under CC0 1.0."),
     ("all-rights-reserved", "All rights reserved."),
 ]
+
+
+def _shipped_texts() -> list[tuple[str, str]]:
+    """Whole licence texts and their common forms, from the table beside this module: license_id, form, text."""
+    lines = resources.files(__package__).joinpath("licence_texts.jsonl").read_text(encoding="utf-8").split("\n")
+    return [(row["license_id"], row["text"]) for row in map(json.loads, filter(None, lines))]
+
+
+KNOWN += _shipped_texts()
 #: Known licences up to so many are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 10_000
 
@@ -100,6 +112,7 @@ def _whole(lines: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
+    """license_id and text of the notices above and of the whole texts shipped with the package."""
     return spark.createDataFrame(KNOWN, "license_id string, text string")
 
 

@@ -53,7 +53,7 @@ def ship(spark: SparkSession) -> None:
         for place, folders, files in os.walk(root):
             folders[:] = sorted(f for f in folders if f != "__pycache__")
             for name in sorted(files):
-                if name.endswith(".py"):
+                if name.endswith((".py", ".jsonl")):
                     path = os.path.join(place, name)
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
     context.addPyFile(archive)

@@ -1,5 +1,7 @@
 """Licence digests against a plain reading of the rules."""
 
+import pathlib
+
 import pytest
 
 from assayframe.llm import licences
@@ -41,3 +43,32 @@ def test_many_licences_are_joined_alike(spark, monkeypatch, broadcast):
     known = spark.createDataFrame([(f"L{i}", f"license, TEXT: number {i}") for i in range(5)], "license_id string, text string")
     got = {r["doc_id"]: r["license_id"] for r in licences.scan(docs, known).collect()}
     assert got == {i: f"L{i % 7}" if i % 7 < 5 else None for i in range(50)}
+
+
+def test_whole_texts_are_known(spark):
+    """Whole texts with other breaks, case and copyright lines; the small change of a word is no match."""
+    starts = {
+        "Apache-2.0": "Apache License\nVersion 2.0", "GPL-1.0": "GNU GENERAL PUBLIC LICENSE\nVersion 1", "GPL-2.0": "GNU GENERAL PUBLIC LICENSE\nVersion 2",
+        "GPL-3.0": "GNU GENERAL PUBLIC LICENSE\nVersion 3", "LGPL-2.0": "GNU LIBRARY GENERAL PUBLIC LICENSE\nVersion 2",
+        "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1", "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3",
+        "MPL-2.0": "Mozilla Public License Version 2.0", "CC0-1.0": "Creative Commons Legal Code CC0 1.0 Universal",
+        "Artistic-1.0-Perl": 'The "Artistic License"', "GFDL-1.3": "GNU Free Documentation License\nVersion 1.3", "MIT": "The MIT License (MIT)",
+    }
+    whole = {}
+    for k, t in licences.KNOWN:
+        if k in starts and " ".join(t.split()).startswith(" ".join(starts[k].split())):
+            whole[k] = max(whole.get(k, ""), t, key=len)
+    assert set(whole) == set(starts)
+    rows = [(k, "(c) 2020, Some One\n" + t.replace("\n", "  \r\n\r\n").upper()) for k, t in whole.items()]
+    rows += [("not " + k, t + "\nAnd more.") for k, t in whole.items()]
+    got = {r["doc_id"]: r["license_id"] for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string"), licences.known_licences(spark)).collect()}
+    assert got == {k: k for k in whole} | {"not " + k: None for k in whole}
+
+
+@pytest.mark.parametrize("name,licence", [("Apache-2.0", "Apache-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")])
+def test_copies_of_the_system_are_known(spark, name, licence):
+    path = pathlib.Path("/usr/share/common-licenses", name)
+    if not path.exists():
+        pytest.skip("this system has no copy")
+    docs = spark.createDataFrame([(1, path.read_text())], "doc_id long, text string")
+    assert licences.scan(docs, licences.known_licences(spark)).first()["license_id"] == licence
