@@ -46,3 +46,12 @@ def test_bounds_spare_work():
         best = np.lexsort((np.arange(3000), -full))[:5]
         assert list(ids) == list(best) and list(scores) == list(full[best])
     assert sum(n for *_, n in done) < 20 * 3000 / 2
+
+
+def test_rows_without_id_take_no_part(spark):
+    big = (1 << 53) + 1  # a double cannot hold it
+    rows = [(big, [3, 4]), (None, [9, 9]), (big + 2, [1, 2]), (7, [2, 2])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    known = [(i, v) for i, v in rows if i is not None]
+    assert sorted(map(tuple, topk.top_k(df, df, 2).collect())) == plain(known, known, 2)
+    assert topk.top_k(df.filter("vec_id is null"), df, 2).count() == 0
