@@ -45,14 +45,16 @@ def token_digest(tokens: str) -> Column:
 def collapse_copies(df: DataFrame, *, key: str, tokens: str) -> DataFrame:
     """(rep, tokens, copies): one row per distinct fingerprint, named by its lowest key.
 
-    Copies are grouped by a digest; token arrays are only fetched for the
-    representatives. Written once, as everything that follows reads it several times.
+    Copies are grouped by a digest, each group with one of its equal token arrays, so a
+    key in more than one row is never met by a join. Records without a key count as
+    copies; a fingerprint that only they have keeps its row, with a null ``rep``.
+    Written once, as everything that follows reads it several times.
     """
     known = df.filter(F.col(tokens).isNotNull())
-    counted = known.groupBy(token_digest(tokens).alias("digest")).agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("copies"))
-    named = cut_lineage(counted.select("rep", "copies"))
-    own = known.select(F.col(key).alias("rep"), F.col(tokens).alias("tokens"))
-    return cut_lineage(own.join(named, "rep").select("rep", "tokens", "copies"))
+    counted = known.groupBy(token_digest(tokens).alias("digest")).agg(
+        F.min(key).alias("rep"), F.any_value(F.col(tokens)).alias("tokens"), F.count(F.lit(1)).alias("copies")
+    )
+    return cut_lineage(counted.select("rep", "tokens", "copies"))
 
 
 def copy_members(df: DataFrame, reps: DataFrame, *, key: str, tokens: str) -> DataFrame:
@@ -207,13 +209,15 @@ def similarity_pairs(
 
     Takes the output of :func:`collapse_copies` and gives (a, b, n_a, n_b, common,
     total) with a < b. Copies of one fingerprint are not listed as pairs: they all
-    have similarity 1 and are counted in ``copies``.
+    have similarity 1 and are counted in ``copies``. A fingerprint with a null ``rep``
+    has no name to be paired by and is in no pair.
 
     ``index`` joins on the rarest tokens and suits sparse fingerprints; its cost
     follows the lengths of the token lists. ``dense`` compares blocks of rows and
     suits narrow, full fingerprints of moderate number; its cost is quadratic.
     """
     limit = as_fraction(cutoff)
+    reps = reps.filter("rep IS NOT NULL")
     if strategy == "index":
         return _index_pairs(reps, limit, posting_rows)
     if strategy == "dense":
@@ -247,9 +251,9 @@ def pair_distances(
     distance to them. The matrix itself is never written.
     """
     df = cut_lineage(df.select(key, tokens))
-    reps = collapse_copies(df, key=key, tokens=tokens)
-    kind = reps.schema["rep"].dataType.simpleString()
-    schema = f"rep {kind}, n long, total double, nearest double, farthest double"
+    # named by digests here: a key may be null or stand in several rows
+    reps = cut_lineage(collapse_copies(df, key=key, tokens=tokens).withColumn("rep", token_digest("tokens")))
+    schema = "rep string, n long, total double, nearest double, farthest double"
 
     def one_side(distances: np.ndarray, rows: pd.DataFrame, others: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
         weights = np.where(mask, others["copies"].to_numpy()[None, :], 0)

@@ -247,3 +247,32 @@ def test_rows_without_features_stay(spark):
         assert rows == {1: 0.0, 2: None, 3: 0.0, 4: 0.0}
     rows = {r["id"]: r["cluster"] for r in cluster.leader_clusters(df, key="id", tokens="tokens", cutoff=(1, 2)).collect()}
     assert rows == {1: 1, 2: None, 3: 1, 4: 4}
+
+
+def test_one_row_for_each_fingerprint(spark):
+    """Repeated rows, one key with two fingerprints, and fingerprints whose records have no key."""
+    rows = [(1, [1, 2]), (1, [1, 2]), (1, [3, 4, 5]), (2, [1, 2]), (None, [1, 2]), (None, [7]), (None, [7]), (3, [8, 9]), (3, None)]
+    df = spark.createDataFrame(rows, "id long, tokens array<int>")
+    got = [(r["rep"], tuple(r["tokens"]), r["copies"]) for r in similarity.collapse_copies(df, key="id", tokens="tokens").collect()]
+    assert sorted(got, key=str) == sorted([(1, (1, 2), 4), (1, (3, 4, 5), 1), (None, (7,), 2), (3, (8, 9), 1)], key=str)
+
+
+@pytest.mark.parametrize("strategy", ["index", "dense"])
+def test_repeated_rows_give_each_pair_once(spark, strategy):
+    rows = [(1, [1, 2, 3]), (1, [1, 2, 3]), (2, [1, 2, 3, 4]), (2, [1, 2, 3, 4]), (5, [6])]
+    reps = similarity.collapse_copies(spark.createDataFrame(rows, "id long, tokens array<int>"), key="id", tokens="tokens")
+    got = [tuple(r) for r in similarity.similarity_pairs(reps, cutoff=(3, 5), strategy=strategy).select("a", "b", "n_a", "n_b", "common", "total").collect()]
+    assert got == [(1, 2, 2, 2, 3, 4)]
+
+
+def test_members_are_given_once(spark):
+    rows = [(1, [1, 2]), (1, [1, 2]), (4, [3, 4, 5]), (2, [1, 2]), (None, [7]), (None, [7]), (None, [8]), ((1 << 53) + 1, [1, 2, 6])]
+    df = spark.createDataFrame(rows, "id long, tokens array<int>")
+    got = cluster.leader_clusters(df, key="id", tokens="tokens", cutoff=(3, 5)).collect()
+    assert sorted(r["id"] or 0 for r in got) == sorted(i or 0 for i, _ in rows)
+    assert sorted(r["cluster_size"] for r in got if r["id"] is None) == [1, 2, 2]
+    twice = rows + [(4, [5, 6])]
+    far = similarity.pair_distances(spark.createDataFrame(twice, df.schema), key="id", tokens="tokens").collect()
+    assert sorted(r["id"] or 0 for r in far) == sorted(i or 0 for i, _ in twice)
+    for r in far:
+        assert r["n_others"] == len(twice) - 1
