@@ -12,7 +12,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -215,19 +217,36 @@ def scan_column(automaton: ItemAutomaton, column: pa.Array) -> Iterator[tuple[in
         yield from zip(np.diff(found.offsets).tolist(), spans, hit)
 
 
-def shards(benchmark: DataFrame, item: str, text: str, shard_words: int = SHARD_WORDS) -> Iterator[list[tuple[object, bytes]]]:
-    """The items in groups of at most about ``shard_words`` words, one group on the driver at a time."""
-    group, size = [], 0
-    for row in benchmark.select(item, F.col(text).cast("binary")).toLocalIterator():
-        if row[1] is None:
-            continue
-        group.append((row[0], bytes(row[1])))
-        size += len(row[1]) // 2
-        if size >= shard_words:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def automata(benchmark: DataFrame, item: str, text: str, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(shard, automaton): pickled automata of the items in groups of at most about ``shard_words`` words.
+
+    A running word sum, within partitions and from one partition to the next, tells the
+    group. Each group is built in a task of its own; no item passes the driver.
+    """
+    rows = benchmark.select(F.col(item).alias("item"), F.col(text).cast("binary").alias("text")).filter("text IS NOT NULL")
+    kind = rows.schema["item"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            # a word and what parts it from the next take two bytes at least
+            sizes = np.asarray(pc.binary_length(batch.column(1)), np.int64) // 2
+            before = at + np.cumsum(sizes) - sizes
+            at += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(batch), part, np.int64)), pa.array(before), pa.array(sizes)], names=["item", "text", "part", "before", "size"]
+            )
+
+    def build(key: tuple, items: pa.Table) -> pa.Table:
+        automaton = ItemAutomaton(zip(items["item"].to_pylist(), items["text"].to_pylist()), window)
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "automaton": pa.array([pickle.dumps(automaton, protocol=5)], pa.binary())})
+
+    placed = stored(small_batches(rows).mapInArrow(run, f"item {kind}, text binary, part bigint, before bigint, size bigint"), "items")
+    # one row per partition, so the unpartitioned window is over a short table
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.sum("size").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    shard = F.floor((F.col("start") + F.col("before")) / shard_words).cast("long").alias("shard")
+    return placed.join(F.broadcast(starts), "part").select(shard, "item", "text").groupBy("shard").applyInArrow(build, "shard bigint, automaton binary")
 
 
 def contaminated_spans(
@@ -243,10 +262,10 @@ def contaminated_spans(
 ) -> DataFrame:
     """Add ``n_words``, ``hit_spans`` (word positions, [from, to)) and ``hit_items`` to ``docs``.
 
-    The benchmark may be of any size: its items are cut into groups of bounded size. Each
-    group's automaton is a broadcast of bounded size, which the documents pass in one
-    stage without a shuffle. If there are more groups, the table is written between them,
-    so no task holds more than one automaton.
+    The benchmark may be of any size: its items are cut into groups of bounded size, whose
+    automata are built side by side and stored. Each automaton is a broadcast of bounded
+    size, which the documents pass in one stage without a shuffle. If there are more
+    groups, the table is written between them, so no task holds more than one automaton.
 
     Null texts and texts without words have no spans; null or empty items hit nothing;
     an empty benchmark hits nothing. Items with the same text or id all count. ``keep``
@@ -255,20 +274,20 @@ def contaminated_spans(
     kept = [c for c in (docs.columns if keep is None else keep) if c not in _MADE]
     rest = list(dict.fromkeys([*kept, text]))
     found = docs.select(*rest)
-    groups = shards(benchmark, item, item_text, shard_words)
-    automaton = next((ItemAutomaton(g, window) for g in groups), None)
-    found = _passed(found, automaton, text, rest)
-    for group in groups:
-        found = _passed(stored(found, "spans"), ItemAutomaton(group, window), text, rest)
+    built = stored(automata(benchmark, item, item_text, window, shard_words), "automata")
+    groups = sorted(r["shard"] for r in built.select("shard").collect())
+    for n, group in enumerate(groups or [None]):
+        automaton = pickle.dumps(None) if group is None else bytes(built.filter(F.col("shard") == group).first()["automaton"])
+        found = _passed(stored(found, "spans") if n else found, automaton, text, rest)
     return found.select(*kept, *_MADE)
 
 
 _MADE = ("n_words", "hit_spans", "hit_items")
 
 
-def _passed(docs: DataFrame, automaton: ItemAutomaton | None, text: str, rest: list[str]) -> DataFrame:
-    """``rest`` of ``docs`` and the three columns, with what they held before if they were there."""
-    held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(automaton, protocol=5))
+def _passed(docs: DataFrame, automaton: bytes, text: str, rest: list[str]) -> DataFrame:
+    """``rest`` of ``docs`` and the three columns by a pickled automaton or None, with what they held before if they were there."""
+    held = docs.sparkSession.sparkContext.broadcast(automaton)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     before = set(_MADE) <= set(docs.columns)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "n_words bigint, hit_spans array<struct<lo:bigint,hi:bigint>>, hit_items array<string>"])

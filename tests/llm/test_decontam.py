@@ -64,3 +64,18 @@ def test_table(spark):
     assert decontam.contaminated_spans(clash, bench).columns == [*docs.columns, "n_words", "hit_spans", "hit_items"]
     assert decontam.decontaminate(clash, bench).columns == clash.columns
     assert decontam.contaminated_spans(docs, bench, keep=["doc_id"]).columns == ["doc_id", "n_words", "hit_spans", "hit_items"]
+
+
+def test_driver_builds_no_automaton(spark, monkeypatch):
+    items = [(i, " ".join(f"v{i}x{j}" for j in range(20))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    docs = spark.createDataFrame([(i, f"a {t} b") for i, t in items], "doc_id long, text string")
+    shards = decontam.automata(bench, "item_id", "text", shard_words=1000).count()
+    assert 1 < shards < 10
+
+    def refuse(*_):
+        raise AssertionError("an automaton on the driver")
+
+    monkeypatch.setattr(decontam.ItemAutomaton, "__init__", refuse)
+    got = decontam.contaminated_spans(docs, bench, shard_words=1000).collect()
+    assert sorted((r["doc_id"], r["hit_items"], [tuple(s) for s in r["hit_spans"]]) for r in got) == [(i, [str(i)], [(1, 21)]) for i, _ in items]
