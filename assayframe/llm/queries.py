@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontam, html, langid, licences, mixing, neardup, tokencount, tokenio, topk, toxicity
+from assayframe.llm import decontam, exactdedup, html, langid, licences, mixing, neardup, tokencount, tokenio, topk, toxicity
 from assayframe.llm.scratch import held_out, remainder
 from assayframe.llm.query_tools import table
 from assayframe.runtime import scratch_path
@@ -197,3 +197,18 @@ SELECT doc_id, max(CASE WHEN place = 0 THEN id END) AS license_id,
   count(*) FILTER (place > 0)::BIGINT AS n_notices
 FROM d LEFT JOIN found USING (doc_id) GROUP BY doc_id
 """
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document that stays of those with the same text, for each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exactdedup.exact_duplicates(docs, every_digest=True).withColumnRenamed("digest", "text_sha256")
+
+
+ORACLES["op13_exact_dedup"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM d
+"""
