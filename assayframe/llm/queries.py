@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayframe.llm import decontam, exactdedup, html, langid, licences, mixing, neardup, tokencount, tokenio, topk, toxicity
+from assayframe.llm import decontam, exactdedup, html, langid, licences, mixing, neardup, tokencount, tokenio, topk, toxicity, trie
 from assayframe.llm.scratch import held_out, remainder
 from assayframe.llm.query_tools import table
 from assayframe.runtime import scratch_path
@@ -212,3 +212,48 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM d
 """
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+# crc32 a bit at a time: reflected, polynomial 0xEDB88320.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+# Nodes as whole lists of turn digests; subtrees by comparing all prefixes of a conversation.
+ORACLES["op11_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT c, {_CRC32.format("c")} % 4 AS h, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, role, k) AS turns FROM t GROUP BY c
+),
+rebuilt AS (
+  SELECT o.c, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 20
+),
+paths AS (
+  SELECT c, d, d = len(turns) AS ends, array_to_string(list_transform(turns[1:d], lambda x: x.k), ',') AS p,
+    array_to_string(list_transform(turns[1:d - 1], lambda x: x.k), ',') AS up, CASE WHEN d > 0 THEN turns[d].w ELSE 0 END AS w
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+  SELECT p, min(up) AS up, min(d) AS depth, min(c) AS conv_id, count(*) AS n, min(w) AS w,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY p
+),
+children AS (SELECT up AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up),
+below AS (SELECT DISTINCT x.p, y.p AS q FROM paths x JOIN paths y ON x.c = y.c AND x.d <= y.d),
+sums AS (
+  SELECT b.p, sum((n - 1) * w) AS saved, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM below b JOIN nodes ON nodes.p = b.q LEFT JOIN children ON children.p = b.q GROUP BY b.p
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, CASE WHEN n.depth > 0 THEN u.conv_id END AS parent_conv_id, n.n AS n_convs,
+  coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums USING (p) LEFT JOIN children USING (p) LEFT JOIN nodes u ON u.p = n.up
+"""
