@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from assayframe.functions import vectors as vec
 from assayframe.operators.blocks import ROWS_PER_BLOCK, block_count, block_of, tanimoto_matrix, vector_matrix
 from assayframe.operators.quantiles import exact_quantiles
-from assayframe.operators.similarity import similarity_pairs
-from assayframe.operators.skew import attach
+from assayframe.operators.neighbours import cell_neighbours, index_neighbours
+from assayframe.operators.similarity import as_fraction, token_digest
+from assayframe.operators.skew import ROWS_PER_TASK, attach
 from assayframe.runtime import cut_lineage, one_row
 
 # Fixed value: share of the test rows that should be inside the domain.
@@ -26,92 +27,77 @@ def knn_distances(
     features: str,
     metric: str = "jaccard",
     k: int = 5,
-    strategy: str = "dense",
+    strategy: str | None = None,
     cutoff=(1, 2),
     rows_per_block: int = ROWS_PER_BLOCK,
+    pivots: int | None = None,
 ) -> DataFrame:
-    """(key, distances, mean_distance) to the k nearest training rows.
-
-    Every query row comes back; one without features has null distances.
-
-    ``features`` holds tokens for ``jaccard`` and vectors for the other metrics. A
-    training row that is also a query counts itself, at distance 0.
-
-    ``dense`` compares blocks of queries with blocks of training rows, which is
-    quadratic. ``index`` (jaccard only) first finds the neighbours from the
-    similarity cutoff on through rare shared tokens. A query with k of them is
-    done, as every other training row is farther away; only the queries that are
-    left go through the dense comparison. Both are exact.
+    """(key, distances, mean_distance) to the k nearest training rows, exactly.
+
+    Every query row comes back; one without features has null distances. ``features``
+    holds tokens for ``jaccard`` and vectors of one length for the other metrics; a
+    vector with a component that is null or not finite counts as none. A training row
+    that is also a query counts itself, at distance 0.
+
+    ``index`` (jaccard only, and the default there) looks queries up by their rarest
+    tokens, see :func:`neighbours.index_neighbours`; ``cutoff`` is the similarity of its
+    first round. It suits wide, sparse fingerprints. ``cells`` (the default of the other
+    metrics) parts the training rows around ``pivots`` and sends a query only where its
+    neighbours can be, see :func:`neighbours.cell_neighbours`; it suits narrow, full
+    fingerprints too. ``dense`` compares all blocks of queries with all blocks of
+    training rows, and only runs when asked for.
     """
     if metric != "jaccard":
         vec.distance(metric)
     if k < 1:
         raise ValueError("k must be positive")
-    if strategy not in ("dense", "index"):
-        raise ValueError(f"unknown strategy {strategy!r}: use 'index' or 'dense'")
+    strategy = strategy or ("index" if metric == "jaccard" else "cells")
+    if strategy not in ("dense", "index", "cells"):
+        raise ValueError(f"unknown strategy {strategy!r}: use 'index', 'cells' or 'dense'")
     if strategy == "index" and metric != "jaccard":
         raise ValueError("the index needs tokens and the jaccard metric")
-    n_train = train.filter(F.col(features).isNotNull()).count()
-    if n_train < k:
-        raise ValueError(f"{n_train} training rows are fewer than k = {k}")
 
-    # Equal feature values are compared once: one row per value, with how many
-    # queries and training rows have it.
-    every = cut_lineage(queries.select(key, F.col(features).alias("tokens")))
-    queries = every.filter("tokens IS NOT NULL")
-    unknown = every.filter("tokens IS NULL").select(
-        key, F.lit(None).cast("array<double>").alias("distances"), F.lit(None).cast("double").alias("mean_distance")
-    )
-    known = train.select(F.col(features).alias("tokens")).filter("tokens IS NOT NULL")
-    both = queries.select("tokens", F.lit(1).alias("asked"), F.lit(0).alias("known")).unionByName(
-        known.select("tokens", F.lit(0).alias("asked"), F.lit(1).alias("known"))
+    def usable(df: DataFrame, *columns: str) -> DataFrame:
+        tokens = F.col(features)
+        if metric == "jaccard":
+            return df.select(*columns, tokens.alias("tokens"))
+        whole = F.forall(tokens, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        return df.select(*columns, F.when(whole, tokens.cast("array<double>")).alias("tokens"))
+
+    # Equal feature values are compared once: one row per value, named by a digest, with
+    # how many queries and training rows have it.
+    digest = F.when(F.col("tokens").isNotNull(), token_digest("tokens")).alias("rep")
+    asked = usable(queries, key).select(key, "tokens", digest)
+    known = usable(train).select("tokens", digest).filter("rep IS NOT NULL")
+    both = asked.filter("rep IS NOT NULL").select("rep", "tokens", F.lit(1).alias("asked"), F.lit(0).alias("known")).unionByName(
+        known.select("rep", "tokens", F.lit(0).alias("asked"), F.lit(1).alias("known"))
     )
     values = cut_lineage(
-        both.groupBy("tokens")
-        .agg(F.sum("asked").alias("asked"), F.sum("known").alias("known"))
-        .withColumn("rep", F.md5(F.concat_ws(",", F.col("tokens").cast("array<string>"))))
+        both.groupBy("rep").agg(F.any_value("tokens").alias("tokens"), F.sum("asked").alias("asked"), F.sum("known").alias("known"))
     )
+    n_train, most, *sizes = values.agg(
+        F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.max("asked"), F.lit(0)), F.count_if(F.col("known") > 0), F.count_if(F.col("asked") > 0)
+    ).first()
+    if n_train < k:
+        raise ValueError(f"{n_train} training rows are fewer than k = {k}")
     if strategy == "dense":
         near = _dense_neighbours(values, values, metric, k, rows_per_block)
+    elif strategy == "cells":
+        asking = values.filter("asked > 0").select("rep", "tokens", F.lit(None).cast("double").alias("reach"))
+        near = cell_neighbours(asking, values.filter("known > 0"), metric, k, rows_per_block, pivots, tuple(sizes))
     else:
-        near = _index_neighbours(values, k, cutoff, rows_per_block)
+        near = index_neighbours(values, k, as_fraction(cutoff), rows_per_block)
     mean = F.aggregate("distances", F.lit(0.0), lambda s, x: s + x) / k
-    found = values.filter("asked > 0").select("rep", "tokens", "asked").join(
-        near.withColumn("mean_distance", mean), "rep"
+    found = values.filter("asked > 0").select("rep", "asked").join(near.withColumn("mean_distance", mean), "rep")
+    names = asked.select(key, "rep")
+    measured = attach(names.filter("rep IS NOT NULL"), found, ["rep"], "asked", [key], salted=most > ROWS_PER_TASK)
+    measured = measured.select(key, "distances", "mean_distance")
+    unknown = names.filter("rep IS NULL").select(
+        key, F.lit(None).cast("array<double>").alias("distances"), F.lit(None).cast("double").alias("mean_distance")
     )
-    measured = attach(queries, found, ["tokens"], "asked", [key]).select(key, "distances", "mean_distance")
     return measured.unionByName(unknown)
 
 
-def _index_neighbours(values: DataFrame, k: int, cutoff, rows_per_block: int) -> DataFrame:
-    pairs = similarity_pairs(
-        values.select("rep", "tokens", F.col("known").alias("copies")), cutoff=cutoff, strategy="index"
-    )
-    distance = (1 - F.col("common") / F.col("total")).alias("distance")
-    pairs = pairs.select("a", "b", "n_a", "n_b", distance)
-    reached = (
-        pairs.select(F.col("a").alias("rep"), F.col("n_b").alias("n"), "distance")
-        .unionByName(pairs.select(F.col("b").alias("rep"), F.col("n_a").alias("n"), "distance"))
-        .unionByName(values.select("rep", F.col("known").alias("n"), F.lit(0.0).alias("distance")))
-        .filter("n > 0")
-    )
-    # Equal distances are counted together first, so a query with very many
-    # neighbours has few rows left when they are put in order.
-    counted = reached.groupBy("rep", "distance").agg(F.sum("n").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("rep").orderBy("distance")) - F.col("n")
-    taken = counted.withColumn("before", before).filter(F.col("before") < k)
-    taken = taken.withColumn("n", F.least(F.col("n"), k - F.col("before")).cast("int"))
-    lists = taken.groupBy("rep").agg(
-        F.sum("n").alias("found"),
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("distance"), F.col("n"))))).alias("distances"),
-    )
-    done = cut_lineage(lists.filter(F.col("found") == k).select("rep", "distances"))
-    rest = cut_lineage(values.filter("asked > 0").join(done.select("rep"), "rep", "left_anti"))
-    if rest.isEmpty():
-        return done
-    return done.unionByName(_dense_neighbours(rest, values, "jaccard", k, rows_per_block))
-
-
 def _dense_neighbours(asked: DataFrame, values: DataFrame, metric: str, k: int, rows_per_block: int) -> DataFrame:
     """(rep, distances): each task compares one block of queries with one of training rows."""
     asked = asked.filter("asked > 0")

@@ -90,6 +90,22 @@ def _slot(ranks: Column, token: Column) -> Column:
     return F.get(ranks, F.pmod(token, F.lit(SLOTS)).cast("int"))
 
 
+def rarest_first(sets: DataFrame, counted: DataFrame) -> DataFrame:
+    """(rep, size, ranked): the tokens of each set, those rare among ``counted`` first.
+
+    Any order is exact where prefixes are compared; this one gives the shortest lists.
+    """
+    frequency = _slot_ranks(counted.select(F.explode("tokens").alias("t")))
+    return sets.select("rep", F.size("tokens").alias("size"), "tokens", frequency.alias("__f")).select(
+        "rep",
+        "size",
+        F.transform(
+            F.sort_array(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t")))),
+            lambda e: e["t"],
+        ).alias("ranked"),
+    )
+
+
 def _qualifying_pairs(cutoff: Fraction):
     """Tile work: the pairs of a tile at or above the cutoff, compared in integers."""
     p, q = cutoff.numerator, cutoff.denominator
@@ -135,16 +151,7 @@ def _dense_pairs(reps: DataFrame, cutoff: Fraction, n_rows: int, rows_per_block:
 def _index_pairs(reps: DataFrame, cutoff: Fraction, posting_rows: int) -> DataFrame:
     p, q = cutoff.numerator, cutoff.denominator
     reps = reps.filter(F.size("tokens") > 0)
-    frequency = _slot_ranks(reps.select(F.explode("tokens").alias("t")))
-    # Rarest tokens first. Any order is exact; this one gives the shortest lists.
-    ranked = reps.select("rep", F.size("tokens").alias("n"), "tokens", frequency.alias("__f")).select(
-        "rep",
-        "n",
-        F.transform(
-            F.sort_array(F.transform("tokens", lambda t: F.struct(_slot(F.col("__f"), t).alias("f"), t.alias("t")))),
-            lambda e: e["t"],
-        ).alias("ranked"),
-    )
+    ranked = rarest_first(reps, reps).withColumnRenamed("size", "n")
     # Two sets that are similar enough share a token among their first
     # n - ceil(cutoff * n) + 1 tokens; ceil in whole numbers.
     length = F.col("n") - F.floor((F.col("n") * p + (q - 1)) / q).cast("int") + 1

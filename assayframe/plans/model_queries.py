@@ -46,7 +46,7 @@ def _knn(spark, sf_dir):
     """Every vector against the training vectors, with its role."""
     df = inp.vectors(spark, sf_dir).select("vec_id", "bits", "role")
     near = domain.knn_distances(
-        df, df.filter("role = 'train'"), key="vec_id", features="bits", k=K, rows_per_block=256
+        df, df.filter("role = 'train'"), key="vec_id", features="bits", k=K, strategy="cells", rows_per_block=256
     )
     return near.join(df.select("vec_id", "role"), "vec_id")
 
@@ -101,10 +101,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY distance) AS rn
 SELECT doc_id, round(avg(distance), 6) AS mean_distance, round(max(distance), 6) AS farthest FROM r WHERE rn <= 2 GROUP BY 1""",
 )
 def knn_distances_index(spark, sf_dir):
-    """Documents against the training documents: near copies by index, the others by blocks."""
+    """Documents against the training documents, by their rarest tokens."""
     df = cut_lineage(inp.fingerprints(spark, sf_dir))
     train = df.filter(inp.share_hash(F.col("doc_id")) >= 0.2)
-    near = domain.knn_distances(df, train, key="doc_id", features="tokens", k=2, strategy="index", cutoff=(1, 2))
+    near = domain.knn_distances(df, train, key="doc_id", features="tokens", k=2, cutoff=(1, 2))
     return near.select(
         "doc_id", F.round("mean_distance", 6).alias("mean_distance"), F.round(F.col("distances")[1], 6).alias("farthest")
     )
@@ -390,7 +390,7 @@ def score_path(spark, sf_dir):
     scored = _path_scored(_path_rows(spark, sf_dir), _path_model(spark, sf_dir))
     prints = cut_lineage(features.hashed_fingerprint(scored, key="id", text="fragment", kind="char", n_bits=inp.FP_BITS))
     train = prints.filter("id % 5 <> 0 AND tokens IS NOT NULL")
-    near = cut_lineage(domain.knn_distances(prints, train, key="id", features="tokens", k=3, strategy="index"))
+    near = cut_lineage(domain.knn_distances(prints, train, key="id", features="tokens", k=3))
     limits = domain.domain_threshold(near.filter("id % 5 <> 0 AND mean_distance IS NOT NULL"), near.filter("id % 5 = 0"), k=3)
     judged = domain.within_domain(near, limits).select("id", "within")
     out = scratch_path(spark, "scored-path")

@@ -152,15 +152,15 @@ def test_average_of_one_row_is_null(spark):
         similarity.average_dissimilarity(df, key="id", vector="v", metric="nope")
 
 
-@pytest.mark.parametrize("k,strategy", [(1, "dense"), (3, "dense"), (3, "index")])
-def test_knn_with_copies(spark, k, strategy):
-    sets = random_sets(60, 21)
+@pytest.mark.parametrize("k,strategy,rows", [(1, "dense", 11), (3, "dense", 11), (3, "index", 11), (7, "index", 2000), (2, "index", 3), (4, "cells", 6), (30, "cells", 6)])
+def test_knn_with_copies(spark, k, strategy, rows):
+    sets = [*random_sets(60, 21), [], [99999], [], [0, 77777]]
     df = frame(spark, sets)
-    train = df.filter("id < 40")
-    got = domain.knn_distances(df, train, key="id", features="tokens", k=k, strategy=strategy, rows_per_block=11).collect()
-    assert len(got) == 60
+    train = df.filter("id < 40 OR id = 60")
+    got = domain.knn_distances(df, train, key="id", features="tokens", k=k, strategy=strategy, rows_per_block=rows).collect()
+    assert len(got) == 64
     for r in got:
-        want = sorted(float(1 - tanimoto(sets[r["id"]], s)) for s in sets[:40])[:k]
+        want = sorted(float(1 - tanimoto(sets[r["id"]], s)) for s in [*sets[:40], sets[60]])[:k]
         assert np.allclose(r["distances"], want) and math.isclose(r["mean_distance"], sum(want) / k, abs_tol=1e-12)
     with pytest.raises(ValueError):
         domain.knn_distances(df, train.limit(2), key="id", features="tokens", k=5)
