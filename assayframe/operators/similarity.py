@@ -26,6 +26,7 @@ from assayframe.operators.blocks import (
     to_tiles,
     vector_matrix,
 )
+from assayframe.operators.packed import packed_pairs
 from assayframe.operators.quantiles import BINS
 from assayframe.operators.skew import attach
 from assayframe.runtime import cut_lineage, one_row, small
@@ -211,6 +212,7 @@ def similarity_pairs(
     strategy: str = "index",
     rows_per_block: int = ROWS_PER_BLOCK,
     posting_rows: int = POSTING_ROWS,
+    n_bits: int | None = None,
 ) -> DataFrame:
     """Pairs of distinct fingerprints with Tanimoto similarity at or above the cutoff.
 
@@ -220,8 +222,10 @@ def similarity_pairs(
     has no name to be paired by and is in no pair.
 
     ``index`` joins on the rarest tokens and suits sparse fingerprints; its cost
-    follows the lengths of the token lists. ``dense`` compares blocks of rows and
-    suits narrow, full fingerprints of moderate number; its cost is quadratic.
+    follows the lengths of the token lists. ``packed`` suits narrow, full fingerprints
+    of ``n_bits`` bits: it compares those whose numbers of bits are near enough, as words,
+    in the JVM. ``dense`` compares blocks of rows of any tokens in Python. The cost of the
+    last two is quadratic within what can be similar by size, or at all.
     """
     limit = as_fraction(cutoff)
     reps = reps.filter("rep IS NOT NULL")
@@ -229,7 +233,11 @@ def similarity_pairs(
         return _index_pairs(reps, limit, posting_rows)
     if strategy == "dense":
         return _dense_pairs(reps, limit, reps.count(), rows_per_block)
-    raise ValueError(f"unknown strategy {strategy!r}: use 'index' or 'dense'")
+    if strategy == "packed":
+        if n_bits is None:
+            raise ValueError("packed pairs need n_bits")
+        return packed_pairs(reps, limit, n_bits)
+    raise ValueError(f"unknown strategy {strategy!r}: use 'index', 'packed' or 'dense'")
 
 
 def unordered_pairs(df: DataFrame, *, key: str, n_blocks: int) -> DataFrame:

@@ -121,7 +121,7 @@ SELECT a, b, 1::BIGINT AS n_a, 1::BIGINT AS n_b, common, s - common AS total FRO
 )
 def similarity_pairs_dense(spark, sf_dir):
     reps = similarity.collapse_copies(inp.vectors(spark, sf_dir), key="vec_id", tokens="bits")
-    return similarity.similarity_pairs(reps, cutoff=(2, 5), strategy="dense", rows_per_block=256)
+    return similarity.similarity_pairs(reps, cutoff=(2, 5), strategy="packed", n_bits=inp.EMBEDDING_SIZE)
 
 
 DOT = "list_sum(list_transform(range(1, 65), lambda i: p.vector[i] * q.vector[i]))"
@@ -258,5 +258,5 @@ t AS MATERIALIZED (SELECT p.vec_id AS id, q.vec_id AS other, {SHARED} AS common,
 @query("cutoff_sweep", _sweep_sql())
 def cutoff_sweep(spark, sf_dir):
     return cluster.cutoff_sweep(
-        inp.vectors(spark, sf_dir), key="vec_id", tokens="bits", cutoffs=CUTOFFS, strategy="dense", rows_per_block=256
+        inp.vectors(spark, sf_dir), key="vec_id", tokens="bits", cutoffs=CUTOFFS, strategy="packed", n_bits=inp.EMBEDDING_SIZE
     )

@@ -43,10 +43,11 @@ def tanimoto(a, b):
     return Fraction(len(a & b), len(a | b)) if a | b else Fraction(1)
 
 
-@pytest.mark.parametrize("strategy,options", [("index", {}), ("index", {"posting_rows": 4}), ("dense", {"rows_per_block": 20})])
+@pytest.mark.parametrize("strategy,options", [("index", {}), ("index", {"posting_rows": 4}), ("dense", {"rows_per_block": 20}), ("packed", {"n_bits": 130})])
 @pytest.mark.parametrize("cutoff", [(1, 3), (3, 5)])
-def test_similarity_pairs(spark, strategy, options, cutoff):
-    sets = random_sets(90, 11)
+def test_similarity_pairs(spark, strategy, options, cutoff, monkeypatch):
+    monkeypatch.setattr("assayframe.operators.packed.LEAST_ROWS", 7)
+    sets = [*random_sets(90, 11, vocabulary=130 if strategy == "packed" else 60), [], list(range(50)), list(range(60)), [0, 63, 64, 127, 128, 129]]
     reps = similarity.collapse_copies(frame(spark, sets), key="id", tokens="tokens")
     got = {
         (r["a"], r["b"]): (r["n_a"], r["n_b"], Fraction(r["common"], r["total"]))
@@ -64,6 +65,39 @@ def test_similarity_pairs(spark, strategy, options, cutoff):
     assert got == want
 
 
+def test_packed_blocks_are_bounded_and_near():
+    from assayframe.operators.packed import block_table
+
+    sizes = [(n, 7 + n % 5) for n in range(1, 40)] + [(50, 95), (64, 1)]
+    for cutoff in (Fraction(1, 3), Fraction(4, 5), Fraction(1)):
+        table = block_table(sizes, cutoff, 20)
+        rows = dict(sizes)
+        held = {}
+        for size, first, parts, low, high in table:
+            for b in range(first, first + parts):
+                held.setdefault(b, set()).add(size)
+                if parts == 1:
+                    assert sum(rows[s] for s in held[b]) <= 20
+            assert parts * 20 >= rows[size]
+        met = {(b, o) for size, first, parts, low, high in table for b in range(first, first + parts) for o in range(low, high + 1)}
+        assert {(o, b) for b, o in met} == met
+        for b, o in itertools.product(held, held):
+            near = any(min(x, y) >= cutoff * max(x, y) for x in held[b] for y in held[o])
+            assert not near or (b, o) in met
+        if cutoff == 1:
+            assert len(met) < len(held) ** 2 / 4
+
+
+def test_packed_runs_in_the_jvm(spark):
+    reps = similarity.collapse_copies(frame(spark, [[1, 2, 3], [2, 3, 4], [1, 2, 3, 4]]), key="id", tokens="tokens")
+    plan = similarity.similarity_pairs(reps, cutoff=(1, 2), strategy="packed", n_bits=64)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    with pytest.raises(ValueError):
+        similarity.similarity_pairs(reps, cutoff=(1, 2), strategy="packed")
+    with pytest.raises(Exception, match="no bit"):
+        similarity.similarity_pairs(reps, cutoff=(1, 2), strategy="packed", n_bits=3).collect()
+
+
 def sequential_clusters(sets, cutoff):
     near = {
         i: {j for j in range(len(sets)) if j != i and tanimoto(sets[i], sets[j]) >= cutoff} for i in range(len(sets))
