@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.runtime import cut_lineage
+from assayframe.runtime import cut_lineage, written
 
 # At most this many keys are on the broadcast list of heavy keys, so its size is
 # fixed. A key that is not on the list holds less than 1/HEAVY_KEYS of all rows;
@@ -38,17 +38,20 @@ def attach(
     Heavy keys (the ``HEAVY_KEYS`` largest above ``ROWS_PER_TASK``) are salted:
     their rows go to several tasks by a hash of ``spread_by`` and only their
     rows of ``stats`` are repeated. Everything else joins on its plain key.
-    ``salted=False`` is for a caller that has seen that no key is that heavy.
+    Where no key is that heavy, it is a plain join. ``salted=False`` is for a caller
+    that has seen so: ``stats`` is then not written first.
     """
     keys = list(keys)
+    if salted:
+        # worked out once; the largest count is noted while the rows are written
+        stats, most = written(stats, "key-counts", F.max(size_col))
+        salted = most is not None and most > ROWS_PER_TASK
     if not salted:
         right = stats.select(
             *[F.col(k).alias(f"__r_{k}") for k in keys], *[F.col(c) for c in stats.columns if c not in keys]
         )
         joined = df.join(right, _same(df, right, [(k, f"__r_{k}") for k in keys]), how)
         return joined.drop(*[f"__r_{k}" for k in keys])
-    # read for the heavy keys and for both sides of the join, but worked out once
-    stats = cut_lineage(stats)
     heavy = (
         stats.filter(F.col(size_col) > ROWS_PER_TASK)
         .orderBy(F.col(size_col).desc(), *keys)

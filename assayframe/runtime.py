@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -93,6 +93,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str, figure: Column) -> tuple[DataFrame, object]:
+    """``df`` as a Parquet table in the shared folder, and an aggregate noted while it was written."""
+    noted, path = Observation(), scratch_path(df.sparkSession, name)
+    df.observe(noted, figure.alias("figure")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), noted.get["figure"]
+
+
 # A table of at most this many short rows is broadcast.
 SMALL_ROWS = 10_000
 

@@ -111,3 +111,22 @@ def test_joins_do_not_pair_everything(spark):
     ):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def test_plain_join_where_no_key_is_heavy(spark):
+    df = table(spark, [(i, f"k{i % 50}", 0, 1.0) for i in range(400)])
+    stats = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    plan = skew.attach(df, stats, ["key"], "n", ["id"])._jdf.queryExecution().toString()
+    assert "__salt" not in plan and "Generate" not in plan
+
+
+def test_more_heavy_keys_than_the_list_holds(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 20)
+    monkeypatch.setattr(skew, "HEAVY_KEYS", 3)
+    df = table(spark, [(i, f"k{i % 10}", 0, 1.0) for i in range(1000)])
+    stats = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    got = skew.attach(df, stats, ["key"], "n", ["id"])
+    assert got.count() == 1000
+    # keys beyond the list hold less than a third of the rows each, here a tenth
+    tasks = got.withColumn("task", F.spark_partition_id()).groupBy("key", "task").count().groupBy("key").agg(F.max("count").alias("most")).collect()
+    assert max(r["most"] for r in tasks) <= 100
