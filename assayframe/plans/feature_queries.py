@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from assayframe.functions.structure import GROUP_PATTERNS, largest_fragment
 from assayframe.operators import features as feat
-from assayframe.operators import impute, profile, ranking
+from assayframe.operators import impute, profile, projection, ranking
 from assayframe.operators.rows import nan_to_null
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
 from assayframe.plans.table_queries import elements_sql, largest_sql
+from assayframe.runtime import cut_lineage
 
 NUMBERS = ["quantity", "price", "discount", "tax"]
 
@@ -451,6 +452,22 @@ def project_2d(spark, sf_dir):
     return profile.project_2d(sets, key="vec_id", columns=columns)
 
 
+@query(
+    "project_by_landmarks",
+    f"""SELECT doc_id, CASE WHEN {inp.share_sql('doc_id')} < 0.2 THEN 'test' ELSE 'train' END AS origin, text IS NOT NULL AS placed,
+  text IS NOT NULL AS in_reach FROM documents""",
+)
+def project_by_landmarks(spark, sf_dir):
+    """Documents of two sets on a plane, by the Jaccard distances of their fingerprints to landmarks."""
+    df = cut_lineage(inp.fingerprints(spark, sf_dir).withColumn("share", inp.share_hash(F.col("doc_id"))))
+    sets = {"train": df.filter("share >= 0.2"), "test": df.filter("share < 0.2")}
+    placed = projection.project_by_landmarks(sets, key="doc_id", features="tokens")
+    known = F.col("x1").isNotNull() & F.col("x2").isNotNull()
+    # distances are at most 1, so no landmark is farther from their middle, and no row is thrown far out
+    reach = F.sqrt(F.col("x1") * F.col("x1") + F.col("x2") * F.col("x2"))
+    return placed.select("doc_id", "origin", known.alias("placed"), (known & (F.coalesce(reach, F.lit(0.0)) <= 2)).alias("in_reach"))
+
+
 # --- rankings --------------------------------------------------------------------------------
 
 
