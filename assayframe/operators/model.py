@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -90,6 +91,61 @@ def _stages(model: str, features: Sequence[str], label: str, standardize: bool,
     return stages
 
 
+@contextmanager
+def judged_folds(
+    folds: DataFrame,
+    *,
+    features: Sequence[str],
+    label: str,
+    fold: str,
+    model: str,
+    metric: str,
+    direction: str,
+    standardize: bool,
+    role: str | None,
+    by: Sequence[str],
+    missing: str,
+    parallelism: int,
+    fixed: Mapping[str, object] | None,
+) -> Iterator[tuple[list[tuple], Callable]]:
+    """The keys of the folds, and a function that fits and scores (params, fold number) pairs side by side.
+
+    Arguments as those of :func:`tune_cv`. The folds are held while the context is open.
+    """
+    if direction not in ("maximize", "minimize"):
+        raise ValueError("direction is 'maximize' or 'minimize'")
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
+    stages = _stages(model, features, label, standardize, dict(fixed or {}))
+    classifier = stages[-1]
+    kept = [*by, fold, *([role] if role else [])]
+    data = complete_rows(folds, features, missing).select(*features, F.col(label).cast("double").alias(label), *kept)
+    if role:
+        data = data.filter(F.col(role).isin("train", "val"))
+    # read once per trial and fold
+    data = data.persist()
+    try:
+        # one row per fold
+        keys = [tuple(r) for r in data.select(*by, fold).distinct().orderBy(*by, fold).collect()]
+
+        def run(task: tuple[Mapping[str, object], int]) -> float | None:
+            here = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in zip([*by, fold], keys[task[1]])])
+            if role:
+                train, val = data.filter(here & (F.col(role) == "train")), data.filter(here & (F.col(role) == "val"))
+            else:
+                train, val = data.filter(~here), data.filter(here)
+            params = {classifier.getParam(n): v for n, v in task[0].items()}
+            return score_of(Pipeline(stages=stages).fit(train.select(*features, label), params).transform(val), metric, label)
+
+        def judge(tasks: Sequence[tuple[Mapping[str, object], int]]) -> list[float | None]:
+            with ThreadPool(max(1, parallelism)) as pool:
+                return pool.map(run, tasks)
+
+        yield keys, judge
+    finally:
+        data.unpersist()
+
+
 def tune_cv(
     folds: DataFrame,
     *,
@@ -121,38 +177,12 @@ def tune_cv(
     is undefined in a fold is None there, the mean is None, and such trials come last.
     Nothing is fitted but the trials. ``missing`` as in :func:`complete_rows`.
     """
-    if direction not in ("maximize", "minimize"):
-        raise ValueError("direction is 'maximize' or 'minimize'")
-    if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
-    stages = _stages(model, features, label, standardize, dict(fixed or {}))
-    classifier = stages[-1]
     trials = draw_params(space or {}, n_trials, seed)
-    grid = [{classifier.getParam(n): v for n, v in t.items()} for t in trials]
-    kept = [*by, fold, *([role] if role else [])]
-    data = complete_rows(folds, features, missing).select(*features, F.col(label).cast("double").alias(label), *kept)
-    if role:
-        data = data.filter(F.col(role).isin("train", "val"))
-    # read once per trial and fold
-    data = data.persist()
-    try:
-        # one row per fold
-        keys = [tuple(r) for r in data.select(*by, fold).distinct().orderBy(*by, fold).collect()]
-
-        def run(task: tuple[int, int]) -> float | None:
-            here = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(v) for c, v in zip([*by, fold], keys[task[1]])])
-            if role:
-                train, val = data.filter(here & (F.col(role) == "train")), data.filter(here & (F.col(role) == "val"))
-            else:
-                train, val = data.filter(~here), data.filter(here)
-            fitted = Pipeline(stages=stages).fit(train.select(*features, label), grid[task[0]])
-            return score_of(fitted.transform(val), metric, label)
-
-        tasks = [(t, f) for t in range(len(trials)) for f in range(len(keys))]
-        with ThreadPool(max(1, parallelism)) as pool:
-            values = pool.map(run, tasks)
-    finally:
-        data.unpersist()
+    with judged_folds(
+        folds, features=features, label=label, fold=fold, model=model, metric=metric, direction=direction, standardize=standardize,
+        role=role, by=by, missing=missing, parallelism=parallelism, fixed=fixed,
+    ) as (keys, judge):
+        values = judge([(t, f) for t in trials for f in range(len(keys))])
     scored = []
     for i, trial in enumerate(trials):
         scores = values[i * len(keys):(i + 1) * len(keys)]

@@ -43,7 +43,7 @@ def attach(
     """
     keys = list(keys)
     if salted:
-        # worked out once; the largest count is noted while the rows are written
+        # written once; the largest count tells whether any key needs salting
         stats, most = written(stats, "key-counts", F.max(size_col))
         salted = most is not None and most > ROWS_PER_TASK
     if not salted:

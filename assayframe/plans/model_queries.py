@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.structure import halogen_count, heavy_atom_count, largest_fragment
-from assayframe.operators import domain, evaluate, features, impute, model, profile, rows, split
+from assayframe.operators import domain, evaluate, features, impute, model, profile, rows, search, split
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
 from assayframe.plans.table_queries import elements_sql
@@ -281,6 +282,39 @@ def tune_cv_shape(spark, sf_dir):
     return spark.createDataFrame(table, "place int, fold int, in_order boolean, is_share boolean")
 
 
+ADAPTIVE_ROUNDS, ADAPTIVE_TRIALS = 2, 4
+
+
+# Rungs and fits can be told without the models: 4 trials, the better 2, the better 1.
+@query(
+    "tune_adaptive",
+    f"""SELECT r.round::INTEGER AS round, g.rung::INTEGER AS rung, g.n_fits, g.n_fits AS n_trials, true AS best_went_on, true AS is_share, true AS placed_by_score
+FROM range(1, {ADAPTIVE_ROUNDS + 1}) AS r(round), (VALUES (0, 4::BIGINT), (1, 2::BIGINT), (2, 1::BIGINT)) AS g(rung, n_fits)""",
+)
+def tune_adaptive(spark, sf_dir):
+    """Each round of the search: how many trials reached each fold, whether they were the better ones, and how they were placed."""
+    table = search.tune_adaptive(
+        _model_folds(spark, sf_dir), role="role", by=["repeat"], path=scratch_path(spark, "trials"), rounds=ADAPTIVE_ROUNDS,
+        **{**SEARCH, "n_trials": ADAPTIVE_TRIALS},
+    )
+    so_far = Window.partitionBy("round", "trial").orderBy("rung")
+    # mean up to a rung, and the worst of those that went on against the best of those that did not
+    judged = table.withColumns({"mean": F.avg("score").over(so_far), "went_on": F.lead("rung").over(so_far).isNotNull()})
+    places = search.best_trials(table)
+    ranked = places.withColumn("before", F.lag("score").over(Window.partitionBy("n_folds").orderBy("place")))
+    in_order = ranked.agg(F.min(F.coalesce(F.col("before") >= F.col("score"), F.lit(True))).alias("in_order"))
+    return (
+        judged.groupBy("round", "rung")
+        .agg(
+            F.count(F.lit(1)).alias("n_fits"),
+            F.countDistinct("trial").alias("n_trials"),
+            F.coalesce(F.min(F.when(F.col("went_on"), F.col("mean"))) >= F.max(F.when(~F.col("went_on"), F.col("mean"))), F.lit(True)).alias("best_went_on"),
+            F.min(F.col("score").between(0, 1)).alias("is_share"),
+        )
+        .crossJoin(F.broadcast(in_order.select(F.col("in_order").alias("placed_by_score"))))
+    )
+
+
 def _fitted(spark, sf_dir):
     """The best trial, fitted on the train and val rows of the first fold."""
     folds = cut_lineage(_model_folds(spark, sf_dir))

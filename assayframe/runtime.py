@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -94,10 +94,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str, figure: Column) -> tuple[DataFrame, object]:
-    """``df`` as a Parquet table in the shared folder, and an aggregate noted while it was written."""
-    noted, path = Observation(), scratch_path(df.sparkSession, name)
-    df.observe(noted, figure.alias("figure")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), noted.get["figure"]
+    """``df`` as a Parquet table in the shared folder, and an aggregate of it.
+
+    The aggregate is a scan of one column. It is not observed while the table is written:
+    once a session has observed something, fitted models of it cannot be sent to tasks.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table, table.agg(figure.alias("figure")).first()["figure"]
 
 
 # A table of at most this many short rows is broadcast.
