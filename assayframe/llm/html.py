@@ -58,7 +58,7 @@ IMPLIED = {
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"  # comment
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+|[^<>]*+)>",
+    r"|<(/?)([A-Za-z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+|[^<>]*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([A-Za-z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -99,9 +99,15 @@ def _verdict(tag: str, attributes: str, inside: bool) -> int:
 
 
 def parse(html: str) -> Page:
-    """A tolerant reading: missing and stray tags never fail."""
+    """A tolerant reading: missing and stray tags never fail.
+
+    Where the open elements of a name are is noted, so no tag looks through all that are
+    open, and the time taken is in proportion to the length of the page.
+    """
     page = Page()
     stack: list[int] = []
+    places: dict[str, list[int]] = {}  # by name: the places of open elements in the stack
+    blocks: list[int] = []  # those of blocks
 
     def open_(tag, verdict):
         page.tag.append(tag)
@@ -109,30 +115,40 @@ def parse(html: str) -> Page:
         page.drop.append(verdict)
         page.first.append(len(page.pieces))
         page.last.append(-1)
+        places.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            blocks.append(len(stack))
         stack.append(len(page.tag) - 1)
 
     def close(depth):
         while len(stack) > depth:
             node = stack.pop()
+            places[page.tag[node]].pop()
             if page.tag[node] in BLOCKS:
+                blocks.pop()
                 page.pieces.append((node, None))
             page.last[node] = len(page.pieces)
 
+    def top(names):
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def innermost(names, until):
-        for depth in range(len(stack) - 1, 0, -1):
-            name = page.tag[stack[depth]]
-            if name in names:
-                return depth
-            if name in until:
-                return 0
-        return 0
+        """The place of the last open element of these names, or 0 if one of ``until`` is open within it."""
+        depth = top(names)
+        return depth if depth >= (blocks[-1] if until is BLOCKS and blocks else top(until)) else 0
 
     open_("#page", 0)
-    at = inside = 0
+    at = 0
+    # no tag ends after this place, so none is looked for
+    end = html.rfind(">") + 1
     while at < len(html):
-        m = _TOKEN.search(html, at)
+        m = _TOKEN.search(html, at, end) if at < end else None
         if m is None:
-            page.pieces.append((stack[-1], html[at:]))
+            # only a comment without an end may follow
+            page.pieces.append((stack[-1], re.split(r"<!--|<!\[CDATA\[", html[at:], maxsplit=1)[0]))
+            break
+        if m.end() == end < len(html) and m[0].startswith(("<!--", "<![CDATA[")) and not m[0].endswith(("-->", "--!>", "<!-->", "]]>")):
+            page.pieces.append((stack[-1], html[at:m.start()]))
             break
         if m.start() > at:
             page.pieces.append((stack[-1], html[at:m.start()]))
@@ -161,11 +177,10 @@ def parse(html: str) -> Page:
             page.pieces.append((stack[-1], " "))
         if tag in VOID:
             continue
-        within = any(page.tag[n] in ("article", "main") for n in stack)
-        open_(tag, _verdict(tag, m[3], within))
+        open_(tag, _verdict(tag, m[3], bool(places.get("article") or places.get("main"))))
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
-            at = len(html) if end is None else end.start()
+            stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
+            at = len(html) if stop is None else stop.start()
         elif m[3].rstrip().endswith("/") and tag in ("path", "use", "circle", "rect"):
             close(len(stack) - 1)
     close(0)
@@ -211,19 +226,23 @@ def best_container(page: Page, size: list[int], links: list[int], commas: list[i
     """The element with the most points, or -1, and the points of all that have some."""
     points: dict[int, float] = {}
     holds_block = [False] * len(page.tag)
+    # the nearest element around each that can get points
+    around = [0] * len(page.tag)
+    for i in range(1, len(page.tag)):
+        p = page.parent[i]
+        around[i] = p if page.tag[p] in BLOCKS or page.tag[p] == "td" else around[p]
     for i in range(len(page.tag) - 1, 0, -1):
         if page.tag[i] in BLOCKS or holds_block[i]:
             holds_block[page.parent[i]] = True
     for i, tag in enumerate(page.tag):
         if gone[i] or size[i] < LEAST_PARAGRAPH or not (tag in ("p", "pre", "td", "li", "dd") or tag in BLOCKS and not holds_block[i]):
             continue
-        given, up, share = 1 + commas[i] + min(size[i] // 100, 3), page.parent[i], 1.0
+        given, up, share = 1 + commas[i] + min(size[i] // 100, 3), around[i], 1.0
         given *= 1 - links[i] / size[i]
         while up > 0 and share > 0.05:
-            if page.tag[up] in BLOCKS or page.tag[up] == "td":
-                points[up] = points.get(up, 0) + given * share
-                share /= 2
-            up = page.parent[up]
+            points[up] = points.get(up, 0) + given * share
+            share /= 2
+            up = around[up]
     best, most = -1, 0.0
     for i in sorted(points):
         points[i] *= 1 - links[i] / max(size[i], 1)

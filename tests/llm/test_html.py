@@ -1,5 +1,7 @@
 """Main text of small pages, each with something that must go or stay."""
 
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,11 +51,74 @@ def test_never_fails(parts):
     html.extract("".join(parts))
 
 
-def test_long_pages_take_linear_time():
-    assert html.extract("<a href=\"" * 50_000) == "" or True
+MB = 1 << 20
+LONG_PAGES = {
+    "nested div": "<div>" * (MB // 5),
+    "unclosed i": "<i>" * (MB // 3),
+    "paragraphs within unclosed b": "<b>" * (MB // 6) + f"<p>{LONG}</p>" * (MB // 2 // (len(LONG) + 7)),
+    "nested lists": "<ul><li>" * (MB // 8),
+    "nested tables": "<table><tr><td>" * (MB // 15),
+    "stray end tags": "<div>" * 1000 + "</i>" * (MB // 4),
+    "no tag ends": "<a" * (MB // 2),
+    "declarations without end": "<p>x</p>" + "<!" * (MB // 2),
+    "a tag that never closes": "<a" * (MB // 2) + f" <p>{LONG}</p>",
+    "open quotes": "<a href=\"" * (MB // 9),
+    "one long attribute": f"<p class=\"{'a ' * (MB // 2)}\">{LONG}</p>",
+}
+
+
+@pytest.mark.parametrize("name", LONG_PAGES)
+def test_long_pages_take_linear_time(name):
+    def seconds(text):
+        start = time.process_time()
+        html.extract(text)
+        return time.process_time() - start
+
+    text = LONG_PAGES[name]
+    assert seconds(text) < 8 * max(seconds(text[:len(text) // 4]), 0.25)
+
+
+def test_long_pages_keep_their_text():
     assert html.extract("<div>" * 3000 + LONG) == LONG
     many = "".join(f"<p>{LONG} {i}</p>" for i in range(20_000))
     assert html.extract(f"<article>{many}</article>").count("\n\n") == 19_999
+    assert html.extract(f"<p>{LONG}</p><!-- no end <p>{LONG}</p> x") == LONG
+    assert html.extract(f"<p>{LONG}</p>after <!-- no end") == f"{LONG}\n\nafter"
+    assert html.extract(f"<p>{LONG}</p>a < b") == f"{LONG}\n\na < b"
+
+
+def plain_points(page, size, links, commas, gone):
+    """Points by walking up from every paragraph, element by element."""
+    points = {}
+    for i, tag in enumerate(page.tag):
+        inner = [j for j in range(len(page.tag)) if page.tag[j] in html.BLOCKS and i in ancestors(page, j)]
+        if gone[i] or size[i] < html.LEAST_PARAGRAPH or not (tag in ("p", "pre", "td", "li", "dd") or tag in html.BLOCKS and not inner):
+            continue
+        given, share = (1 + commas[i] + min(size[i] // 100, 3)) * (1 - links[i] / size[i]), 1.0
+        for up in ancestors(page, i):
+            if up > 0 and share > 0.05 and (page.tag[up] in html.BLOCKS or page.tag[up] == "td"):
+                points[up] = points.get(up, 0) + given * share
+                share /= 2
+    return {i: n * (1 - links[i] / max(size[i], 1)) for i, n in points.items()}
+
+
+def ancestors(page, i):
+    out = []
+    while page.parent[i] >= 0:
+        i = page.parent[i]
+        out.append(i)
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<span>", "</span>", "<ul>", "<li>", "</ul>", "<table><tr><td>", "</table>", "<a href='x'>", "</a>", LONG, LONG, "a, b, c, and some more words, all of them plain"]), max_size=40))
+def test_points_like_a_plain_walk(parts):
+    page = html.parse("".join(parts))
+    size, links, commas, gone = html._texts(page)
+    best, points = html.best_container(page, size, links, commas, gone)
+    want = plain_points(page, size, links, commas, gone)
+    assert points.keys() == want.keys() and all(abs(points[i] - want[i]) < 1e-9 for i in want)
+    assert best == -1 if not any(n > 0 for n in want.values()) else want[best] >= max(want.values()) - 1e-9
 
 
 def test_table(spark):
