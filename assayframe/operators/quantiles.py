@@ -1,20 +1,24 @@
 """Exact quantiles of many columns at once, without a per-group value map.
 
 The built-in exact percentile keeps every distinct value of a group in one
-aggregation buffer. Here a group is narrowed down by histograms, which are plain
-partial aggregates, until the brackets around the wanted ranks are small; only
-those values are then ranked, after equal values have been counted together.
+aggregation buffer. Here a mergeable sketch of each column and group gives brackets
+around the wanted ranks in a first scan, together with counts and extents; a second
+scan counts what lies below a bracket and ranks the values in it, after equal values
+have been counted together. Where a bracket would still be too large, groups are
+narrowed down by histograms, which are plain partial aggregates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.runtime import cut_lineage, small
+from assayframe.runtime import small
 
+# The sketch is off by one rank in so many at most.
+ACCURACY = 20_000
 BINS = 4096
 # Rows a bracket may hold before its values are ranked.
 BRACKET_ROWS = 1_000_000
@@ -53,6 +57,69 @@ def exact_quantiles(
     shuffled before it is counted. With many groups the brackets are too many to
     broadcast and the rows are shuffled by group.
     """
+    columns = list(dict.fromkeys(columns))
+    brackets = small(_sketched(df, columns, probabilities, by))
+    largest = brackets.agg(F.max("n")).first()[0] or 0
+    if largest * 8 <= bracket_rows * ACCURACY:
+        return _ranked_in_brackets(long_form(df, columns, by), brackets, [*by, "name"], len(probabilities))
+    return _narrowed(df, columns, probabilities, by, bracket_rows)
+
+
+def _sketched(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., name, n, j, position, lo, hi): for each wanted quantile, values its neighbouring ranks lie between.
+
+    All columns in one aggregate, in the wide form. The sketch is asked for ranks that are
+    farther off than it can err.
+    """
+    off = 3 / ACCURACY
+    asked = [float(x) for p in probabilities for x in (max(p - off, 0.0), min(p + off, 1.0))]
+    known = df.select(*by, *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count(c).alias(f"__n{i}"), F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}"), F.percentile_approx(c, asked, ACCURACY).alias(f"__q{i}")]
+    wide = known.groupBy(*by).agg(*aggs)
+
+    def bracket(i: int, j: int) -> Column:
+        p = float(probabilities[j])
+        position = F.lit(p) * (F.col(f"__n{i}") - 1)
+        # a few ranks apart, rounding to whole ranks would count: small groups are one bracket
+        few = F.col(f"__n{i}") * off < 4
+        lo = F.when(few | F.lit(p - off <= 0), F.col(f"__lo{i}")).otherwise(F.col(f"__q{i}")[2 * j])
+        hi = F.when(few | F.lit(p + off >= 1), F.col(f"__hi{i}")).otherwise(F.col(f"__q{i}")[2 * j + 1])
+        return F.struct(
+            F.lit(columns[i]).alias("name"), F.col(f"__n{i}").alias("n"), F.lit(j).alias("j"), position.alias("position"), lo.alias("lo"), hi.alias("hi")
+        )
+
+    every = F.array(*[bracket(i, j) for i in range(len(columns)) for j in range(len(probabilities))])
+    return wide.select(*by, F.explode(every).alias("b")).select(*by, "b.*").filter("n > 0")
+
+
+def _ranked_in_brackets(long: DataFrame, brackets: DataFrame, keys: Sequence[str], n_quantiles: int) -> DataFrame:
+    """The quantiles from one scan of ``long``: how many values are below a bracket, and how often those in it occur."""
+    renamed = brackets
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"__b_{k}")
+    condition = F.col("value") <= F.col("hi")
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"__b_{k}"))
+    # all that is below the bracket is one null value
+    met = long.join(renamed, condition).withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
+    values = met.groupBy(*keys, "n", "j", "position", "value").agg(F.count(F.lit(1)).alias("times"))
+    up_to = Window.partitionBy(*keys, "j").orderBy(F.asc_nulls_first("value"))
+    start = F.sum("times").over(up_to) - F.col("times")
+    low, high = F.floor("position"), F.ceil("position")
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("start")) & (rank < F.col("start") + F.col("times"))
+
+    picked = values.withColumn("start", start).filter(F.col("value").isNotNull() & (holds(low) | holds(high)))
+    found = picked.groupBy(*keys, "n", "j", "position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    exact = F.col("low") + (F.col("high") - F.col("low")) * (F.col("position") - F.floor("position"))
+    return found.groupBy(*keys, "n").agg(F.sort_array(F.collect_list(F.struct("j", exact.alias("q")))).alias("q")).select(*keys, "n", F.col("q.q").alias("quantiles"))
+
+
+def _narrowed(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str], bracket_rows: int) -> DataFrame:
+    """The quantiles by histograms of ever smaller brackets, for groups too large for one."""
     keys = [*by, "name"]
     long = long_form(df, columns, by)
     lower = F.transform(

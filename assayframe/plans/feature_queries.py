@@ -11,7 +11,7 @@ from assayframe.operators.rows import nan_to_null
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
 from assayframe.plans.table_queries import elements_sql, largest_sql
-from assayframe.runtime import cut_lineage
+from assayframe.runtime import cut_lineage, one_row
 
 NUMBERS = ["quantity", "price", "discount", "tax"]
 
@@ -38,6 +38,32 @@ def impute_numeric(spark, sf_dir):
     return impute.impute_numeric(df, ["quantity", "price", "tax"], strategy="median")
 
 
+# An approximate median may be any value near the middle: its ranks are checked, not its value.
+@query(
+    "impute_numeric_approx",
+    "SELECT unnest(['quantity', 'price', 'tax']) AS feature, 0::BIGINT AS n_missing, true AS near_the_middle",
+)
+def impute_numeric_approx(spark, sf_dir):
+    names = ["quantity", "price", "tax"]
+    given = nan_to_null(_features(spark, sf_dir, *names))
+    filled = impute.impute_numeric(given, names, strategy="median", approx=True)
+    both = given.select(*inp.FEATURE_ID, *[F.col(c).alias(f"given_{c}") for c in names]).join(filled, inp.FEATURE_ID)
+    fill = {c: F.max(F.when(F.col(f"given_{c}").isNull(), F.col(c))).alias(f"fill_{c}") for c in names}
+    fills = one_row(both.agg(*fill.values()))
+    shares = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.count_if(F.col(c).isNull()).alias("n_missing"),
+            F.coalesce(
+                (F.avg((F.col(f"given_{c}") < fills[f"fill_{c}"]).cast("double")) <= 0.501) & (F.avg((F.col(f"given_{c}") <= fills[f"fill_{c}"]).cast("double")) >= 0.499),
+                F.lit(True),  # nothing was missing
+            ).alias("near_the_middle"),
+        )
+        for c in names
+    ]
+    return both.agg(F.array(*shares).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+
+
 @query(
     "impute_numeric_mean",
     f"""WITH {inp.FEATURES_SQL}

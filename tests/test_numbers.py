@@ -8,12 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayframe.operators import features, impute, profile, ranking
+from assayframe.operators import features, impute, profile, quantiles, ranking
 from assayframe.operators.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("bracket_rows", [1_000_000, 50])
-def test_exact_quantiles(spark, bracket_rows):
+# whole groups in a bracket, a coarse sketch with narrow brackets, and histograms
+@pytest.mark.parametrize("accuracy,bracket_rows", [(20_000, 1_000_000), (1000, 1_000_000), (100, 1_000_000), (10, 50)])
+def test_exact_quantiles(spark, monkeypatch, accuracy, bracket_rows):
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
     rng = random.Random(3)
     data = [(i % 2, rng.gauss(0, 1) ** 3 if i % 3 else 2.5, None if i % 5 == 0 else float(i % 17)) for i in range(3000)]
     df = spark.createDataFrame(data, "g int, x double, y double")
@@ -27,6 +29,16 @@ def test_exact_quantiles(spark, bracket_rows):
         assert np.allclose(row["quantiles"], np.quantile(values, probs), atol=1e-12)
 
 
+def test_quantiles_take_two_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr("id % 3 as g", "id * 7919 % 5003 as x", "id as y").write.parquet(path)
+    got = exact_quantiles(spark.read.parquet(path), ["x", "y"], [0.25, 0.5], by=["g"])
+    # the first scan has filled the checkpointed brackets
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and got.count() == 6
+    assert exact_quantiles(spark.read.parquet(path).limit(0), ["x"], [0.5]).count() == 0
+
+
 def test_imputation(spark):
     df = spark.createDataFrame(
         [(1, 1.0, None, "b", None), (2, None, math.nan, "a", None), (3, 4.0, 3.0, None, None), (4, 9.0, 5.0, None, None)],
