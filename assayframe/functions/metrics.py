@@ -60,6 +60,19 @@ METRICS: dict[str, Callable[[], Column]] = {
 }
 
 
+#: Metrics of users, see :func:`assayframe.functions.user.register_metric`.
+USER_METRICS: dict[str, Callable[[], Column]] = {}
+
+
+def named_metric(name: str) -> Callable[[], Column]:
+    """A built-in or a user's metric by name."""
+    if name in METRICS:
+        return METRICS[name]
+    if name in USER_METRICS:
+        return USER_METRICS[name]
+    raise ValueError(f"unknown metric {name!r}: use one of {sorted([*METRICS, *USER_METRICS])}")
+
+
 def cell_counts(truth: Column, predicted: Column) -> list[Column]:
     """The aggregates every metric is made of; rows with a missing side do not count."""
     return [

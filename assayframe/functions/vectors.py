@@ -60,8 +60,14 @@ DISTANCES: dict[tuple[str, bool], Callable[[Column, Column], Column]] = {
 }
 
 
+#: Distances of users, see :func:`assayframe.functions.user.register_distance`.
+USER_DISTANCES: dict[str, Callable[[Column, Column], Column]] = {}
+
+
 def distance(metric: str, normalize: bool = False) -> Callable[[Column, Column], Column]:
-    """The distance function by name."""
+    """The distance function by name. Users' distances have no normalised form."""
+    if metric in USER_DISTANCES and not normalize:
+        return USER_DISTANCES[metric]
     if metric == "cosine":
         normalize = False
     if (metric, normalize) not in DISTANCES:

@@ -49,6 +49,8 @@ def knn_distances(
     """
     if metric != "jaccard":
         vec.distance(metric)
+    if metric in vec.USER_DISTANCES:
+        raise ValueError("the neighbour search needs a metric it knows bounds for")
     if k < 1:
         raise ValueError("k must be positive")
     strategy = strategy or ("index" if metric == "jaccard" else "cells")

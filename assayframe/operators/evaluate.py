@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayframe.functions.metrics import METRICS, cell_counts
+from assayframe.functions.metrics import METRICS, USER_METRICS, cell_counts, named_metric
 
 
 def binary_metrics(
@@ -20,11 +20,11 @@ def binary_metrics(
     digits: int | None = 3,
 ) -> DataFrame:
     """The chosen metrics, by default all, per group. Unknown names are left out."""
-    names = [m for m in (metrics if metrics is not None else METRICS) if m in METRICS]
+    names = [m for m in (metrics if metrics is not None else METRICS) if m in METRICS or m in USER_METRICS]
     if not names:
         raise ValueError(f"no known metric: use some of {sorted(METRICS)}")
     cells = df.groupBy(*by).agg(*cell_counts(F.col(truth), F.col(predicted)))
-    values = {m: METRICS[m]() for m in names}
+    values = {m: named_metric(m)() for m in names}
     if digits is not None:
         values = {m: F.round(v, digits) for m, v in values.items()}
     return cells.select(*by, *[v.alias(m) for m, v in values.items()])

@@ -67,8 +67,13 @@ def pattern_counts(df: DataFrame, patterns: DataFrame, *, key: str, structure: s
     return df.select(key, entries.alias("e")).select(key, "e.name", "e.n")
 
 
-def property_registry(*, structure: str, supplied: Sequence[str] = ()) -> dict[str, Column]:
-    """The named features that can be requested from :func:`property_block`."""
+def property_registry(
+    *, structure: str, supplied: Sequence[str] = (), extra: Mapping[str, Column] | None = None
+) -> dict[str, Column]:
+    """The named features that can be requested from :func:`property_block`.
+
+    ``extra``: further ones, such as those of a :func:`user.record_function`.
+    """
     text = F.col(structure)
     registry = {
         "heavy_atoms": F.when(text.isNotNull(), st.heavy_atom_count(text)),
@@ -78,6 +83,7 @@ def property_registry(*, structure: str, supplied: Sequence[str] = ()) -> dict[s
     }
     registry.update(st.pattern_columns(text))
     registry.update({name: F.col(name) for name in supplied})
+    registry.update(extra or {})
     return registry
 
 
@@ -88,6 +94,7 @@ def property_block(
     structure: str,
     features: Sequence[str] | None = None,
     supplied: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
     as_map: bool = False,
 ) -> DataFrame:
     """The requested features of every record, as columns or as one map column.
@@ -95,7 +102,7 @@ def property_block(
     Unknown names are ignored. A record whose structure is missing gets nulls in
     every feature and never fails the rest of the table.
     """
-    registry = property_registry(structure=structure, supplied=supplied)
+    registry = property_registry(structure=structure, supplied=supplied, extra=extra)
     names = [n for n in (features if features is not None else registry) if n in registry]
     if not names:
         raise ValueError("none of the requested features is known")

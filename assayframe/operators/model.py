@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayframe.functions.metrics import METRICS, cell_counts
+from assayframe.functions.metrics import cell_counts, named_metric
 
 CLASSIFIERS = {
     "random_forest": RandomForestClassifier,
@@ -26,10 +26,8 @@ CLASSIFIERS = {
 
 def score_of(scored: DataFrame, metric: str, truth: str) -> float | None:
     """A metric of the registry over ``prediction``; None where it is undefined."""
-    if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
     cells = scored.agg(*cell_counts(F.col(truth), F.col("prediction")))
-    value = cells.select(METRICS[metric]()).first()[0]
+    value = cells.select(named_metric(metric)()).first()[0]
     return None if value is None else float(value)
 
 
@@ -114,8 +112,7 @@ def judged_folds(
     """
     if direction not in ("maximize", "minimize"):
         raise ValueError("direction is 'maximize' or 'minimize'")
-    if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}: use one of {sorted(METRICS)}")
+    named_metric(metric)  # unknown names are refused
     stages = _stages(model, features, label, standardize, dict(fixed or {}))
     classifier = stages[-1]
     kept = [*by, fold, *([role] if role else [])]

@@ -65,6 +65,8 @@ def project_by_landmarks(
     """
     if metric != "jaccard":
         vec.distance(metric)
+    if metric in vec.USER_DISTANCES:
+        raise ValueError("the map needs a built-in metric")
     if axes < 1 or landmarks < 1:
         raise ValueError("axes and landmarks must be positive")
     rows = union_sets({name: df.select(key, F.col(features).alias("tokens")) for name, df in sets.items()})

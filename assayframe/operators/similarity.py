@@ -7,6 +7,7 @@ count before anything is paired, so a large group of copies costs one row.
 from __future__ import annotations
 
 from fractions import Fraction
+from math import ceil, sqrt
 
 import numpy as np
 import pandas as pd
@@ -368,8 +369,10 @@ def average_dissimilarity(
     summed up over pairs of blocks, one number per task. Fewer than two rows, or
     an undefined distance, give null.
     """
-    vec.distance(metric, normalize)  # unknown names are refused
+    measure = vec.distance(metric, normalize)  # unknown names are refused
     rows = df.filter(F.col(vector).isNotNull()).select(key, F.col(vector).cast("array<double>").alias("v"))
+    if metric in vec.USER_DISTANCES:
+        return _average_of(rows, key, measure)
     if metric == "cosine":
         return _average_cosine(rows)
     if metric == "manhattan" and not normalize:
@@ -392,6 +395,21 @@ def average_dissimilarity(
     )
 
 
+def _average_of(rows: DataFrame, key: str, measure) -> DataFrame:
+    """The mean of a column expression over all pairs, in a grid of blocks with a tile for each few tasks."""
+    rows = cut_lineage(rows.select("v", F.xxhash64(key, F.monotonically_increasing_id()).alias("__id")))
+    n = rows.count()
+    side = max(1, min(n, ceil(sqrt(2 * rows.sparkSession.sparkContext.defaultParallelism))))
+    block = F.pmod("__id", F.lit(side)).cast("int")
+    left = rows.select(F.col("v").alias("x"), F.col("__id").alias("i"), block.alias("at"), F.explode(F.sequence(block, F.lit(side - 1))).alias("to"))
+    right = rows.select(F.col("v").alias("y"), F.col("__id").alias("j"), block.alias("here"), F.explode(F.sequence(F.lit(0), block)).alias("there"))
+    once = (F.col("at") < F.col("to")) | (F.col("i") < F.col("j"))
+    pairs = left.hint("shuffle_hash").join(right, (F.col("at") == F.col("there")) & (F.col("to") == F.col("here")) & once)
+    d = measure(F.col("x"), F.col("y"))
+    mean = pairs.agg(F.when(F.count(d) == F.count(F.lit(1)), F.avg(d)).alias("average"))
+    return mean.select(F.lit(n).cast("long").alias("n"), "average")
+
+
 def _average_cosine(rows: DataFrame) -> DataFrame:
     # Sum of the unit vectors u: the dot products of all ordered pairs of
     # different rows add up to |sum u|^2 minus the number of non-zero rows.

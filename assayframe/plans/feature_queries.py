@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from assayframe.functions import user
 from assayframe.functions.structure import GROUP_PATTERNS, largest_fragment
 from assayframe.operators import features as feat
-from assayframe.operators import impute, profile, projection, ranking
+from assayframe.operators import categories, impute, profile, projection, ranking
 from assayframe.operators.rows import nan_to_null
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
@@ -478,6 +481,40 @@ def project_2d(spark, sf_dir):
     return profile.project_2d(sets, key="vec_id", columns=columns)
 
 
+def _first_ring(smiles: str, hba: int) -> float:
+    """The number of the first ring bond over the acceptors; fails without a ring, or without an acceptor."""
+    return int(re.search("[0-9]", smiles)[0]) / hba
+
+
+@query(
+    "user_record_function",
+    f"""WITH {inp.STRUCTURES_SQL}, given AS (SELECT id, CASE WHEN id % 11 <> 0 THEN smiles END AS smiles, hba % 3 AS hba FROM structures)
+SELECT id, CASE WHEN smiles IS NOT NULL THEN len(string_split(smiles, '.')) END::DOUBLE AS fragments,
+  nullif(regexp_extract(smiles, '[0-9]'), '')::DOUBLE / nullif(hba, 0) AS first_ring FROM given""",
+)
+def user_record_function(spark, sf_dir):
+    """A user's Python function among the properties: records that it fails on get null, the others their value."""
+    df = inp.structures(spark, sf_dir).select("id", F.when(F.col("id") % 11 != 0, F.col("smiles")).alias("smiles"), (F.col("hba") % 3).alias("hba"))
+    first_ring = user.record_function(_first_ring, "double")(F.col("smiles"), F.col("hba"))
+    return feat.property_block(df, key="id", structure="smiles", features=["fragments", "first_ring"], extra={"first_ring": first_ring})
+
+
+@query(
+    "category_codes",
+    """WITH given AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand, p_type AS kind FROM part)
+SELECT id, CASE WHEN brand IS NOT NULL THEN dense_rank() OVER (ORDER BY brand NULLS LAST) - 1 END AS brand_code,
+  dense_rank() OVER (ORDER BY kind) - 1 AS kind_code, brand, kind FROM given""",
+)
+def category_codes(spark, sf_dir):
+    """Strings to codes by a table of categories, and from the codes back."""
+    part = inp.table(spark, sf_dir, "part")
+    df = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).alias("brand"), F.col("p_type").alias("kind"))
+    table = cut_lineage(categories.category_table(df, ["brand", "kind"]))
+    coded = cut_lineage(categories.encode_categories(df, table, ["brand", "kind"], spread_by=["id"]))
+    back = categories.decode_categories(coded, table, ["brand", "kind"], spread_by=["id"])
+    return coded.select("id", F.col("brand").alias("brand_code"), F.col("kind").alias("kind_code")).join(back, "id")
+
+
 @query(
     "project_by_landmarks",
     f"""SELECT doc_id, CASE WHEN {inp.share_sql('doc_id')} < 0.2 THEN 'test' ELSE 'train' END AS origin, text IS NOT NULL AS placed,

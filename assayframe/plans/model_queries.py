@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from assayframe.functions import user
+from assayframe.functions.metrics import METRICS
 from assayframe.functions.structure import halogen_count, heavy_atom_count, largest_fragment
 from assayframe.operators import domain, evaluate, features, impute, model, profile, rows, search, split
 from assayframe.plans import inputs as inp
@@ -191,6 +193,17 @@ def binary_metrics(spark, sf_dir):
     return evaluate.binary_metrics(_predictions(spark, sf_dir), truth="truth", predicted="predicted")
 
 
+# Youden's index, as a user's own metric.
+@query(
+    "user_metric",
+    f"""WITH {PREDICTIONS_SQL}, {_cells_sql('predicted', 'fold')}
+SELECT fold, round({METRIC_SQL['recall']} + {METRIC_SQL['specificity']} - 1, 3) AS youden, round({METRIC_SQL['f1']}, 3) AS f1 FROM cells""",
+)
+def user_metric(spark, sf_dir):
+    user.register_metric("youden", lambda: METRICS["recall"]() + METRICS["specificity"]() - 1)
+    return evaluate.binary_metrics(_predictions(spark, sf_dir), truth="truth", predicted="predicted", metrics=["youden", "f1"], by=["fold"])
+
+
 THRESHOLDS = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 

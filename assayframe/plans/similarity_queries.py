@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assayframe.functions import fingerprint as fp
+from assayframe.functions import user
 from assayframe.operators import cluster, similarity
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
@@ -184,6 +185,19 @@ for _metric, _normalize in AVERAGES:
     _average(_metric, _normalize)
 
 
+# The largest difference of a component, as a user's own distance.
+@query(
+    "user_distance",
+    f"""WITH {inp.VECTORS_SQL}
+SELECT (SELECT count(*) FROM vectors) AS n, round(avg(list_max(list_transform(range(1, 65), lambda i: abs(p.vector[i] - q.vector[i])))), 6) AS average
+FROM vectors p JOIN vectors q ON q.vec_id > p.vec_id""",
+)
+def user_distance(spark, sf_dir):
+    user.register_distance("largest_gap", lambda a, b: F.array_max(F.zip_with(a, b, lambda x, y: F.abs(x - y))))
+    df = similarity.average_dissimilarity(inp.vectors(spark, sf_dir), key="vec_id", vector="vector", metric="largest_gap")
+    return df.select("n", F.round("average", 6).alias("average"))
+
+
 # --- groups and clusters -------------------------------------------------------------
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from assayframe.operators import cluster, profile, rows, split
 from assayframe.plans import inputs as inp
 from assayframe.plans.registry import query
-from assayframe.runtime import cut_lineage
+from assayframe.runtime import cut_lineage, scratch_path
+from assayframe.sources import tables
 
 SEED = 7
 
@@ -83,6 +84,28 @@ def contiguous_kfold(spark, sf_dir):
     return split.contiguous_kfold(inp.table(spark, sf_dir, "orders"), key="o_orderkey", n_folds=5)
 
 
+BUCKETS = 16
+
+
+@query(
+    "bucketed_folds",
+    """WITH n AS (SELECT ceil(count(*) / 5.0)::BIGINT - 1 AS step FROM orders),
+r AS (SELECT o_orderkey, o_totalprice, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, least((rn - 1) // step, 4)::INT AS fold, o_totalprice, o_orderstatus FROM r, n""",
+)
+def bucketed_folds(spark, sf_dir):
+    """Folds and features kept in buckets of their key, the folds in a part for each fold, and joined from there."""
+    orders = inp.table(spark, sf_dir, "orders")
+    folds = split.contiguous_kfold(orders, key="o_orderkey", n_folds=5)
+    kept = []
+    for df, part in ((folds, ["fold"]), (orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), [])):
+        path = scratch_path(spark, "bucketed")
+        name = "bucketed_" + path.rsplit("-", 1)[1]
+        tables.save_bucketed(df, name, key="o_orderkey", buckets=BUCKETS, path=path, partition_by=part)
+        kept.append(tables.load_bucketed(spark, name, path=path, schema=df.schema, key="o_orderkey", buckets=BUCKETS, partition_by=part))
+    return rows.folds_with_features(*kept, key="o_orderkey")
+
+
 N_FOLDS = 5
 N_REPEATS = 2
 TEST_RATIO = 0.1

@@ -40,6 +40,38 @@ def load_assignment(spark: SparkSession, path: str, schema: T.StructType | str |
     return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
+def save_bucketed(
+    df: DataFrame, name: str, *, key: str, buckets: int, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
+) -> None:
+    """Keep a table in buckets of its key, as table ``name`` with its files at ``path``.
+
+    Tables that share key and number of buckets are joined without a shuffle; a table
+    that does not is shuffled to the buckets of one that does. Rows are dealt to the
+    buckets once, so each has one file for each part it is in.
+    """
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    writer = df.repartition(buckets, key).write.mode(mode).format("parquet").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
+def load_bucketed(
+    spark: SparkSession, name: str, *, path: str, schema: T.StructType, key: str, buckets: int, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """The table ``name``; in a session that does not know it, it is declared over the files at ``path`` first."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet {parts} CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+    return spark.table(name).select(*schema.names)
+
+
 def csv_stream_source(
     spark: SparkSession, path: str, schema: str | T.StructType, *, files_per_trigger: int | None = None
 ) -> DataFrame:
