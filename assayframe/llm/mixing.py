@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.llm.scratch import stored
+from assayframe.operators.skew import number_rows
 
 WEIGHTS = (3, 1, 2)
 SEED = 20
 BINS = 4096
 #: Words that the program spends at least; it may hold twice the shortest document.
 PROGRAM = 1 << 15
-#: So many rows of sources are broadcast; more are joined by a shuffle.
-BROADCAST_SOURCES = 10_000
+#: So many cuts (short rows, one for each source and length) are broadcast; more are joined by a shuffle.
+BROADCAST_CUTS = 200_000
+#: Below every hash.
+LOWEST = -(1 << 63)
 
 _MADE = ("size", "source_size", "target", "taken")
 
@@ -161,15 +164,18 @@ def mix(
     Null and empty texts have size 0 and take 0 words. A null source is a source of its
     own. Equal rows are told apart only by number. An empty table gives an empty table.
 
-    Documents of one source and length, which copies may make very many, are spread over
-    bins of a hash; whole bins are taken by counts, and only documents of the one bin
-    where the number runs out are ordered.
+    Documents of one source and length, which copies may make very many, stand in the
+    order of a seeded hash. For each length a cut says up to which hash its documents
+    are taken once more; it is found from counts of hash bins, then from the hashes of
+    the one bin where the number runs out. So texts are read twice and never shuffled:
+    documents meet the cuts, one row for each source and length, by a counted broadcast.
+    Only rows that share the very hash of a cut are numbered, over all tasks.
     """
     kept = docs.select(*[c for c in docs.columns if c not in _MADE])
     own = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
-    rows = kept.withColumn("_mix_size", word_count(F.col(text))).withColumn("_mix_hash", own)
-    placed = rows.select(F.col(source).cast("string").alias("source"), F.col("_mix_size").alias("size"), F.pmod("_mix_hash", F.lit(BINS)).alias("bin"))
-    keys = stored(placed.groupBy("source", "size", "bin").agg(F.count("*").alias("n")), "mix-bins")
+    rows = kept.withColumns({"_mix_source": F.col(source).cast("string"), "_mix_size": word_count(F.col(text)), "_mix_hash": own})
+    hashes = stored(rows.select(F.col("_mix_source").alias("source"), F.col("_mix_size").alias("size"), F.col("_mix_hash").alias("hash")), "mix-hashes")
+    keys = stored(hashes.groupBy("source", "size", _bin("hash").alias("bin")).agg(F.count("*").alias("n")), "mix-bins")
     counts = keys.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     wanted = targets(sizes, share, most, weights)
@@ -177,35 +183,67 @@ def mix(
     passes = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size")).otherwise(F.lit(0))
     sources = stored(wanted.withColumn("passes", passes).withColumn("budget", words - F.col("passes") * F.col("source_size")), "mix-sources")
     extra = stored(plan(counts, sources, program), "mix-plan")
-
+    cuts = stored(_cuts(hashes, keys, extra, sources), "mix-cuts")
+
+    def met(some: DataFrame) -> DataFrame:
+        mine = F.col("_mix_source").eqNullSafe(F.col("_cut_source")) & (F.col("_mix_size") == F.col("_cut_size"))
+        named = cuts.toDF("_cut_source", "_cut_size", "_mix_source_size", "_mix_target", "_mix_passes", "_mix_bin", "_mix_cut", "_mix_ties")
+        return some.join(F.broadcast(named) if cuts.count() <= BROADCAST_CUTS else named, mine)
+
+    def out(some: DataFrame, more: F.Column) -> DataFrame:
+        return some.select(
+            *kept.columns,
+            F.col("_mix_size").alias("size"),
+            F.col("_mix_source_size").alias("source_size"),
+            F.col("_mix_target").alias("target"),
+            (F.col("_mix_size") * (F.col("_mix_passes") + more.cast("long"))).alias("taken"),
+        )
+
+    decided = met(rows)
+    own_bin = _bin("_mix_hash")
+    below = (own_bin < F.col("_mix_bin")) | (own_bin == F.col("_mix_bin")) & (F.col("_mix_hash") < F.coalesce("_mix_cut", F.lit(LOWEST)))
+    if cuts.filter("ties > 0").isEmpty():
+        return out(decided, below)
+    tied = F.coalesce((F.col("_mix_ties") > 0) & (F.col("_mix_hash") == F.col("_mix_cut")), F.lit(False))
+    apart = decided.filter(tied).withColumn("_mix_row", F.monotonically_increasing_id())
+    numbered = number_rows(apart, ["_mix_source", "_mix_size", doc_id, "_mix_row"], "_mix_place")
+    # one row for each cut that rows share
+    first = numbered.groupBy("_mix_source", "_mix_size").agg(F.min("_mix_place").alias("first")).toDF("s", "l", "first")
+    placed = numbered.join(first, F.col("_mix_source").eqNullSafe(F.col("s")) & (F.col("_mix_size") == F.col("l")))
+    return out(decided.filter(~tied), below).unionByName(out(placed, F.col("_mix_place") - F.col("first") < F.col("_mix_ties")))
+
+
+def _bin(column: str) -> F.Column:
+    return F.pmod(column, F.lit(BINS))
+
+
+def _cuts(hashes: DataFrame, keys: DataFrame, extra: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, size, source_size, target, passes, bin, cut, ties) for each source and length.
+
+    Documents of bins below ``bin`` are taken once more, and so are those of this bin
+    with a hash below ``cut`` (none if it is null), and ``ties`` of those whose hash it is.
+    """
+    wanted = extra.select(F.col("source").alias("s"), F.col("size").alias("l"), "extra")
+    up_to = Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = keys.join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")), "left").withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
+    left = F.coalesce("extra", F.lit(0)) - F.col("before")
+    # the first bin that is not taken whole
+    at = bins.withColumn("left", F.greatest(left, F.lit(0))).filter(F.col("left") < F.col("n")).groupBy("source", "size").agg(F.min("bin").alias("bin"), F.max_by("left", -F.col("bin")).alias("left"))
+    every = keys.groupBy("source", "size").agg(F.count("*").alias("n_bins"))
+    at = at.select(F.col("source").alias("s"), F.col("size").alias("l"), "bin", "left")
+    ends = stored(every.join(at, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")), "left").select("source", "size", F.coalesce("bin", F.lit(BINS).cast("long")).alias("bin"), F.coalesce("left", F.lit(0)).alias("left")), "mix-ends")
+
+    cut = ends.filter("left > 0").select(F.col("source").alias("s"), F.col("size").alias("l"), F.col("bin").alias("b"), "left")
+    inside = hashes.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")) & (_bin("hash") == F.col("b")))
+    times = inside.groupBy("source", "size", "hash", "left").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # the first hash whose rows are not all taken
+    over = times.withColumn("before", before).filter(F.col("before") + F.col("n") > F.col("left"))
+    found = over.groupBy("source", "size").agg(F.min("hash").alias("cut"), F.greatest(F.max(F.col("left") - F.col("before")), F.lit(0)).alias("ties"))
+    found = found.select(F.col("source").alias("s"), F.col("size").alias("l"), "cut", "ties")
+    cuts = ends.join(found, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")), "left").drop("s", "l")
     per_source = sources.select(F.col("source").alias("s"), "source_size", "target", "passes")
-    if sources.count() <= BROADCAST_SOURCES:
-        per_source = F.broadcast(per_source)
-
-    # how many documents of each bin are taken once more
-    before = Window.partitionBy("source", "size").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = (
-        keys.join(extra.select(F.col("source").alias("s"), F.col("size").alias("l"), "extra"), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")), "left")
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("more", F.greatest(F.lit(0), F.least("n", F.coalesce("extra", F.lit(0)) - F.col("before"))))
-        .select("source", "size", "bin", "n", "more")
-        .join(per_source, F.col("source").eqNullSafe(F.col("s")))
-        .drop("s")
-        .toDF("_mix_source", "_mix_l", "_mix_bin", "_mix_n", "_mix_more", "_mix_source_size", "_mix_target", "_mix_passes")
-    )
-    joined = rows.join(
-        bins,
-        F.col(source).cast("string").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_size") == F.col("_mix_l")) & (F.pmod("_mix_hash", F.lit(BINS)) == F.col("_mix_bin")),
-    )
-    place = F.row_number().over(Window.partitionBy("_mix_source", "_mix_l", "_mix_bin").orderBy("_mix_hash", doc_id))
-    times = F.col("_mix_passes") + (place <= F.col("_mix_more")).cast("long")
-    return joined.select(
-        *kept.columns,
-        F.col("_mix_size").alias("size"),
-        F.col("_mix_source_size").alias("source_size"),
-        F.col("_mix_target").alias("target"),
-        (F.col("_mix_size") * times).alias("taken"),
-    )
+    return cuts.join(per_source, F.col("source").eqNullSafe(F.col("s"))).select("source", "size", "source_size", "target", "passes", "bin", "cut", F.coalesce("ties", F.lit(0)).cast("long").alias("ties"))
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:

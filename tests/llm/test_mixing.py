@@ -81,3 +81,22 @@ def test_table(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.repeated(docs.limit(0)).count() == 0
     nothing = docs.filter("doc_id in (2000, 2001)")
     assert [r["taken"] for r in mixing.mix(nothing).collect()] == [0, 0] and mixing.repeated(nothing).count() == 2
+
+
+def test_many_equal_rows(spark):
+    rows = [(7, "the same row", "a")] * 400 + [(i, "one two", "b") for i in range(300)] + [(None, "no id", "a")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    found = mixing.mix(docs).collect()
+    sizes = {"a": 400 * 3 + 50 * 2, "b": 600}
+    wanted = plain_targets(sizes)
+    for s in sizes:
+        assert abs(sum(r["taken"] for r in found if r["source"] == s) - wanted[s]) < 3
+    assert all(r["taken"] in (r["size"], 2 * r["size"], 0) for r in found)
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
+def test_texts_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 5), "ab"[i % 2]) for i in range(200)], "doc_id long, text string, source string")
+    plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan and "Cartesian" not in plan
