@@ -21,7 +21,8 @@ import zlib
 
 import numpy as np
 
-BLOCK = 1 << 12
+#: Ids of a block. Longer ones are smaller by a tenth at 4096, but fewer fit into memory together.
+BLOCK = 1 << 10
 CONTEXTS = 1 << 9
 LONGEST = 1 << 12
 CLASSES = 16  # of ranks: 0, 1, 2-3, 4-7, ...; the last class is ids not met yet
@@ -165,7 +166,8 @@ class RangeDecoder:
 class Mixer:
     """The predictions of many blocks and what they have learnt."""
 
-    def __init__(self, rows: int):
+    def __init__(self, rows: int, length: int):
+        self.length = length
         self.base = np.arange(rows, dtype=np.int64)
         # an entry is 0, or four times the id plus one, and the confidence from 1 to 3
         self.next1 = np.zeros(rows * CONTEXTS, np.int32)
@@ -178,7 +180,7 @@ class Mixer:
         self.hash2 = np.zeros(rows, np.int64)
         # bounds of the classes, by their frequencies
         self.classes = np.tile(2 * np.arange(CLASSES + 1, dtype=np.int16), (rows, 1))
-        self.ranked = np.zeros(rows * LONGEST, np.int32)
+        self.ranked = np.zeros(rows * length, np.int32)
         self.met = np.zeros(rows, np.int64)
 
     def look(self, n: int) -> None:
@@ -232,7 +234,7 @@ class Mixer:
 
     def forward(self, at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Swap the ids at these ranks with those halfway to the front: the two places, and the id moved back."""
-        here, there = at * LONGEST + rank, at * LONGEST + (rank >> 1)
+        here, there = at * self.length + rank, at * self.length + (rank >> 1)
         moved, back = self.ranked.take(here), self.ranked.take(there)
         self.ranked[here] = back
         self.ranked[there] = moved
@@ -241,7 +243,7 @@ class Mixer:
     def add(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Ids met for the first time stand at the end of the list; their ranks."""
         rank = self.met[at]
-        self.ranked[at * LONGEST + rank] = ids
+        self.ranked[at * self.length + rank] = ids
         self.met[at] = rank + 1
         return rank
 
@@ -268,10 +270,10 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
     for column, k in enumerate(order):
         table[:lengths[k], column] = blocks[k]
         local[:lengths[k], column] = np.unique(blocks[k], return_inverse=True)[1]
-    ranks = np.full(rows * LONGEST, -1, np.int16)
+    ranks = np.full(rows * length, -1, np.int16)
     # the number of the id at each rank
-    numbers = np.zeros(rows * LONGEST, np.int16)
-    mixer, coder = Mixer(rows), RangeEncoder(rows, length * 3 + 8)
+    numbers = np.zeros(rows * length, np.int16)
+    mixer, coder = Mixer(rows, length), RangeEncoder(rows, length * 3 + 8)
     for t in range(length):
         n = int(active[t])
         now = table[t, :n]
@@ -282,7 +284,7 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
         at = np.flatnonzero(~(second | first))
         if len(at):
             number = local[t].take(at)
-            places = at * LONGEST + number
+            places = at * length + number
             rank = ranks.take(places).astype(np.int64)
             kind = _CLASS.take(rank)
             kind[rank < 0] = NEW
@@ -295,7 +297,7 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
                 coder.code(novel, now[novel].astype(np.int64), _ONE, ids)
                 end = mixer.add(novel, now[novel])
                 ranks[places[fresh]] = end
-                numbers[novel * LONGEST + end] = number[fresh]
+                numbers[novel * length + end] = number[fresh]
             deep = np.flatnonzero((kind > 0) & (kind < NEW))
             if len(deep):
                 known, rank, kind = at[deep], rank[deep], kind[deep]
@@ -303,7 +305,7 @@ def encode_blocks(blocks: list[np.ndarray], ids: int) -> list[bytes]:
                 here, there, _ = mixer.forward(known, rank)
                 back = numbers.take(there)
                 numbers[here], numbers[there] = back, number[deep]
-                ranks[known * LONGEST + back] = rank
+                ranks[known * length + back] = rank
                 ranks[places[deep]] = rank >> 1
         mixer.learn(n, now, second, first)
         mixer.forget(t)
@@ -325,7 +327,7 @@ def decode_blocks(frames: list[tuple[int, int, int, bytes]], ids: int) -> list[n
     order, active = _ordered(lengths)
     rows, length = len(frames), int(lengths.max())
     table = np.zeros((length, rows), np.int32)
-    mixer, coder = Mixer(rows), RangeDecoder([frames[k][3] for k in order])
+    mixer, coder = Mixer(rows, length), RangeDecoder([frames[k][3] for k in order])
     for t in range(length):
         n = int(active[t])
         mixer.look(n)
@@ -340,7 +342,7 @@ def decode_blocks(frames: list[tuple[int, int, int, bytes]], ids: int) -> list[n
             start, width, total = mixer.class_bounds(at, kind)
             coder.take(at, start, width)
             mixer.learn_class(at, kind)
-            now[at] = mixer.ranked.take(at * LONGEST)
+            now[at] = mixer.ranked.take(at * length)
             fresh = np.flatnonzero(kind == NEW)
             if len(fresh):
                 novel = at[fresh]

@@ -12,7 +12,9 @@ document, with the end id) and ``payload``.
 
 from __future__ import annotations
 
+import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,72 +31,90 @@ from assayframe.llm.text import slices, trimmed
 SEGMENT = 1 << 16
 #: Ids that are coded together: more keep numpy busy, fewer need less memory.
 TOGETHER = 1 << 21
+#: Bytes of text whose ids are sorted and coded by one task.
+PART_BYTES = 16 << 20
 MEMO_SIZE = 150_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
 
+#: A full stop or comma between a letter and a space is a token of its own.
+_STOP, _COMMA = re.compile(r"(?<=[^\W\d_])\.(?= |$)"), re.compile(r"(?<=[^\W\d_]),(?= |$)")
+
+
 class ChunkEncoder:
-    """Ids of texts, as little-endian 32-bit numbers, through a memory of chunks between spaces.
+    """Ids of texts, as little-endian numbers, through a memory of chunks between spaces.
 
     The library lower-cases, normalises and splits a text so that nothing reaches across a
-    space or line end; so a text's ids are those of its chunks in a row. New chunks are
+    space or line end; so a text's ids are those of its chunks in a row. A full stop or comma
+    after a word is a chunk too, and ASCII texts are lower-cased beforehand. New chunks are
     given to the library together, parted by a digit that is one id and that none of them has.
+    The memory has two ages: what was not met again while the younger one filled is forgotten.
     """
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, kind: str = "<u4"):
         self.tokenizer = Tokenizer.from_str(content)
-        alone = {d: self.tokenizer.encode(d, add_special_tokens=False).ids for d in "0123456789"}
+        self.kind = np.dtype(kind)
+        alone = {d: self._ids(d) for d in "0123456789"}
         self.mark = next(((d, ids[0]) for d, ids in alone.items() if len(ids) == 1), None)
         self.memo: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def _alone(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        # one text a call, so the library starts no threads; offsets are not wanted
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def learn(self, chunks: set[str]) -> None:
         together = []
         for c in chunks:
             if c not in self.memo:
-                if self.mark is None or self.mark[0] in c:
-                    self.memo[c] = self._alone(c)
+                if c in self.older:
+                    self.memo[c] = self.older[c]
+                elif self.mark is None or self.mark[0] in c:
+                    self.memo[c] = self._ids(c).tobytes()
                 else:
                     together.append(c)
         if together:
-            ids = np.array(self.tokenizer.encode(f" {self.mark[0]} ".join(together), add_special_tokens=False).ids, "<u4")
+            ids = self._ids(f" {self.mark[0]} ".join(together))
             cuts = np.flatnonzero(ids == self.mark[1])
             if len(cuts) != len(together) - 1:  # a chunk that meets its neighbours
-                self.memo.update((c, self._alone(c)) for c in together)
+                self.memo.update((c, self._ids(c).tobytes()) for c in together)
                 return
-            whole, begin = ids.tobytes(), 0
+            whole, begin, wide = ids.tobytes(), 0, self.kind.itemsize
             for c, cut in zip(together, [*cuts.tolist(), len(ids)]):
-                self.memo[c] = whole[4 * begin:4 * cut]
+                self.memo[c] = whole[wide * begin:wide * cut]
                 begin = cut + 1
 
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        text = (text.lower() if text.isascii() else text).replace("\n", " ")
+        return _COMMA.sub(" ,", _STOP.sub(" .", text)).split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_SIZE:
-            self.memo = {"": b""}
-        parted = [t.replace("\n", " ").split(" ") for t in texts]
+            self.memo, self.older = {"": b""}, self.memo
+        parted = [self.chunks(t) for t in texts]
         self.learn(set().union(*parted))
         find = self.memo.__getitem__
         return [b"".join(map(find, chunks)) for chunks in parted]
 
 
 #: Kept between the tasks of a Python worker.
-_ENCODERS: dict[int, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[int, str], ChunkEncoder] = {}
 
 
-def chunked(content: str) -> ChunkEncoder:
-    key = zlib.crc32(content.encode())
+def chunked(content: str, kind: str) -> ChunkEncoder:
+    key = zlib.crc32(content.encode()), kind
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = ChunkEncoder(content)
+        _ENCODERS[key] = ChunkEncoder(content, kind)
     return _ENCODERS[key]
 
 
 def chunks_hold(tokenizer: Tokenizer) -> bool:
     """Whether the library's ids of a text are those of its chunks, tried on texts made for it."""
-    trial = ["a b", "A  b\n\nC", " lead", "trail ", "it's 's  't", "x\n's", "é é ́a b́", "1 2 3.4 ,5", "Σας ΣΑΣ Σ", "a b c d", "<|endoftext|> a <|endoftext|>b", "ﬁ ½ 한 국"]
+    trial = ["a b", "A  b\n\nC", " lead", "trail ", "it's 's  't", "x\n's", "é é ́a b́", "1 2 3.4 ,5", "Σας ΣΑΣ Σ", "a b c d", "<|endoftext|> a <|endoftext|>b", "ﬁ ½ 한 국", "a. B, c., d.. e,", "é. 'S, ½. x'. ́, É."]
     encoder = ChunkEncoder(tokenizer.to_str())
     return encoder.encode(trial) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in trial]
 
@@ -116,8 +136,10 @@ def write_ids(
     broadcast. Null texts are empty: one end id. Null ids come first. Rows with equal ids
     stand together, by text. Extra columns are left out. An empty table writes no segments.
 
-    Documents are dealt to ranges of ids once; a hot id is dealt by text and row too, so no
-    range must hold all of it. A task holds ``TOGETHER`` ids and the longest document.
+    Texts are encoded where they lie and their ids are dealt to ranges of documents, 16 bits
+    each where the vocabulary allows; texts are not shuffled. The ranges come from the ids of
+    the documents alone. A hot id is dealt by text and row too, so no range must hold all of
+    it. A task holds ``TOGETHER`` ids and the longest document.
     """
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
@@ -125,42 +147,75 @@ def write_ids(
     if not chunks_hold(library):
         raise ValueError(f"{tokenizer} reaches across spaces")
     size = max(library.get_vocab_size(with_added_tokens=True), end_id + 1)
-    held = docs.sparkSession.sparkContext.broadcast(content)
-    end = np.array([end_id], "<u4").tobytes()
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    wide = np.dtype(kind).itemsize
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast(content)
+    end = np.array([end_id], kind).tobytes()
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("key"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("m"), F.col(text).alias("text"))
+    bounds = _bounds(rows)
+    starts = spark.sparkContext.broadcast(bounds)
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = chunked(held.value, kind)
+        for batch in batches:
+            places = [_place(*k) for k in zip(*(batch.column(i).to_pylist() for i in range(3)))]
+            parts = pa.array([bisect_right(starts.value, p) for p in places], pa.int32())
+            for piece in slices(batch.column(3), 1 << 20):
+                lo, n = piece.rows.start, len(piece.rows)
+                ids = encoder.encode([piece.text(i).decode("utf-8", "replace") for i in range(n)])
+                some = [c.slice(lo, n) for c in (parts, *batch.columns[:3])]
+                yield pa.RecordBatch.from_arrays([*some, pa.array(ids, pa.binary())], names=["part", "key", "h", "m", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = chunked(held.value)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         names, ids, waiting = [], [], 0
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for piece in slices(batch.column(1), 1 << 20):
-                for key, found in zip(keys[piece.rows.start:piece.rows.stop], encoder.encode([piece.text(i).decode("utf-8", "replace") for i in range(len(piece.rows))])):
-                    names.append(key)
-                    ids.append(found + end)
-                    waiting += len(ids[-1]) // 4
+            for key, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                names.append(key)
+                ids.append(found + end)
+                waiting += len(ids[-1]) // wide
                 if waiting >= TOGETHER:
-                    out = _segments(names, ids, size, block, segment, part, number, before)
+                    out = _segments(names, ids, kind, size, block, segment, part, number, before)
                     number, before = number + len(out), before + waiting
                     names, ids, waiting = [], [], 0
                     yield out
         if names:
-            yield _segments(names, ids, size, block, segment, part, number, before)
+            yield _segments(names, ids, kind, size, block, segment, part, number, before)
+
+    found = small_batches(rows).mapInArrow(trimmed(encoded), "part int, key bigint, h bigint, m bigint, ids binary")
+    dealt = found.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("key", "h", "m")
+    dealt.select("key", "ids").mapInArrow(trimmed(run), _SCHEMA).write.parquet(path)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("key"), F.col(text).alias("text"))
-    keys = [F.col("key"), F.xxhash64("text"), F.monotonically_increasing_id()]
-    dealt = rows.withColumns({"h": keys[1], "m": keys[2]}).repartitionByRange("key", "h", "m").sortWithinPartitions("key", "h", "m")
-    small_batches(dealt).select("key", "text").mapInArrow(trimmed(run), _SCHEMA).write.parquet(path)
+
+def _place(key: int | None, h: int, m: int) -> tuple:
+    """Where a row stands in the order of documents; null ids come first."""
+    return (key is not None, key or 0, h, m)
+
+
+def _bounds(rows: DataFrame) -> list[tuple]:
+    """Where each range of documents but the first begins, one for each ``PART_BYTES`` of text.
+
+    Only keys are shuffled. There are at most as many ranges as the session's shuffle
+    partitions, and only their first rows reach the driver.
+    """
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(-(-total // PART_BYTES), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if parts < 2:
+        return []
+    firsts = rows.select("key", "h", "m").repartitionByRange(parts, "key", "h", "m").groupBy(F.spark_partition_id()).agg(F.min(F.struct(F.col("key").isNotNull(), F.coalesce("key", F.lit(0)), "h", "m")).alias("first"))
+    return sorted(tuple(r["first"]) for r in firsts.collect())[1:]
 
 
-def _segments(names: list, ids: list[bytes], size: int, block: int, segment: int, part: int, number: int, before: int) -> pa.RecordBatch:
-    lengths = np.array([len(x) // 4 for x in ids])
+def _segments(names: list, ids: list[bytes], kind: str, size: int, block: int, segment: int, part: int, number: int, before: int) -> pa.RecordBatch:
+    lengths = np.array([len(x) for x in ids]) // np.dtype(kind).itemsize
     groups = (np.cumsum(lengths) - lengths) // segment  # a new one at each multiple of ``segment``
     starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
     stops = np.append(starts[1:], len(ids))
     blocks, counts = [], []
     for lo, hi in zip(starts, stops):
-        whole = np.frombuffer(b"".join(ids[lo:hi]), "<u4")
+        whole = np.frombuffer(b"".join(ids[lo:hi]), kind)
         some = [whole[i:i + block] for i in range(0, len(whole), block)]
         blocks += some
         counts.append(len(some))

@@ -71,6 +71,39 @@ def test_special_strings_and_memory(monkeypatch):
     assert len(ENCODER.memo) < 12
 
 
+@pytest.mark.parametrize("text", ["End. Next, word", "a.. b., c,", "é. ½, ́. x.", "it's. 'S, don't.", "A.\nB,\n", "x.<|endoftext|>, y", "3. 4, 5"])
+def test_stops_and_commas(text):
+    assert ENCODER.encode([text]) == [ids_of(text)]
+    assert tokenio.ChunkEncoder(LIBRARY.to_str(), "<u2").encode([text]) == [np.frombuffer(ids_of(text), "<u4").astype("<u2").tobytes()]
+
+
+def test_memory_has_two_ages(monkeypatch):
+    monkeypatch.setattr(tokenio, "MEMO_SIZE", 3)
+    encoder = tokenio.ChunkEncoder(LIBRARY.to_str())
+    for t in ("one two three", "four one", "one five", "six seven eight", "nine one"):
+        assert encoder.encode([t]) == [ids_of(t)]
+    assert len(encoder.memo) + len(encoder.older) < 12
+
+
+def test_many_ranges(spark, tmp_path, monkeypatch):
+    """A hot id, a hot row and null ids over many ranges: order, places and checksums hold."""
+    monkeypatch.setattr(tokenio, "PART_BYTES", 300)
+    rows = [(i, f"text number {i}, again. {i % 7}") for i in range(150)] + [(40, f"hot {i}") for i in range(100)] + [(60, "the same row")] * 100 + [(None, f"none {i}") for i in range(20)]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = str(tmp_path / "ids")
+    tokenio.write_ids(docs, path, PATH, segment=50, block=20)
+    parts = spark.read.parquet(path)
+    assert parts.select("part").distinct().count() > 4
+    got = sorted(tokenio.read_checksums(spark, path, tokenio.vocabulary(PATH)).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k or 0))
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1].tolist()]
+    end = np.array([2], "<u4").tobytes()
+    assert sorted((str(r["doc_id"]), r["ids_crc32"]) for r in got) == sorted((str(k), zlib.crc32(ids_of(t) + end)) for k, t in rows)
+    # the hot row is spread over ranges
+    assert parts.selectExpr("part", "explode(doc_ids) as k").filter("k = 60").select("part").distinct().count() > 1
+
+
 def test_files(spark, tmp_path):
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choice(["alpha", "beta.", "Gamma", "dé", "12", "x-y"]) for _ in range(rng.randint(0, 60)))) for i in range(300)]
