@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayframe.runtime import scratch_path
@@ -35,7 +37,51 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].tables.append((path, table))
+    return table
+
+
+class _Consumed:
+    """Tables written inside a block, and those that outlive it."""
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[str, DataFrame]] = []
+        self.kept: list[DataFrame] = []
+
+    def keep(self, *tables: DataFrame) -> None:
+        """What the block returns still reads these."""
+        self.kept += tables
+
+
+_OPEN: list[_Consumed] = []
+
+
+@contextmanager
+def consumed() -> Iterator[_Consumed]:
+    """Tables that ``stored`` writes inside are removed at the end, but for those kept.
+
+    Only for tables whose readers have all been run: what is returned must read kept
+    tables alone. A kept table belongs to the block around this one, if there is one.
+    """
+    block = _Consumed()
+    _OPEN.append(block)
+    try:
+        yield block
+    finally:
+        _OPEN.pop()
+        for path, table in block.tables:
+            if not any(table is k for k in block.kept):
+                remove(table.sparkSession, path)
+            elif _OPEN:
+                _OPEN[-1].tables.append((path, table))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote below the shared one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def remainder(doc_id: Column, by: int = 4) -> Column:
