@@ -50,13 +50,66 @@ def heavy_atom_count(text: Column) -> Column:
     return F.size(F.filter(atom_tokens(text), lambda a: element_of(a) != "H"))
 
 
-def largest_fragment(text: Column) -> Column:
-    """The dot-separated fragment with most heavy atoms; the first one on a tie.
+# How a ring bond is numbered, outside of atoms in brackets.
+RING_NUMBER = r"%[0-9]{2}|%\([0-9]+\)|[0-9]"
+BRACKET_ATOM = r"\[[^\]]*\]"
+
+
+def _ring_numbers(part: Column) -> Column:
+    found = F.regexp_extract_all(F.regexp_replace(part, BRACKET_ATOM, ""), F.lit(RING_NUMBER), 0)
+    return F.transform(found, lambda t: F.regexp_replace(t, "[%()]", "").try_cast("bigint"))
+
 
-    Fragments joined by a ring bond across the dot are seen as two.
+def _tied(parts: Column) -> Column:
+    """Parts joined by an open ring bond as one, in the order of their first parts."""
+    uses = F.flatten(
+        F.transform(
+            parts, lambda part, at: F.transform(_ring_numbers(part), lambda k: F.struct(k.alias("ring"), at.alias("at")))
+        )
+    )
+    # a part's label is the first part it is tied to so far
+    start = F.struct(
+        F.array().cast("array<struct<ring:bigint,at:int>>").alias("open"),
+        F.transform(parts, lambda _, at: at).alias("label"),
+    )
+
+    def step(state: Column, use: Column) -> Column:
+        other = F.get(F.filter(state["open"], lambda o: o["ring"] == use["ring"]), 0)
+        mine, theirs = F.get(state["label"], use["at"]), F.get(state["label"], other["at"])
+        joined = F.transform(
+            state["label"], lambda x: F.when(x == F.greatest(mine, theirs), F.least(mine, theirs)).otherwise(x)
+        )
+        closed = F.struct(F.filter(state["open"], lambda o: o["ring"] != use["ring"]).alias("open"), joined.alias("label"))
+        opened = F.struct(F.array_append(state["open"], use).alias("open"), state["label"].alias("label"))
+        return F.when(other.isNotNull(), closed).otherwise(opened)
+
+    labels = F.array(F.aggregate(uses, start, step, lambda state: state["label"]))
+    together = F.transform(
+        labels,
+        lambda label: F.transform(
+            F.array_distinct(label),
+            lambda head: F.concat_ws(".", F.filter(parts, lambda _, at: F.get(label, at) == head)),
+        ),
+    )
+    return F.get(together, 0)
+
+
+def fragments(text: Column) -> Column:
+    """The fragments of a structure text: its parts between dots, in order.
+
+    Parts between which a ring bond is open, as in ``C1.C1``, are one fragment; its text
+    is that of its parts, joined by dots. A number that is used again after its bond was
+    closed is a new bond, and one that is never closed ties nothing.
     """
+    parts = F.split(text, r"\.")
+    across = F.regexp_replace(text, BRACKET_ATOM, "").rlike(r"(?s)[0-9].*\..*[0-9]")
+    return F.when(across, _tied(parts)).otherwise(parts)
+
+
+def largest_fragment(text: Column) -> Column:
+    """The fragment with most heavy atoms; the first one on a tie. See :func:`fragments`."""
     sized = F.transform(
-        F.split(text, r"\."),
+        fragments(text),
         lambda frag, pos: F.struct(
             (-heavy_atom_count(frag)).alias("neg_atoms"), pos.alias("pos"), frag.alias("frag")
         ),

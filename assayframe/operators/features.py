@@ -79,7 +79,7 @@ def property_registry(
         "heavy_atoms": F.when(text.isNotNull(), st.heavy_atom_count(text)),
         "num_halogens": st.halogen_count(text),
         "halogen_mass": st.halogen_mass(text),
-        "fragments": F.when(text.isNotNull(), F.size(F.split(text, r"\."))),
+        "fragments": F.when(text.isNotNull(), F.size(st.fragments(text))),
     }
     registry.update(st.pattern_columns(text))
     registry.update({name: F.col(name) for name in supplied})

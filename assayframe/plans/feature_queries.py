@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from assayframe.functions import user
-from assayframe.functions.structure import GROUP_PATTERNS, largest_fragment
+from assayframe.functions.structure import GROUP_PATTERNS, fragments, largest_fragment
 from assayframe.operators import features as feat
 from assayframe.operators import categories, impute, profile, projection, ranking
 from assayframe.operators.rows import nan_to_null
@@ -164,6 +164,49 @@ def largest_fragment_query(spark, sf_dir):
     return inp.structures(spark, sf_dir).select("id", "smiles", largest_fragment(F.col("smiles")).alias("fragment"))
 
 
+# Parts are numbered from 1; the first and the second use of a ring number make a bond, and so on.
+_TIED_SQL = f"""
+WITH RECURSIVE {inp.STRUCTURES_SQL},
+whole AS (SELECT id, 'C2C.' || smiles || '.C%02[13CH]1.' || smiles || '.O1' AS smiles FROM structures),
+parts AS (SELECT id, smiles, generate_subscripts(string_split(smiles, '.'), 1) AS pos, unnest(string_split(smiles, '.')) AS part FROM whole),
+found AS (
+  SELECT id, pos, regexp_extract_all(regexp_replace(part, '\\[[^\\]]*\\]', '', 'g'), '%[0-9]{{2}}|%\\([0-9]+\\)|[0-9]') AS rings FROM parts
+),
+uses AS (
+  SELECT id, pos, generate_subscripts(rings, 1) AS place, regexp_replace(unnest(rings), '[%()]', '', 'g')::BIGINT AS ring FROM found
+),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY id, ring ORDER BY pos, place) - 1 AS n FROM uses),
+bonds AS (SELECT id, min(pos) AS a, max(pos) AS b FROM numbered GROUP BY id, ring, n // 2 HAVING min(pos) < max(pos)),
+ties AS (SELECT id, a, b FROM bonds UNION SELECT id, b, a FROM bonds),
+reach AS (
+  SELECT id, pos, pos AS other FROM parts
+  UNION
+  SELECT r.id, r.pos, t.b FROM reach r JOIN ties t ON t.id = r.id AND t.a = r.other
+),
+heads AS (SELECT id, pos, min(other) AS head FROM reach GROUP BY id, pos),
+fragments AS (
+  SELECT id, head, string_agg(part, '.' ORDER BY pos) AS fragment, sum(len(list_filter({elements_sql('part')}, lambda e: e <> 'H'))) AS atoms
+  FROM heads JOIN parts USING (id, pos) GROUP BY id, head
+)
+SELECT id, count(*)::INT AS n_fragments, first(fragment ORDER BY atoms DESC, head) AS largest,
+  string_agg(fragment, ' ' ORDER BY head) AS fragments
+FROM fragments GROUP BY id"""
+
+
+@query("tied_fragments", _TIED_SQL)
+def tied_fragments(spark, sf_dir):
+    """Fragments of structures with ring bonds across dots."""
+    text = F.concat(F.lit("C2C."), "smiles", F.lit(".C%02[13CH]1."), "smiles", F.lit(".O1"))
+    df = inp.structures(spark, sf_dir).select("id", text.alias("smiles"))
+    found = fragments(F.col("smiles"))
+    return df.select(
+        "id",
+        F.size(found).alias("n_fragments"),
+        largest_fragment(F.col("smiles")).alias("largest"),
+        F.array_join(found, " ").alias("fragments"),
+    )
+
+
 HALOGENS_SQL = f"list_filter({elements_sql('smiles')}, lambda e: e IN ('F', 'Cl', 'Br', 'I'))"
 MASS_SQL = f"""coalesce(list_sum(list_transform({HALOGENS_SQL},
   lambda e: CASE e WHEN 'F' THEN 18.998::DOUBLE WHEN 'Cl' THEN 35.453::DOUBLE WHEN 'Br' THEN 79.904::DOUBLE
