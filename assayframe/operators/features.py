@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from assayframe.functions import fingerprint as fp
 from assayframe.functions import structure as st
+from assayframe.functions.patterns import required_literal
+from assayframe.runtime import cut_lineage
 
 
 def scaled_columns(df: DataFrame, divisors: Mapping[str, tuple[str, float]]) -> DataFrame:
@@ -54,11 +56,12 @@ def pattern_counts(df: DataFrame, patterns: DataFrame, *, key: str, structure: s
     """(key, name, n): matches of each pattern of a table (name, pattern), in long form.
 
     Null text gives null counts. The table is read by the driver and has at most
-    ``MAX_PATTERNS`` rows; of equal names the first pattern in order counts.
+    ``MAX_PATTERNS`` rows; of equal names the first pattern in order counts. For larger
+    tables see :func:`pattern_matches`, which lists what was found.
     """
     rows = patterns.select("name", "pattern").orderBy("name", "pattern").limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} patterns")
+        raise ValueError(f"more than {MAX_PATTERNS} patterns; pattern_matches takes any number")
     known: dict[str, str] = {}
     for name, pattern in rows:
         known.setdefault(name, pattern)
@@ -67,6 +70,57 @@ def pattern_counts(df: DataFrame, patterns: DataFrame, *, key: str, structure: s
     return df.select(key, entries.alias("e")).select(key, "e.name", "e.n")
 
 
+# Length of the pieces of text by which records and patterns find each other.
+PIECE = 4
+
+
+def _pieces(text: Column) -> Column:
+    """The different stretches of ``PIECE`` characters of a text."""
+    places = F.sequence(F.lit(1), F.length(text) - (PIECE - 1))
+    cut = F.transform(places, lambda i: F.substring(text, i, F.lit(PIECE)))
+    return F.when(F.length(text) >= PIECE, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+
+def pattern_matches(
+    df: DataFrame, patterns: DataFrame, *, key: str, structure: str, spread: int | None = None
+) -> DataFrame:
+    """(key, name, n): matches of the patterns of a table (name, pattern) that are found, n > 0.
+
+    For tables of any size; nothing of them reaches the driver. Every match of a pattern
+    contains its required literal, so records and patterns meet by the piece of that
+    literal which is rarest among the texts, and only pairs that share it are tried. Patterns
+    without such a piece are tried on every text; they are repeated ``spread`` times (the
+    session's shuffle partitions, if not given), so that no task has to take all texts.
+
+    Equal texts are searched once. Of equal names the first pattern in order counts; null
+    names, patterns and texts find nothing. A pattern that is no regular expression is an
+    error where it is tried. Repeated keys give repeated rows.
+    """
+    literal = F.udf(required_literal, "string", useArrow=True)
+    named = patterns.filter("name IS NOT NULL AND pattern IS NOT NULL").groupBy("name").agg(F.min("pattern").alias("pattern"))
+    known = cut_lineage(named.withColumn("literal", literal("pattern")))
+    records = df.select(F.col(key).alias("__key"), F.col(structure).alias("__text"), F.sha2(structure, 256).alias("__id"))
+    texts = cut_lineage(records.filter("__text IS NOT NULL").select("__id", "__text").dropDuplicates(["__id"]))
+
+    inside = texts.select("__id", F.explode(_pieces(F.col("__text"))).alias("piece"))
+    of_pattern = known.select("name", F.explode(_pieces(F.col("literal"))).alias("piece"))
+    # a pattern with a piece that no text has is found nowhere and drops out later on
+    common = inside.join(of_pattern.select("piece").distinct(), "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("texts"))
+    rated = of_pattern.join(common, "piece", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+    chosen = rated.groupBy("name").agg(F.min(F.struct("texts", "piece")).alias("best")).filter("best.texts > 0")
+    chosen = cut_lineage(chosen.select("name", F.col("best.piece").alias("piece")))
+    met = inside.join(chosen, "piece").select("__id", "name")
+    by_piece = met.join(texts, "__id").join(known, "name").filter(F.contains("__text", "literal"))
+
+    salts = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = known.filter(F.length("literal") < PIECE).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    everywhere = texts.withColumn("salt", F.pmod(F.xxhash64("__id"), F.lit(salts)).cast("int")).join(plain, "salt")
+
+    tried = by_piece.select("__id", "name", "__text", "pattern").unionByName(everywhere.select("__id", "name", "__text", "pattern"))
+    found = tried.select("__id", "name", F.regexp_count("__text", F.col("pattern")).alias("n")).filter("n > 0")
+    return records.select("__key", "__id").join(found, "__id").select(F.col("__key").alias(key), "name", "n")
+
+
 def property_registry(
     *, structure: str, supplied: Sequence[str] = (), extra: Mapping[str, Column] | None = None
 ) -> dict[str, Column]:

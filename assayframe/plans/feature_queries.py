@@ -252,6 +252,25 @@ def pattern_counts(spark, sf_dir):
     return feat.pattern_counts(inp.structures(spark, sf_dir), patterns, key="id", structure="smiles")
 
 
+@query(
+    "pattern_matches",
+    """WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]{6,}')) AS word FROM documents),
+patterns AS (
+  SELECT word AS name, word AS lit, ' ' || word || '(?:s|ly)?[ ,.]' AS pattern FROM words
+  UNION ALL SELECT * FROM (VALUES ('#vowels', 'e', '[aou]e'), ('#either', '', 'tion|ing'), ('#twice', 'ha', '(?:ha){2,}')) AS t(name, lit, pattern)
+)
+SELECT item_id, name, len(regexp_extract_all(text, pattern))::INT AS n FROM benchmark JOIN patterns ON contains(text, lit)
+WHERE len(regexp_extract_all(text, pattern)) > 0""",
+)
+def pattern_matches(spark, sf_dir):
+    """Each word of six letters or more in the documents is a pattern, searched for in the benchmark."""
+    words = inp.table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{6,}"), 0)).alias("name")).distinct()
+    patterns = words.select("name", F.concat(F.lit(" "), "name", F.lit("(?:s|ly)?[ ,.]")).alias("pattern"))
+    more = spark.createDataFrame([("#vowels", "[aou]e"), ("#either", "tion|ing"), ("#twice", "(?:ha){2,}")], "name string, pattern string")
+    items = inp.table(spark, sf_dir, "benchmark")
+    return feat.pattern_matches(items, patterns.union(more), key="item_id", structure="text")
+
+
 @query(
     "pattern_features",
     f"""WITH {inp.STRUCTURES_SQL}

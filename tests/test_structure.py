@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from assayframe.functions import structure as st
+from assayframe.functions.patterns import required_literal
 from assayframe.operators import features
 
 
@@ -37,3 +38,41 @@ def test_fragments_with_open_rings(spark):
             sizes = [len(re.findall(st.ATOM_TOKEN, x)) for x in f]
             assert big == f[sizes.index(max(sizes))]
     assert rows[0].f == ["C1.C1"] and rows[1].f == ["C1.C1", "O"] and rows[2].f == ["C1CC1", "C1CC1"]
+
+
+def test_required_literals():
+    want = {
+        "abc": "abc", "ab?c": "a", "abc+d": "abc", "ab*": "a", "a{0,2}bc": "bc", "ab{2}c": "ab", "x(?:yz)+longer": "longer", "a|b": "", "(a|b)cd": "cd",
+        r"C\(=O\)O": "C(=O)O", r"[^]a]bc\d+def": "def", "(?i)abc": "", r"\Qa.b\E": "", "^ab$": "ab", "a.bc": "bc", r"\x41bc": "", r"abc\x41|d": "", "": "", "[a[bc]]x": "x", r"\bword\b": "word",
+    }
+    assert {r: required_literal(r) for r in want} == want
+
+
+def test_literals_are_in_every_match():
+    rng = random.Random(5)
+    for _ in range(4000):
+        regex = "".join(rng.choice(["a", "b", "c", "ab", "?", "*", "+", "(bc)", "(a|b)", "[ab]", ".", "{2}", "{0,1}", "$", "^", r"\."]) for _ in range(rng.randint(1, 7)))
+        try:
+            compiled = re.compile(regex)
+        except re.error:
+            continue
+        literal = required_literal(regex)
+        for _ in range(20):
+            text = "".join(rng.choice("abc.") for _ in range(rng.randint(0, 9)))
+            assert not compiled.search(text) or literal in text, (regex, literal, text)
+
+
+def test_more_patterns_than_a_plan_holds(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("CNO=()1") for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    rows = [*enumerate([*texts, texts[0], None, "é€C=O(N)" * 300]), (0, texts[0])]
+    names = {f"p{i}": re.escape("".join(rng.choice("CNO=()1") for _ in range(rng.randint(3, 7)))) + rng.choice(["", "C?", "[NO]", "+"]) for i in range(1300)}
+    names |= {"any": "C|N", "opt": "x?C", "none": "zzzz", "empty": "", "long": r"€C=O\(N\)é"}
+    table = [*names.items(), ("any", "zz"), (None, "C"), ("null", None)]
+    df = spark.createDataFrame(rows, "id long, text string").withColumn("name", F.lit("x"))
+    patterns = spark.createDataFrame(table, "name string, pattern string")
+    got = sorted(map(tuple, features.pattern_matches(df, patterns, key="id", structure="text", spread=3).collect()))
+    want = [(i, n, len(re.findall(p, t))) for i, t in rows if t is not None for n, p in names.items()]
+    assert got == sorted(w for w in want if w[2] > 0)
+    assert features.pattern_matches(df.limit(0), patterns, key="id", structure="text").collect() == []
+    assert features.pattern_matches(df, patterns.limit(0), key="id", structure="text").collect() == []
