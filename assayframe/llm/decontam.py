@@ -268,8 +268,10 @@ def contaminated_spans(
     groups, the table is written between them, so no task holds more than one automaton.
 
     Null texts and texts without words have no spans; null or empty items hit nothing;
-    an empty benchmark hits nothing. Items with the same text or id all count. ``keep``
-    names the columns to keep, all if None; those with the three names give way.
+    an empty benchmark hits nothing. Items with the same text all count, items that share
+    an id are listed once, and the words of an item without an id are hit but it is not
+    listed. ``keep`` names the columns to keep, all if None; those with the three names
+    give way.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in _MADE]
     rest = list(dict.fromkeys([*kept, text]))
@@ -310,7 +312,7 @@ def _passed(docs: DataFrame, automaton: bytes, text: str, rest: list[str]) -> Da
                 for i, (n, more, hit) in enumerate(scan_column(automaton, column)):
                     sizes[i] = n
                     spans[i] += more
-                    items[i] |= {str(automaton.names[k]) for k in hit}
+                    items[i] |= {str(automaton.names[k]) for k in hit if automaton.names[k] is not None}
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(batch.schema.get_field_index(c)) for c in rest),

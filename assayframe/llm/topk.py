@@ -119,9 +119,9 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` rows of ``vectors`` with the highest inner product for each query, exactly.
 
-    Both sides: a long id and an array of longs without nulls. Rows without an id take
-    no part, neither as candidates nor as queries. Returns query_id, rank (from 1), the
-    id column and score; ties go to the smaller id.
+    Both sides: a long id and an array of longs. Rows without an id, without a vector or
+    with a null in it take no part, neither as candidates nor as queries. Returns
+    query_id, rank (from 1), the id column and score; ties go to the smaller id.
 
     A query's candidates are the rows with another id and as many components; fewer than
     ``k`` of them give fewer rows, none give none. Equal rows all count as candidates;
@@ -133,7 +133,7 @@ def top_k(
     """
     spark = vectors.sparkSession
     narrow = [F.col(id_col).cast("long").alias("id"), F.col(vector).alias("vector")]
-    rows, asked = (df.select(*narrow).filter("id IS NOT NULL") for df in (vectors, queries))
+    rows, asked = (df.select(*narrow).filter("id IS NOT NULL AND vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL)") for df in (vectors, queries))
     asked = asked.dropDuplicates()
     found = choose_pivots(rows, "id", "vector", pivots)
     rows = stored(pivot_table(rows, found, "vector"), "pivots")

@@ -66,6 +66,13 @@ def test_table(spark):
     assert decontam.contaminated_spans(docs, bench, keep=["doc_id"]).columns == ["doc_id", "n_words", "hit_spans", "hit_items"]
 
 
+def test_items_without_id_or_with_the_same(spark):
+    bench = spark.createDataFrame([(None, "one two three"), (7, "four five"), (7, "six seven")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "one two three x four five six seven"), (2, "a one two three")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["hit_items"], [tuple(s) for s in r["hit_spans"]]) for r in decontam.contaminated_spans(docs, bench).collect()}
+    assert got == {1: (["7"], [(0, 3), (4, 8)]), 2: ([], [(1, 4)])}
+
+
 def test_driver_builds_no_automaton(spark, monkeypatch):
     items = [(i, " ".join(f"v{i}x{j}" for j in range(20))) for i in range(60)]
     bench = spark.createDataFrame(items, "item_id long, text string").repartition(5)

@@ -55,3 +55,11 @@ def test_rows_without_id_take_no_part(spark):
     known = [(i, v) for i, v in rows if i is not None]
     assert sorted(map(tuple, topk.top_k(df, df, 2).collect())) == plain(known, known, 2)
     assert topk.top_k(df.filter("vec_id is null"), df, 2).count() == 0
+
+
+def test_null_vectors_take_no_part(spark):
+    rows = [(1, [3, 4]), (2, None), (3, [None, 9]), (4, [1, 2]), (5, [])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    known = [(i, v) for i, v in rows if v is not None and None not in v]
+    assert sorted(map(tuple, topk.top_k(df, df, 2).collect())) == plain(known, known, 2)
+    assert topk.top_k(df.filter("vec_id in (2, 3)"), df, 2).count() == 0
