@@ -15,10 +15,10 @@ do not suffice goes to the cells, with what it knows so far.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.functions.fingerprint import common_tokens
-from assayframe.operators.blocks import tanimoto_matrix
+from assayframe.operators.blocks import TOKEN_CHUNK, coded_tokens, tanimoto_matrix
 from assayframe.operators.similarity import POSTING_ROWS, rarest_first
 from assayframe.runtime import cut_lineage, small
 
@@ -35,8 +35,14 @@ from assayframe.runtime import cut_lineage, small
 PIVOTS, SAMPLE_PER_PIVOT = 4096, 4
 # Most rings of equal width that the values of a pivot are parted into.
 RINGS = 16
-# Queries that a task holds, about.
-QUERIES_PER_TASK = 4096
+# Queries that a task holds at most, and numbers of the features of queries and of training
+# rows. A query is shipped once for each of the homes that blocks are put together in, a
+# row once for each chunk of queries.
+QUERIES_PER_TASK, TASK_NUMBERS = 1 << 15, 1 << 21
+# Tasks for each core, and most of them.
+TASKS_PER_CORE, MOST_TASKS = 8, 20_000
+# Queries compared with a block at once.
+QUERY_PIECE = 1024
 # Numbers of a matrix that is worked on at once.
 MATRIX = 1 << 22
 
@@ -106,29 +112,97 @@ class Space:
         """The least distance of points that are ``bound`` apart in the space."""
         return np.minimum(bound**2 / 2, 1.0) if self.metric == "cosine" else bound
 
-    def nearest(self, asked, rows, known: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, distance, copies) of the nearest rows of each query, k copies or more if there are as many."""
+    def measure(self, asked, rows) -> tuple[Callable, Callable]:
+        """(about, exact): distances of some queries and rows, the first with room for rounding.
+
+        ``about(i, j)`` gives a matrix, and what its numbers may be off by; ``exact(i, j)``
+        the distances of pairs, or None where those of the matrix are exact.
+        """
+        if self.metric == "jaccard":
+            both = _narrow(asked, rows)
+            sizes = [np.array([len(x) for x in side], dtype=np.float64) for side in (asked, rows)]
+
+            def jaccard(i, j):
+                if both is None:
+                    return 1 - tanimoto_matrix([asked[x] for x in i], [rows[x] for x in j]), 0.0
+                shared = (both[0][i] @ both[1][j].T).astype(np.float64)
+                union = sizes[0][i][:, None] + sizes[1][j][None, :]
+                union -= shared
+                near = np.divide(shared, union, out=np.ones_like(shared), where=union > 0)
+                return np.subtract(1, near, out=near), 0.0
+
+            return jaccard, None
+        if self.metric == "manhattan":
+            return (lambda i, j: (_manhattan(asked[i], rows[j]), 0.0)), None
+        lengths = [np.linalg.norm(side, axis=1) for side in (asked, rows)]
         if self.metric == "cosine":
-            product = np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :]
-            near = 1 - (asked @ rows.T) / (product + 1e-9)  # fixed value: the small term of the metric
-            room = 0.0
-        else:
-            near = self.between(asked, rows)
-            room = 2 * self.slack(self.size(asked)[:, None] + self.size(rows).max()) if self.metric == "euclidean" else 0.0
-        width = min(k, near.shape[1])
-        limit = np.partition(near, width - 1, axis=1)[:, width - 1:width] + room
-        i, j = np.nonzero(near <= limit)
-        if self.metric == "euclidean":
+
+            def cosine(i, j):
+                product = lengths[0][i][:, None] * lengths[1][j][None, :]
+                return 1 - (asked[i] @ rows[j].T) / (product + 1e-9), 0.0  # fixed value: the small term of the metric
+
+            return cosine, None
+        squares = [(side**2).sum(1) for side in (asked, rows)]
+
+        def euclidean(i, j):
+            near = asked[i] @ rows[j].T
+            near *= -2
+            near += squares[0][i][:, None]
+            near += squares[1][j][None, :]
+            np.sqrt(np.maximum(near, 0, out=near), out=near)
+            return near, 2 * self.slack(lengths[0][i][:, None] + lengths[1][j].max())
+
+        def pairs(i, j):
             # the few that are left are measured without cancellation
-            d = np.concatenate([np.sqrt(((asked[i[s]] - rows[j[s]]) ** 2).sum(1)) for s in _slices(len(i), asked.shape[1])] or [np.zeros(0)])
-        else:
-            d = near[i, j]
-        order = np.lexsort((d, i))
-        i, j, d = i[order], j[order], d[order]
-        # k different values are enough even if each occurs once
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        kept = place < k
-        return i[kept], d[kept], np.minimum(known[j[kept]], k)
+            return np.concatenate([np.sqrt(((asked[i[s]] - rows[j[s]]) ** 2).sum(1)) for s in _slices(len(i), asked.shape[1])] or [np.zeros(0)])
+
+        return euclidean, pairs
+
+    def nearest(self, asked, rows, known: np.ndarray, reach: np.ndarray, sent: np.ndarray, block: np.ndarray, k: int) -> np.ndarray:
+        """The k least distances of each query, copies counted, in the blocks it was ``sent`` to.
+
+        ``reach`` is a distance within which a query's k-th is known to be. What is as far
+        as the k-th so far is left out; missing places are infinite.
+        """
+        best = np.full((len(reach), k), np.inf)
+        about, exact = self.measure(asked, rows)
+        for b in np.unique(block):
+            to, j = np.flatnonzero(sent[:, b]), np.flatnonzero(block == b)
+            times = np.minimum(known[j], k)
+            for start in range(0, len(to), QUERY_PIECE):
+                i = to[start:start + QUERY_PIECE]
+                near, room = about(i, j)
+                limit = np.minimum(best[i, -1], reach[i])[:, None]
+                if np.isinf(limit).any():
+                    # k different values are enough even if each occurs once
+                    width = min(k, len(j))
+                    limit = np.minimum(limit, np.partition(near, width - 1, axis=1)[:, width - 1:width] + room) if width == k else limit
+                u, v = np.nonzero(near <= limit + room)
+                if not len(u):
+                    continue
+                d = exact(i[u], j[v]) if exact else near[u, v]
+                best[i] = _merged(best[i], u, d, times[v], k)
+        return best
+
+
+def _merged(best: np.ndarray, row: np.ndarray, d: np.ndarray, times: np.ndarray, k: int) -> np.ndarray:
+    """``best`` (k ascending distances of each row) with more distances, each so many times."""
+    row, d = np.repeat(row, times), np.repeat(d, times)
+    order = np.lexsort((d, row))
+    row, d = row[order], d[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = place < k
+    more = np.full(best.shape, np.inf)
+    more[row[kept], place[kept]] = d[kept]
+    changed = np.isfinite(more[:, 0])
+    best[changed] = np.sort(np.concatenate([best[changed], more[changed]], axis=1), axis=1)[:, :k]
+    return best
+
+
+def _narrow(asked, rows) -> tuple[np.ndarray, np.ndarray] | None:
+    """Both sides as matrices of the tokens they share, if these are few."""
+    vocabulary = np.intersect1d(*[np.unique(np.concatenate(side)) if len(side) else np.zeros(0, np.int64) for side in (asked, rows)])
+    return None if len(vocabulary) > TOKEN_CHUNK else (coded_tokens(asked, vocabulary), coded_tokens(rows, vocabulary))
 
 
 def _slices(n: int, width: int) -> Iterator[slice]:
@@ -162,7 +236,10 @@ def choose_pivots(known: DataFrame, space: Space, n: int):
 
 @dataclass
 class Regions:
-    """Rings around pivots: their pivot, least and largest distance to it, rows, and blocks."""
+    """Rings around pivots: their pivot, least and largest distance to it, rows, and blocks.
+
+    ``per_home`` blocks that follow each other are a home.
+    """
 
     pivots: object
     pivot: np.ndarray
@@ -172,12 +249,14 @@ class Regions:
     first: np.ndarray
     parts: np.ndarray
     size: float
+    per_home: int
 
 
-def build_regions(known: DataFrame, space: Space, k: int, rows_per_block: int, n_pivots: int) -> tuple[DataFrame, Regions]:
-    """The training values with their block, and the regions, at most PIVOTS * RINGS of them.
+def build_regions(known: DataFrame, space: Space, k: int, rows_per_block: int, n_pivots: int, rows_per_home: int | None = None) -> tuple[DataFrame, Regions]:
+    """The training values with their home and block in it, and the regions, at most PIVOTS * RINGS of them.
 
     A region of more than ``rows_per_block`` values is dealt to several blocks by a hash.
+    Blocks are put together in homes of about ``rows_per_home`` values; without it, each is one.
     """
     spark = known.sparkSession
     pivots = choose_pivots(known, space, n_pivots)
@@ -206,20 +285,23 @@ def build_regions(known: DataFrame, space: Space, k: int, rows_per_block: int, n
     parts = np.array([ceil(r.n / rows_per_block) for r in found])
     first = np.cumsum(parts) - parts
     numbers = lambda name: np.array([r[name] for r in found])
-    regions = Regions(pivots, numbers("cell"), numbers("lo"), numbers("hi"), numbers("rows"), first, parts, max(r["size"] for r in found))
+    per_home = max(1, int((rows_per_home or 0) * parts.sum() // max(1, numbers("n").sum())))
+    regions = Regions(pivots, numbers("cell"), numbers("lo"), numbers("hi"), numbers("rows"), first, parts, max((r["size"] for r in found), default=0.0), per_home)
     table = [(r.cell, r.ring, int(f), int(p)) for r, f, p in zip(found, first, parts)]
     blocks = F.broadcast(spark.createDataFrame(table, "cell int, ring int, first int, parts int"))
     dealt = ringed.join(blocks, ["cell", "ring"]).withColumn("block", (F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts"))).cast("int"))
-    return dealt.select("block", "tokens", "known"), regions
+    home = F.floor(F.col("block") / per_home).cast("int")
+    return dealt.select(home.alias("home"), (F.col("block") % per_home).alias("block"), "tokens", "known"), regions
 
 
 def ship(asked: DataFrame, regions, space: Space, k: int) -> DataFrame:
-    """(rep, tokens, chunk, region, block): every query once for each block it is compared with.
+    """(rep, tokens, chunk, reach, region, regions, home, blocks): every query once for each home it is compared in.
 
     ``asked`` has ``reach``, the distance of a query's k-th neighbour as far as it is
     known, and ``done``, the regions it was sent to. A query goes to the regions that may
     hold a row as near as that: at first (``done`` is null) only to the nearest that hold
-    k rows, then to all others.
+    k rows, then to all others. ``blocks`` has a bit for each block of the home, ``region``
+    is that of the first of them; ``regions`` names all of the first time, with one home.
     """
     kind = asked.schema["tokens"].dataType.simpleString()
 
@@ -229,6 +311,7 @@ def ship(asked: DataFrame, regions, space: Space, k: int) -> DataFrame:
             points = space.placed(space.features(batch.column("tokens")))
             reach = np.asarray(batch.column("reach").fill_null(np.inf), float)
             done = batch.column("done").to_pylist()
+            region_of = np.repeat(np.arange(len(at.parts), dtype=np.int32), at.parts)
             for s in _slices(len(batch), len(at.pivot)):
                 far = space.between(points[s], at.pivots)[:, at.pivot]
                 bound = np.maximum(np.maximum(far - at.hi, at.lo - far), 0)
@@ -243,38 +326,54 @@ def ship(asked: DataFrame, regions, space: Space, k: int) -> DataFrame:
                         sent[i] &= nearest[i]
                     else:
                         sent[i, before] = False
-                i, r = np.nonzero(sent)
-                n = at.parts[r]
-                block = np.repeat(at.first[r], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                i, r = np.repeat(i, n) + s.start, np.repeat(r, n)
-                for piece in _slices(len(i), MATRIX // 2000):
-                    rows = batch.select(["rep", "tokens", "chunk"]).take(pa.array(i[piece]))
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(r[piece].astype(np.int32)), pa.array(block[piece].astype(np.int32))], names=["rep", "tokens", "chunk", "region", "block"])
-
-    return asked.select("rep", "tokens", "chunk", "reach", "done").mapInArrow(run, f"rep string, tokens {kind}, chunk int, region int, block int")
-
-
-def _compare(sent: DataFrame, blocks: DataFrame, space: Space, k: int, chunks: int = 1) -> DataFrame:
-    """(rep, distance, n): the nearest rows of each block a query was sent to."""
+                named = [np.flatnonzero(row).astype(np.int32) if before is None else None for row, before in zip(sent, done[s])]
+                blocks = np.repeat(sent, at.parts, axis=1)
+                told = np.zeros(len(sent), bool)
+                for home in range(ceil(blocks.shape[1] / at.per_home)):
+                    bits = blocks[:, home * at.per_home:(home + 1) * at.per_home]
+                    i = np.flatnonzero(bits.any(axis=1))
+                    if not len(i):
+                        continue
+                    rows = batch.select(["rep", "tokens", "chunk", "reach"]).take(pa.array(i + s.start))
+                    first = pa.array([None if told[x] else named[x] for x in i], pa.list_(pa.int32()))
+                    told[i] = True
+                    masks = pa.array([m.tobytes() for m in np.packbits(bits[i], axis=1)], pa.binary())
+                    region = pa.array(region_of[home * at.per_home + bits[i].argmax(axis=1)])
+                    yield pa.RecordBatch.from_arrays(
+                        [*rows.columns, region, first, pa.array(np.full(len(i), home, np.int32)), masks],
+                        names=["rep", "tokens", "chunk", "reach", "region", "regions", "home", "blocks"],
+                    )
+
+    schema = f"rep string, tokens {kind}, chunk int, reach double, region int, regions array<int>, home int, blocks binary"
+    return asked.select("rep", "tokens", "chunk", "reach", "done").mapInArrow(run, schema)
+
+
+def _compare(sent: DataFrame, blocks: DataFrame, space: Space, k: int, chunks: int = 1, tasks: int = 1) -> DataFrame:
+    """(rep, distance, n): the nearest rows of each home a query was sent to."""
     if chunks == 1:
         rows = blocks.withColumn("to", F.lit(0))
     else:
-        # a block goes where queries go, once for each chunk of queries
+        # a home goes where queries go, once for each chunk of queries
         sent = cut_lineage(sent)
-        needed = sent.select(F.col("block").alias("at"), F.col("chunk").alias("to")).distinct()
-        rows = blocks.join(needed, blocks["block"] == needed["at"]).drop("at")
+        needed = sent.select(F.col("home").alias("at"), F.col("chunk").alias("to")).distinct()
+        rows = blocks.join(needed, blocks["home"] == needed["at"]).drop("at")
 
     def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
         if asked.num_rows and rows.num_rows:
-            queries, others, known = space.features(asked["tokens"]), space.features(rows["tokens"]), np.asarray(rows["known"], np.int64)
-            found = [space.nearest(queries[s], others, known, k) for s in _slices(len(queries), len(others))]
-            i = np.concatenate([i + s.start for (i, _, _), s in zip(found, _slices(len(queries), len(others)))])
-            d, n = (np.concatenate([f[c] for f in found]) for c in (1, 2))
+            queries, others = space.features(asked["tokens"]), space.features(rows["tokens"])
+            masks = asked["blocks"].to_pylist()
+            to = np.unpackbits(np.frombuffer(b"".join(masks), np.uint8).reshape(len(masks), -1), axis=1).astype(bool)
+            reach = np.asarray(asked["reach"].combine_chunks().fill_null(np.inf), float)
+            best = space.nearest(queries, others, np.asarray(rows["known"], np.int64), reach, to, np.asarray(rows["block"]), k)
+            i, place = np.nonzero(np.isfinite(best))
+            d = best[i, place]
         else:
-            i, d, n = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+            i, d = np.zeros(0, np.int64), np.zeros(0)
+        n = np.ones(len(i), np.int64)
         return pa.table({"rep": asked["rep"].combine_chunks().take(pa.array(i)), "distance": pa.array(d), "n": pa.array(n)})
 
-    grouped = sent.groupBy("block", "chunk").cogroup(rows.groupBy("block", "to"))
+    # by number, so that small tasks are not put together
+    grouped = sent.repartition(tasks, "home", "chunk").groupBy("home", "chunk").cogroup(rows.repartition(tasks, "home", "to").groupBy("home", "to"))
     return grouped.applyInArrow(run, "rep string, distance double, n long")
 
 
@@ -289,25 +388,31 @@ def cell_neighbours(
     hold k rows give a k-th distance, and that tells which other regions a query has to
     be sent to. Each task holds one block of values and one chunk of queries. Where the
     data have no structure all regions have to be visited, and the work is that of
-    comparing everything, with a query sent once per block.
+    comparing everything, with a query sent once per home and a row once per chunk.
     """
     space = Space(metric)
     n_known, n_asked = sizes or (known.count(), asked.count())
-    blocks, found = build_regions(known, space, k, rows_per_block, pivots or min(PIVOTS, ceil(n_known / rows_per_block)))
+    widths = [side.agg(F.max(F.size("tokens"))).first()[0] or 1 for side in (known, asked)]
+    parallel = TASKS_PER_CORE * known.sparkSession.sparkContext.defaultParallelism
+    # no smaller than for a task for each core, no larger than a task can hold
+    rows_per_home, queries = (max(rows_per_block, min(TASK_NUMBERS // max(1, width), ceil(n / sqrt(parallel)))) for n, width in zip((n_known, n_asked), widths))
+    queries = min(queries, QUERIES_PER_TASK)
+    blocks, found = build_regions(known, space, k, rows_per_block, pivots or min(PIVOTS, ceil(n_known / rows_per_block)), rows_per_home)
     regions = known.sparkSession.sparkContext.broadcast(found)
-    chunks = max(1, ceil(n_asked / QUERIES_PER_TASK))
+    chunks = max(1, ceil(n_asked / queries))
+    tasks = max(1, min(MOST_TASKS, ceil(int(found.parts.sum()) / found.per_home) * chunks))
     asked = asked.select("rep", "tokens", F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"), "reach")
 
     sent = cut_lineage(ship(asked.withColumn("done", F.lit(None).cast("array<int>")), regions, space, k))
-    near = cut_lineage(_compare(sent, blocks, space, k, chunks))
+    near = cut_lineage(_compare(sent, blocks, space, k, chunks, tasks))
     # at most k regions for each query
-    done = sent.groupBy("rep").agg(F.collect_set("region").alias("done"))
+    done = sent.filter("regions IS NOT NULL").select("rep", F.col("regions").alias("done"))
     kth = nearest_k(near, k).filter(F.col("found") == k).select("rep", F.element_at("distances", -1).alias("kth"))
     known_so_far = asked.join(done, "rep", "left").join(kth, "rep", "left").withColumns(
         {"done": F.coalesce("done", F.array().cast("array<int>")), "reach": F.least("reach", "kth")}
     )
     later = ship(known_so_far, regions, space, k)
-    every = near.unionByName(_compare(later, blocks, space, k, chunks))
+    every = near.unionByName(_compare(later, blocks, space, k, chunks, tasks))
     return nearest_k(every, k).select("rep", "distances")
 
 
