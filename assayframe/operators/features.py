@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from assayframe.functions import fingerprint as fp
 from assayframe.functions import structure as st
 from assayframe.functions.patterns import required_literal
-from assayframe.runtime import cut_lineage
+from assayframe.operators.skew import attach
+from assayframe.runtime import cut_lineage, widen
 
 
 def scaled_columns(df: DataFrame, divisors: Mapping[str, tuple[str, float]]) -> DataFrame:
@@ -205,19 +206,27 @@ def hashed_fingerprint(
 ) -> DataFrame:
     """(key, tokens): a bit fingerprint, or occurrence tokens of a count fingerprint.
 
-    Bits are pure column work. Counts are summed per (key, bit) by partial
-    aggregation first, so a long text does not build its counts in one expression.
+    Bits are pure column work, and so are the counts of a key that stands in one row.
+    Those of a key in several rows are summed per (key, bit) by partial aggregation.
     Missing text has null tokens in both forms, text without shingles none.
     """
     if not counts:
         return df.select(key, fp.bit_tokens(F.col(text), kind=kind, size=size, n_bits=n_bits).alias(name))
-    bits = df.select(
-        key, F.explode(fp.bit_positions(F.col(text), kind=kind, size=size, n_bits=n_bits)).alias("__bit")
-    )
-    per_bit = bits.groupBy(key, "__bit").agg(F.count(F.lit(1)).cast("int").alias("__n"))
-    maps = per_bit.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__bit", "__n"))).alias("__c"))
-    counted = maps.select(key, fp.count_tokens(F.col("__c"), n_bits).alias(name))
     positions = fp.bit_positions(F.col(text), kind=kind, size=size, n_bits=n_bits)
+    df = widen(df.select(key, text))
+    some = df.filter(F.size(positions) > 0)
+    # a key in several rows has their counts added up; null is such a key
+    repeated = cut_lineage(some.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter((F.col("__n") > 1) | F.col(key).isNull()))
+    single = some
+    if not repeated.isEmpty():
+        single = attach(some, repeated, [key], "__n", [text], "left_anti")
+    counted = single.select(key, fp.occurrence_tokens(positions, n_bits).alias(name))
+    if not repeated.isEmpty():
+        several = attach(some, repeated, [key], "__n", [text], "left_semi")
+        bits = several.select(key, F.explode(positions).alias("__bit"))
+        per_bit = bits.groupBy(key, "__bit").agg(F.count(F.lit(1)).cast("int").alias("__n"))
+        maps = per_bit.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__bit", "__n"))).alias("__c"))
+        counted = counted.unionByName(maps.select(key, fp.count_tokens(F.col("__c"), n_bits).alias(name)))
     bare = df.filter(F.col(text).isNull() | (F.size(positions) < 1))
     nothing = F.when(F.col(text).isNotNull(), F.array().cast(counted.schema[name].dataType)).alias(name)
     return counted.unionByName(bare.select(key, nothing))
