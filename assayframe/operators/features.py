@@ -213,17 +213,17 @@ def hashed_fingerprint(
     if not counts:
         return df.select(key, fp.bit_tokens(F.col(text), kind=kind, size=size, n_bits=n_bits).alias(name))
     positions = fp.bit_positions(F.col(text), kind=kind, size=size, n_bits=n_bits)
-    df = widen(df.select(key, text))
-    some = df.filter(F.size(positions) > 0)
+    # written once, as it is read up to three times
+    some = cut_lineage(widen(df.select(key, text)).select(key, positions.alias("__p"))).filter(F.size("__p") > 0)
     # a key in several rows has their counts added up; null is such a key
     repeated = cut_lineage(some.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter((F.col("__n") > 1) | F.col(key).isNull()))
     single = some
     if not repeated.isEmpty():
-        single = attach(some, repeated, [key], "__n", [text], "left_anti")
-    counted = single.select(key, fp.occurrence_tokens(positions, n_bits).alias(name))
+        single = attach(some, repeated, [key], "__n", ["__p"], "left_anti")
+    counted = single.select(key, fp.occurrence_tokens(F.col("__p"), n_bits).alias(name))
     if not repeated.isEmpty():
-        several = attach(some, repeated, [key], "__n", [text], "left_semi")
-        bits = several.select(key, F.explode(positions).alias("__bit"))
+        several = attach(some, repeated, [key], "__n", ["__p"], "left_semi")
+        bits = several.select(key, F.explode("__p").alias("__bit"))
         per_bit = bits.groupBy(key, "__bit").agg(F.count(F.lit(1)).cast("int").alias("__n"))
         maps = per_bit.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__bit", "__n"))).alias("__c"))
         counted = counted.unionByName(maps.select(key, fp.count_tokens(F.col("__c"), n_bits).alias(name)))
