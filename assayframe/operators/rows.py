@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from assayframe.operators.skew import number_rows
 
+# More feature rows than these are not sorted together with the folds their keys stand in.
+SORTED_KEYS = 200_000
+
 
 def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Turn NaN into null in float columns, so that one kind of missing is left."""
@@ -134,7 +137,14 @@ def rows_not_picked(df: DataFrame, picked: DataFrame, *, key: str) -> DataFrame:
 
 
 def folds_with_features(folds: DataFrame, features: DataFrame, *, key: str) -> DataFrame:
-    """Feature rows of every (repeat, fold, role)."""
+    """Feature rows of every (repeat, fold, role).
+
+    A key stands in each fold of each repetition; such rows take little room in a shuffle
+    but much in a sort. So where keys are many, a task holds the feature rows of its keys
+    and the folds stream past them. Tables in buckets of their key are not shuffled for it.
+    """
+    if features.count() > SORTED_KEYS:
+        features = features.hint("shuffle_hash")
     return folds.join(features, key)
 
 
