@@ -29,11 +29,15 @@ def repeated(keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
     """(row, bitmap): a bit for each value of the long column ``key`` that occurs more than once.
 
     Values are counted with partial aggregation, so a value that a third of all rows
-    have is a few partial counts. At most 2^bits / 2^15 rows of 4 KB come out.
+    have is a few partial counts.
     """
-    counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return present(keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), key, bits)
+
+
+def present(keys: DataFrame, key: str, bits: int = BITS) -> DataFrame:
+    """(row, bitmap): a bit for each value of the long column ``key``. At most 2^bits / 2^15 rows of 4 KB."""
     slot = F.pmod(F.col(key), F.lit(1 << bits))
-    placed = counted.select(F.shiftright(slot, 15).cast("int").alias("row"), F.pmod(slot, F.lit(ROW_BITS)).alias("place")).distinct()
+    placed = keys.select(F.shiftright(slot, 15).cast("int").alias("row"), F.pmod(slot, F.lit(ROW_BITS)).alias("place")).distinct()
     return placed.groupBy("row").agg(F.bitmap_construct_agg("place").alias("bitmap"))
 
 

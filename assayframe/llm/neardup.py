@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayframe.llm.components import components
+from assayframe.llm.exactdedup import marked, present
 from assayframe.llm.scratch import consumed, small_batches, stored
 from assayframe.llm.text import Slice, mix, shingles, slices, trimmed, words
 
@@ -227,6 +228,17 @@ def prefix_pairs(texts: DataFrame, shingle: int, similarity: tuple[int, int]) ->
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _bits(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of the hashes of ``key``, of fixed size."""
+    return present(keys.select(F.xxhash64(key).alias("hash")), "hash")
+
+
+def _among(rows: DataFrame, bits: DataFrame, there: bool = True) -> DataFrame:
+    """The rows whose ``_key`` has its bit set, or has not; those of other keys may have it too."""
+    found = marked(rows.withColumn("_hash", F.xxhash64("_key")), "_hash", bits, "_there")
+    return found.filter("_there" if there else "NOT _there").select(rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -266,7 +278,8 @@ def near_duplicates(
         # the text that others vary shares more buckets with them than they do with each other
         scores = stored(members.groupBy("node").agg(F.sum("members").alias("score")), "scores")
         members = stored(members.join(scores, "node").select("bucket", "node", "n", "score"), "members")
-        in_play = keyed.join(scores, F.col("_key") == F.col("node"), "left_semi").select(F.col("_key").alias("node"), F.col("_text").alias("text"))
+        # told at the scan, so that the other texts are not shuffled; a few more by chance do no harm
+        in_play = _among(keyed, _bits(scores, "node")).select(F.col("_key").alias("node"), F.col("_text").alias("text"))
         held = stored(in_play, "held-texts")
 
         def linked(pairs: DataFrame) -> DataFrame:
@@ -315,9 +328,16 @@ def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     keyed = plain.withColumn("_key", key)
     with consumed() as block:
         classes = near_duplicates(keyed, doc_id="_key", text=text_, **options)
-        of_key = stored(classes.groupBy("_key").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")).filter("_key = class_id"), "kept")
+        of_key = stored(classes.groupBy("_key").agg((F.min("class_id") == F.col("_key")).alias("kept"), F.count("*").alias("n")), "kept")
         block.keep(of_key)
-    once = keyed.join(of_key.filter("n = 1").select("_key"), "_key", "left_semi")
-    if not of_key.filter("n > 1").isEmpty():
-        once = once.union(keyed.join(of_key.filter("n > 1").select("_key"), "_key", "left_semi").dropDuplicates(["_key"]))
+    single, several = of_key.filter("kept AND n = 1").select("_key"), of_key.filter("kept AND n > 1").select("_key")
+    # most texts are told at the scan; those that share a bit with one that goes, or with
+    # one that has other rows, are told by a join, in which few of those that go take part
+    doubtful = _bits(of_key.filter("NOT kept OR n > 1"), "_key")
+    tried = _among(single, doubtful)
+    open_ = _among(_among(keyed, doubtful), _bits(tried, "_key"))
+    once = _among(keyed, doubtful, False).union(open_.join(tried, "_key", "left_semi").select(keyed.columns))
+    if not several.isEmpty():
+        again = _among(keyed, _bits(several, "_key")).join(several, "_key", "left_semi").select(keyed.columns)
+        once = once.union(again.dropDuplicates(["_key"]))
     return once.drop("_key").toDF(*names)
