@@ -12,17 +12,20 @@ document, with the end id) and ``payload``.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from assayframe.llm import codec
 from assayframe.llm.scratch import small_batches
@@ -33,22 +36,67 @@ SEGMENT = 1 << 16
 TOGETHER = 1 << 21
 #: Bytes of text whose ids are sorted and coded by one task.
 PART_BYTES = 16 << 20
+#: Bytes of text that are parted together.
+SLICE = 4 << 20
 MEMO_SIZE = 150_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
 
-#: A full stop or comma between a letter and a space is a token of its own.
-_STOP, _COMMA = re.compile(r"(?<=[^\W\d_])\.(?= |$)"), re.compile(r"(?<=[^\W\d_]),(?= |$)")
+#: A line of letters that the library keeps or lower-cases one by one, as Python does, with ASCII signs behind
+#: them; or any other.
+_PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-įı-žΑ-ΡΤ-Ωά-ία-ωό-ώЀ-џ]+)([!-/:-@\[-`{-~]*)|.*)$", re.M)
+#: What a tokenizer must do to texts so that such letters are one word, and such signs another.
+_NORMAL = ["NFC", {"Regex": "\\s+"}, "Lowercase"]
+_PARTED = ["'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True, False, False]
+#: Words given to the library at once.
+WORDS = 10_000
+
+
+@dataclass
+class Chunks:
+    """Different chunks, and where the ids of each begin and how many they are."""
+
+    names: pa.Array
+    starts: np.ndarray
+    sizes: np.ndarray
+    ids: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    @classmethod
+    def none(cls, kind: np.dtype) -> Chunks:
+        """The empty chunk only."""
+        return cls(pa.array([""], pa.large_string()), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, kind))
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """The place of each name, or -1."""
+        return pc.fill_null(pc.index_in(names, value_set=self.names), -1).to_numpy()
+
+    def with_more(self, names: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> Chunks:
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        return Chunks(pa.concat_arrays([self.names, names]), np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids]))
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``ids`` in a row."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts - ends + sizes, sizes)
+    at += np.arange(len(at))
+    return ids.take(at)
 
 
 class ChunkEncoder:
     """Ids of texts, as little-endian numbers, through a memory of chunks between spaces.
 
     The library lower-cases, normalises and splits a text so that nothing reaches across a
-    space or line end; so a text's ids are those of its chunks in a row. A full stop or comma
-    after a word is a chunk too, and ASCII texts are lower-cased beforehand. New chunks are
-    given to the library together, parted by a digit that is one id and that none of them has.
+    space or line end; so a text's ids are those of its chunks in a row. ASCII texts are
+    lower-cased beforehand. Texts are parted and their different chunks found by Arrow. New
+    chunks of plain letters, with signs behind them, go to the library's model as words between
+    spaces, where the tokenizer is known to make such words of them: the last id of a word tells
+    that it ends. Others go through the whole tokenizer together, parted by a digit that is one
+    id and that none of them has.
     The memory has two ages: what was not met again while the younger one filled is forgotten.
     """
 
@@ -57,47 +105,105 @@ class ChunkEncoder:
         self.kind = np.dtype(kind)
         alone = {d: self._ids(d) for d in "0123456789"}
         self.mark = next(((d, ids[0]) for d, ids in alone.items() if len(ids) == 1), None)
-        self.memo: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-
-    def _ids(self, text: str) -> np.ndarray:
+        self.memo, self.older = Chunks.none(self.kind), Chunks.none(self.kind)
+        self.model, self.last = self._words_model(json.loads(content))
+
+    def _words_model(self, made: dict) -> tuple[Tokenizer | None, np.ndarray]:
+        """The model behind a cut at spaces, and which ids end a word; None where plain words may be cut otherwise."""
+        try:
+            nfc, spaces, lower = made["normalizer"]["normalizers"]
+            split, octets = made["pre_tokenizer"]["pretokenizers"]
+            model = made["model"]
+            fits = [nfc["type"], spaces["pattern"], lower["type"]] == _NORMAL and spaces["content"] == " "
+            fits &= [split["pattern"]["Regex"], split["behavior"], split["invert"], octets["add_prefix_space"], octets["use_regex"]] == _PARTED and octets["type"] == "ByteLevel"
+            fits &= model["type"] == "BPE" and not model["dropout"] and bool(model["end_of_word_suffix"])
+            # no added token can stand in letters and signs behind them
+            fits &= all(re.search(r"[!-/:-@\[-`{-~][A-Za-z]", t["content"]) for t in made["added_tokens"])
+        except (KeyError, TypeError, ValueError):
+            fits = False
+        if not fits:
+            return None, np.zeros(0, bool)
+        plain = Tokenizer(self.tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = plain.get_vocab()
+        last = np.zeros(max(vocab.values()) + 1, bool)
+        last[[i for t, i in vocab.items() if t.endswith(model["end_of_word_suffix"])]] = True
+        return plain, last
+
+    def _ids(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
         # one text a call, so the library starts no threads; offsets are not wanted
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
-
-    def learn(self, chunks: set[str]) -> None:
-        together = []
-        for c in chunks:
-            if c not in self.memo:
-                if c in self.older:
-                    self.memo[c] = self.older[c]
-                elif self.mark is None or self.mark[0] in c:
-                    self.memo[c] = self._ids(c).tobytes()
-                else:
-                    together.append(c)
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _each(self, chunks: list[str]) -> list[np.ndarray]:
+        """Ids of chunks by the whole tokenizer."""
+        together = [c for c in chunks if self.mark is not None and self.mark[0] not in c]
+        found = {}
         if together:
             ids = self._ids(f" {self.mark[0]} ".join(together))
             cuts = np.flatnonzero(ids == self.mark[1])
-            if len(cuts) != len(together) - 1:  # a chunk that meets its neighbours
-                self.memo.update((c, self._ids(c).tobytes()) for c in together)
-                return
-            whole, begin, wide = ids.tobytes(), 0, self.kind.itemsize
-            for c, cut in zip(together, [*cuts.tolist(), len(ids)]):
-                self.memo[c] = whole[wide * begin:wide * cut]
-                begin = cut + 1
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        text = (text.lower() if text.isascii() else text).replace("\n", " ")
-        return _COMMA.sub(" ,", _STOP.sub(" .", text)).split(" ")
+            if len(cuts) == len(together) - 1:  # else a chunk meets its neighbours
+                found = {c: ids[lo:hi] for c, lo, hi in zip(together, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])}
+        return [found[c] if c in found else self._ids(c) for c in chunks]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The number of ids of each word and the ids of all, by the model alone; None if a word does not end once."""
+        some = [self._ids(" ".join(words[i:i + WORDS]), self.model) for i in range(0, len(words), WORDS)]
+        ids = np.concatenate([np.zeros(0, self.kind), *some])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(ids)):
+            return None
+        return np.diff(ends, prepend=0), ids
+
+    def learn(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each of different chunks, and the ids of all."""
+        n = len(names)
+        # a chunk has no line end
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), names), pa.scalar("\n", pa.large_string()))[0].as_py() if n else ""
+        found = _PLAIN.findall(lines) if n and self.model is not None else [("", "")] * n
+        plain = np.fromiter((x[0] != "" for x in found), bool, n)
+        words = "\n".join([w for w, _ in found if w]).lower().split("\n") if plain.any() else []
+        signs = [s for w, s in found if w]
+        # the empty piece has no ids
+        place = {p: i for i, p in enumerate(dict.fromkeys(["", *words, *signs]))}
+        known = self._words([*place][1:])
+        if known is None:
+            plain[:] = False
+            words, signs, known = [], [], (np.zeros(len(place) - 1, np.int64), np.zeros(0, self.kind))
+        pairs = np.array([[*map(place.__getitem__, words)], [*map(place.__getitem__, signs)]], np.int64).T
+        size = np.concatenate([[0], known[0]]).astype(np.int64)
+        begin = np.cumsum(size) - size
+        other = np.flatnonzero(~plain)
+        chunks = lines.split("\n") if len(other) else []
+        rest = self._each([chunks[i] for i in other])
+        order = np.concatenate([np.flatnonzero(plain), other])
+        starts, sizes = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        sizes[order] = np.concatenate([size[pairs].sum(axis=1), [len(x) for x in rest]]).astype(np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return sizes, _gathered(np.concatenate([_gathered(known[1], begin[pairs.ravel()], size[pairs.ravel()]), *rest]), starts, sizes)
+
+    def together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin and the last one's end."""
+        if len(self.memo) > MEMO_SIZE:
+            self.memo, self.older = Chunks.none(self.kind), self.memo
+        parted = pc.split_pattern(pa.array([(t.lower() if t.isascii() else t).replace("\n", " ") for t in texts], pa.large_string()), " ")
+        coded = parted.flatten().dictionary_encode()
+        names, codes = coded.dictionary, coded.indices.to_numpy()
+        young, old = self.memo.find(names), self.older.find(names)
+        new = np.flatnonzero((young < 0) & (old < 0))
+        new_sizes, new_ids = self.learn(names.take(pa.array(new)))
+        ids = np.concatenate([self.memo.ids, self.older.ids, new_ids])
+        sizes = np.where(young >= 0, self.memo.sizes[young], self.older.sizes[old])
+        starts = np.where(young >= 0, self.memo.starts[young], len(self.memo.ids) + self.older.starts[old])
+        sizes[new], starts[new] = new_sizes, len(ids) - len(new_ids) + np.cumsum(new_sizes) - new_sizes
+        more = np.flatnonzero(young < 0)
+        self.memo = self.memo.with_more(names.take(pa.array(more)), sizes[more], _gathered(ids, starts[more], sizes[more]))
+        each = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        return _gathered(ids, starts[codes], each), ends[parted.offsets.to_numpy()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_SIZE:
-            self.memo, self.older = {"": b""}, self.memo
-        parted = [self.chunks(t) for t in texts]
-        self.learn(set().union(*parted))
-        find = self.memo.__getitem__
-        return [b"".join(map(find, chunks)) for chunks in parted]
+        ids, bounds = self.together(texts)
+        return [ids[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]
 
 
 #: Kept between the tasks of a Python worker.
@@ -162,11 +268,12 @@ def write_ids(
         for batch in batches:
             places = [_place(*k) for k in zip(*(batch.column(i).to_pylist() for i in range(3)))]
             parts = pa.array([bisect_right(starts.value, p) for p in places], pa.int32())
-            for piece in slices(batch.column(3), 1 << 20):
+            for piece in slices(batch.column(3), SLICE):
                 lo, n = piece.rows.start, len(piece.rows)
-                ids = encoder.encode([piece.text(i).decode("utf-8", "replace") for i in range(n)])
+                ids, bounds = encoder.together([piece.text(i).decode("utf-8", "replace") for i in range(n)])
+                held_ids = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer((wide * bounds).astype(np.int32)), pa.py_buffer(ids)])
                 some = [c.slice(lo, n) for c in (parts, *batch.columns[:3])]
-                yield pa.RecordBatch.from_arrays([*some, pa.array(ids, pa.binary())], names=["part", "key", "h", "m", "ids"])
+                yield pa.RecordBatch.from_arrays([*some, held_ids], names=["part", "key", "h", "m", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before = TaskContext.get().partitionId(), 0, 0

@@ -130,3 +130,45 @@ def test_files(spark, tmp_path):
     assert tokenio.through_files(docs.limit(0), empty, PATH).count() == 0
     with pytest.raises(ValueError):
         tokenio.write_ids(docs, str(tmp_path / "no"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_new_plain_words_go_to_the_model_alone(monkeypatch):
+    """Words of letters, with signs behind them, need no pass of the whole tokenizer."""
+    encoder, seen = tokenio.ChunkEncoder(LIBRARY.to_str()), []
+    whole = encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda chunks: seen.extend(chunks) or whole(chunks))
+    text = "Plain words, Ärger über ÉTÉ! Привет, λόγος... it's 12 ΣΑΣ a.b <|endoftext|> end.\nPlain"
+    assert encoder.encode([text]) == [ids_of(text)]
+    assert not {"Plain", "words,", "Ärger", "ÉTÉ!", "Привет,", "λόγος...", "end."} & set(seen)
+    assert {"it's", "12", "ΣΑΣ", "a.b", "<|endoftext|>"} <= set(seen)
+
+
+def test_every_letter_that_counts_as_plain():
+    letters = [c for c in map(chr, range(0x3000)) if c.isprintable() and tokenio._PLAIN.fullmatch(c)[1]]
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [c + c.upper() + c for c in letters] + [f"{c}{s} {c}ab{s}{s}" for c in "aÉя" for s in signs] + [a + s + b for a in ("a", "Éa") for s in signs for b in signs]
+    assert len(letters) > 380
+    assert tokenio.ChunkEncoder(LIBRARY.to_str()).encode(texts) == [ids_of(t) for t in texts]
+
+
+def test_other_tokenizers_have_no_plain_words():
+    import json
+
+    made = json.loads(LIBRARY.to_str())
+    assert ENCODER.model is not None
+    for change in ({"normalizer": None}, {"added_tokens": [*made["added_tokens"], {**made["added_tokens"][0], "id": 49408, "content": "ab"}]}):
+        other = Tokenizer.from_str(json.dumps(made | change))
+        encoder = tokenio.ChunkEncoder(other.to_str())
+        assert encoder.model is None
+        assert encoder.encode(["cab ab. x", "y"]) == [np.array(other.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ("cab ab. x", "y")]
+
+
+def test_many_texts_at_once_share_a_small_memory(monkeypatch):
+    monkeypatch.setattr(tokenio, "WORDS", 7)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("ab de'f Ü. 9 . ,x \n\n İ <|endoftext|> ﬁn ab, ab.".split(" ")) + rng.choice(["", "q", "R."]) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    encoder = tokenio.ChunkEncoder(LIBRARY.to_str(), "<u2")
+    for _ in range(2):
+        ids, bounds = encoder.together(texts)
+        assert [ids[lo:hi].tolist() for lo, hi in zip(bounds[:-1], bounds[1:])] == [np.frombuffer(ids_of(t), "<u4").tolist() for t in texts]
+    assert isinstance(encoder.memo.names.to_pylist(), list) and encoder.memo.ids.dtype == np.dtype("<u2")
