@@ -218,6 +218,16 @@ def chunked(content: str, kind: str) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
+def unencoding(run):
+    """``run`` for mapInArrow, in a worker that encodes no more: its encoder and freed memory are given back."""
+
+    def begin(batches):
+        _ENCODERS.clear()
+        return trimmed(run)(batches)
+
+    return begin
+
+
 def chunks_hold(tokenizer: Tokenizer) -> bool:
     """Whether the library's ids of a text are those of its chunks, tried on texts made for it."""
     trial = ["a b", "A  b\n\nC", " lead", "trail ", "it's 's  't", "x\n's", "é é ́a b́", "1 2 3.4 ,5", "Σας ΣΑΣ Σ", "a b c d", "<|endoftext|> a <|endoftext|>b", "ﬁ ½ 한 국", "a. B, c., d.. e,", "é. 'S, ½. x'. ́, É."]
@@ -293,7 +303,7 @@ def write_ids(
 
     found = small_batches(rows).mapInArrow(trimmed(encoded), "part int, key bigint, h bigint, m bigint, ids binary")
     dealt = found.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("key", "h", "m")
-    dealt.select("key", "ids").mapInArrow(trimmed(run), _SCHEMA).write.parquet(path)
+    dealt.select("key", "ids").mapInArrow(unencoding(run), _SCHEMA).write.parquet(path)
 
 
 def _place(key: int | None, h: int, m: int) -> tuple:
@@ -384,7 +394,7 @@ def _read(spark: SparkSession, path: str, size: int, schema: str, names: list[st
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *_KINDS[schema]]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=["part", "start", "doc_id", "n_tokens", *names])
 
-    read = small_batches(files).mapInArrow(trimmed(run), f"part int, start bigint, doc_id bigint, n_tokens bigint, {schema}")
+    read = small_batches(files).mapInArrow(unencoding(run), f"part int, start bigint, doc_id bigint, n_tokens bigint, {schema}")
     joined = read.join(F.broadcast(before), F.col("part") == F.col("of"))
     return joined.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", *names)
 

@@ -172,3 +172,11 @@ def test_many_texts_at_once_share_a_small_memory(monkeypatch):
         ids, bounds = encoder.together(texts)
         assert [ids[lo:hi].tolist() for lo, hi in zip(bounds[:-1], bounds[1:])] == [np.frombuffer(ids_of(t), "<u4").tolist() for t in texts]
     assert isinstance(encoder.memo.names.to_pylist(), list) and encoder.memo.ids.dtype == np.dtype("<u2")
+
+
+def test_coding_tasks_hold_no_encoder():
+    """Workers live on through later tasks and stages, which do without the tokenizer's memory."""
+    tokenio.chunked(LIBRARY.to_str(), "<u2")
+    assert tokenio._ENCODERS
+    assert list(tokenio.unencoding(lambda batches: iter(batches))([1, 2])) == [1, 2]
+    assert not tokenio._ENCODERS
