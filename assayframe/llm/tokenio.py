@@ -37,7 +37,7 @@ TOGETHER = 1 << 21
 #: Bytes of text whose ids are sorted and coded by one task.
 PART_BYTES = 16 << 20
 #: Bytes of text that are parted together.
-SLICE = 4 << 20
+SLICE = 2 << 20
 MEMO_SIZE = 150_000
 
 _SCHEMA = "part int, segment bigint, first bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
